@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The warehouse this library re-expresses is batch only: every model is a full
+refresh (views recomputed on read, tables overwritten), with no incremental
+models, snapshots, watermarks or event-time windows. So there is no streaming
+operator to provide; batch jobs here are plain DataFrame plans and can be
+scheduled by any orchestrator.
+"""
