@@ -210,15 +210,23 @@ def raw_parties(df: DataFrame, id_col: str, name_col: str, nation_col: str) -> D
     k = F.col(id_col)
     nat = F.col(nation_col).cast("string")
     ks = k.cast("string")
+    known = k % 29 != 0  # every 29th party has no identity data at all
+
+    def ident(c):
+        return F.when(known, c)
+
     return df.select(
         k.alias("id_venta"),
         k.alias("party_id"),
-        F.when(k % 5 == 0, F.concat(F.lit(" "), F.lower(name_col), F.lit(" ")))
-        .otherwise(F.col(name_col))
-        .alias("NOMBRECLIENTE"),
-        F.when(k % 7 != 0, F.concat(F.lit("apellido"), nat)).alias("APELLIDOPATERNO"),
-        F.when(k % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("m"), (k % 10).cast("string")))
-        .alias("APELLIDOMATERNO"),
+        ident(
+            F.when(k % 5 == 0, F.concat(F.lit(" "), F.lower(name_col), F.lit(" "))).otherwise(
+                F.col(name_col)
+            )
+        ).alias("NOMBRECLIENTE"),
+        ident(F.when(k % 7 != 0, F.concat(F.lit("apellido"), nat))).alias("APELLIDOPATERNO"),
+        ident(
+            F.when(k % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("m"), (k % 10).cast("string")))
+        ).alias("APELLIDOMATERNO"),
         F.when(k % 10 == 0, F.lit("CUARENTA Y DOS"))
         .when(k % 10 == 1, F.lit("abc"))
         .otherwise((k % 60 + 18).cast("string"))
@@ -226,9 +234,10 @@ def raw_parties(df: DataFrame, id_col: str, name_col: str, nation_col: str) -> D
         F.when(k % 8 == 0, F.lit("MÃ©XICO")).when(k % 8 == 1, F.lit("México "))
         .otherwise(F.lit("jalisco"))
         .alias("LUGARNACIMIENTO"),
-        F.when(k % 4 == 1, F.lit("")).when(k % 4 != 0, F.concat(F.lit(" rfc"), ks))
-        .alias("RFC"),
-        F.when(k % 3 == 0, F.concat(F.lit("curp"), (k % 50).cast("string"))).alias("CURP"),
+        ident(F.when(k % 4 == 1, F.lit("")).when(k % 4 != 0, F.concat(F.lit(" rfc"), ks))).alias(
+            "RFC"
+        ),
+        ident(F.when(k % 3 == 0, F.concat(F.lit("curp"), (k % 50).cast("string")))).alias("CURP"),
         F.concat(F.lit("calle "), nat).alias("CALLE"),
         F.concat(F.lit(" "), (k % 100).cast("string")).alias("NOEXTERIOR"),
         F.lit(None).cast("string").alias("NOINTERIOR"),
@@ -239,8 +248,10 @@ def raw_parties(df: DataFrame, id_col: str, name_col: str, nation_col: str) -> D
         F.when(k % 2 == 0, F.lit("MEXICO")).otherwise(F.lit("mexico ")).alias("PAIS"),
         F.lit("Mexicana").alias("NACIONALIDAD"),
         F.lit("empleado").alias("OCUPACION"),
-        F.when(k % 6 != 0, F.concat(F.lit(" User"), ks, F.lit("@Example.com"))).alias("EMAIL"),
-        F.concat(F.lit("55"), ks).alias("TELEFONOCELULAR"),
+        ident(F.when(k % 6 != 0, F.concat(F.lit(" User"), ks, F.lit("@Example.com")))).alias(
+            "EMAIL"
+        ),
+        ident(F.concat(F.lit("55"), ks)).alias("TELEFONOCELULAR"),
         F.lit(None).cast("string").alias("TELEFONOLOCAL"),
         F.lit("ine").alias("IDENTIFICACION"),
         ks.alias("NOIDENTIFICACION"),
@@ -258,17 +269,18 @@ def sql_raw_parties(table: str, id_col: str, name_col: str, nation_col: str, whe
     fecha = sql_dirty_date(k, f"(DATE '2020-01-01' + CAST({k} % 1000 AS INTEGER))")
     return f"""
     SELECT {k} AS id_venta, {k} AS party_id,
-           CASE WHEN {k} % 5 = 0 THEN ' ' || lower({name_col}) || ' ' ELSE {name_col} END
-               AS NOMBRECLIENTE,
-           CASE WHEN {k} % 7 <> 0 THEN 'apellido' || {nat} END AS APELLIDOPATERNO,
-           CASE WHEN {k} % 3 = 0 THEN '' ELSE 'm' || CAST({k} % 10 AS VARCHAR) END
-               AS APELLIDOMATERNO,
+           CASE WHEN {k} % 29 <> 0 THEN (CASE WHEN {k} % 5 = 0 THEN ' ' || lower({name_col}) || ' '
+               ELSE {name_col} END) END AS NOMBRECLIENTE,
+           CASE WHEN {k} % 29 <> 0 AND {k} % 7 <> 0 THEN 'apellido' || {nat} END AS APELLIDOPATERNO,
+           CASE WHEN {k} % 29 = 0 THEN NULL WHEN {k} % 3 = 0 THEN ''
+               ELSE 'm' || CAST({k} % 10 AS VARCHAR) END AS APELLIDOMATERNO,
            CASE WHEN {k} % 10 = 0 THEN 'CUARENTA Y DOS' WHEN {k} % 10 = 1 THEN 'abc'
                 ELSE CAST({k} % 60 + 18 AS VARCHAR) END AS EDAD,
            CASE WHEN {k} % 8 = 0 THEN 'MéXICO' WHEN {k} % 8 = 1 THEN 'México '
                 ELSE 'jalisco' END AS LUGARNACIMIENTO,
-           CASE WHEN {k} % 4 = 1 THEN '' WHEN {k} % 4 <> 0 THEN ' rfc' || {ks} END AS RFC,
-           CASE WHEN {k} % 3 = 0 THEN 'curp' || CAST({k} % 50 AS VARCHAR) END AS CURP,
+           CASE WHEN {k} % 29 = 0 THEN NULL WHEN {k} % 4 = 1 THEN '' WHEN {k} % 4 <> 0 THEN ' rfc' || {ks} END
+               AS RFC,
+           CASE WHEN {k} % 29 <> 0 AND {k} % 3 = 0 THEN 'curp' || CAST({k} % 50 AS VARCHAR) END AS CURP,
            'calle ' || {nat} AS CALLE,
            ' ' || CAST({k} % 100 AS VARCHAR) AS NOEXTERIOR,
            CAST(NULL AS VARCHAR) AS NOINTERIOR, 'centro' AS COLONIA,
@@ -277,8 +289,8 @@ def sql_raw_parties(table: str, id_col: str, name_col: str, nation_col: str, whe
            'cdmx' AS ESTADO,
            CASE WHEN {k} % 2 = 0 THEN 'MEXICO' ELSE 'mexico ' END AS PAIS,
            'Mexicana' AS NACIONALIDAD, 'empleado' AS OCUPACION,
-           CASE WHEN {k} % 6 <> 0 THEN ' User' || {ks} || '@Example.com' END AS EMAIL,
-           '55' || {ks} AS TELEFONOCELULAR, CAST(NULL AS VARCHAR) AS TELEFONOLOCAL,
+           CASE WHEN {k} % 29 <> 0 AND {k} % 6 <> 0 THEN ' User' || {ks} || '@Example.com' END AS EMAIL,
+           CASE WHEN {k} % 29 <> 0 THEN '55' || {ks} END AS TELEFONOCELULAR, CAST(NULL AS VARCHAR) AS TELEFONOLOCAL,
            'ine' AS IDENTIFICACION, {ks} AS NOIDENTIFICACION,
            CASE WHEN {k} % 2 = 0 THEN 'm' ELSE 'f' END AS SEXO,
            'soltero' AS ESTADOCIVIL, '' AS REGIMEN,
@@ -366,9 +378,24 @@ def staging_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Payments: active report + canceled-sale report (no sale id, no capture date).
 
 
+def _stage_payment_sale_cols() -> list:
+    return [
+        trimmed("STATUSVENTA").alias("status_venta"),
+        trimmed("CONCEPTO").alias("concepto"),
+        upper_trimmed("DESARROLLOLARGO").alias("desarrollo_largo"),
+        upper_trimmed("DESARROLLOCORTO").alias("desarrollo_corto"),
+        upper_trimmed("UNIDAD").alias("unidad"),
+        trimmed("ETAPA").alias("etapa"),
+        upper_trimmed("CLIENTE").alias("cliente"),
+        upper_trimmed("STATUS_TERCERO").alias("status_tercero"),
+        empty_to_null(F.upper("NOMBRETERCERO")).alias("nombre_tercero"),
+    ]
+
+
 def stage_payments(raw: DataFrame) -> DataFrame:
     return raw.select(
         "id_venta",
+        *_stage_payment_sale_cols(),
         trimmed("STATUSINGRESO").alias("status_ingreso"),
         trimmed("FOLIO").alias("folio"),
         safe_date("FECHA_INGRESO").alias("fecha_ingreso"),
@@ -384,6 +411,7 @@ def stage_payments(raw: DataFrame) -> DataFrame:
 
 def stage_canceled_payments(raw: DataFrame) -> DataFrame:
     return raw.select(
+        *_stage_payment_sale_cols(),
         trimmed("STATUSINGRESO").alias("status_ingreso"),
         trimmed("FOLIO").alias("folio"),
         safe_date("FECHA_INGRESO").alias("fecha_ingreso"),
@@ -400,10 +428,27 @@ def raw_payments(t: Tables, canceled: bool = False) -> DataFrame:
     l = t.lineitem
     if canceled:
         l = l.where(F.col("l_returnflag") == "R")
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    u = customer_units(t)
+    l = l.join(o, l.l_orderkey == o.o_orderkey, "left").join(
+        u, F.col("o_custkey") == u.c_custkey, "left"
+    )
     k = F.col("l_orderkey")
     sd = F.col("l_shipdate").cast("date")
     amount = money("l_extendedprice")
     cols = [
+        F.col("o_orderstatus").alias("STATUSVENTA"),
+        F.when(F.col("l_linenumber") == 1, F.lit("ENGANCHE")).otherwise(F.lit("MENSUALIDAD"))
+        .alias("CONCEPTO"),
+        F.lower("desarrollo_largo").alias("DESARROLLOLARGO"),
+        F.col("desarrollo_corto").alias("DESARROLLOCORTO"),
+        F.col("unidad").alias("UNIDAD"),
+        F.col("etapa").alias("ETAPA"),
+        F.concat(F.lit(" "), F.col("unidad")).alias("CLIENTE"),
+        F.lit("n/a").alias("STATUS_TERCERO"),
+        F.when(F.col("l_suppkey") % 3 == 0, F.lit(" "))
+        .otherwise(F.concat(F.lit("tercero "), F.col("l_suppkey").cast("string")))
+        .alias("NOMBRETERCERO"),
         F.concat(F.lit(" "), F.col("l_linenumber").cast("string")).alias("FOLIO"),
         F.when(F.col("l_linestatus") == "O", F.lit("Activo ")).otherwise(F.lit(" Cancelado"))
         .alias("STATUSINGRESO"),
@@ -431,8 +476,19 @@ def raw_payments(t: Tables, canceled: bool = False) -> DataFrame:
     )
 
 
+_SQL_PAYMENT_FROM = f"""lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+        LEFT JOIN ({SQL_CUSTOMER_UNITS}) u ON o_custkey = u.c_custkey"""
+
+
 def _sql_raw_payments(canceled: bool) -> str:
     common = f"""
+           o_orderstatus AS STATUSVENTA,
+           CASE WHEN l_linenumber = 1 THEN 'ENGANCHE' ELSE 'MENSUALIDAD' END AS CONCEPTO,
+           lower(u.desarrollo_largo) AS DESARROLLOLARGO, u.desarrollo_corto AS DESARROLLOCORTO,
+           u.unidad AS UNIDAD, u.etapa AS ETAPA, ' ' || u.unidad AS CLIENTE,
+           'n/a' AS STATUS_TERCERO,
+           CASE WHEN l_suppkey % 3 = 0 THEN ' ' ELSE 'tercero ' || CAST(l_suppkey AS VARCHAR) END
+               AS NOMBRETERCERO,
            ' ' || CAST(l_linenumber AS VARCHAR) AS FOLIO,
            CASE WHEN l_linestatus = 'O' THEN 'Activo ' ELSE ' Cancelado' END AS STATUSINGRESO,
            CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS FECHA_INGRESO,
@@ -446,16 +502,22 @@ def _sql_raw_payments(canceled: bool) -> str:
     if canceled:
         return f"""SELECT {common},
            CAST(l_extendedprice AS DECIMAL(18,2)) AS MONTOPAGADO
-        FROM lineitem WHERE l_returnflag = 'R'"""
+        FROM {_SQL_PAYMENT_FROM} WHERE l_returnflag = 'R'"""
     return f"""SELECT l_orderkey AS id_venta, {common},
            CASE WHEN l_partkey % 97 = 0 THEN '1,234.50'
                 ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS MONTOPAGADO,
            CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS FECHA_CAPTURA
-        FROM lineitem"""
+        FROM {_SQL_PAYMENT_FROM}"""
 
 
 def _sql_stage_payment_cols(amount: str) -> str:
     return f"""
+           trim(STATUSVENTA) AS status_venta, trim(CONCEPTO) AS concepto,
+           trim(upper(DESARROLLOLARGO)) AS desarrollo_largo,
+           trim(upper(DESARROLLOCORTO)) AS desarrollo_corto, trim(upper(UNIDAD)) AS unidad,
+           trim(ETAPA) AS etapa, trim(upper(CLIENTE)) AS cliente,
+           trim(upper(STATUS_TERCERO)) AS status_tercero,
+           nullif(trim(upper(NOMBRETERCERO)), '') AS nombre_tercero,
            trim(STATUSINGRESO) AS status_ingreso, trim(FOLIO) AS folio,
            try_cast(FECHA_INGRESO AS DATE) AS fecha_ingreso,
            try_cast(FECHA_ARMOTIZACION AS DATE) AS fecha_amortizacion,
