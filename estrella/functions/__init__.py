@@ -7,7 +7,7 @@ from estrella.functions.casting import (
     safe_decimal,
     safe_int_with_words,
 )
-from estrella.functions.dates import date_attributes
+from estrella.functions.dates import date_attributes, datediff_days
 from estrella.functions.encoding import damage_utf8_as_latin1, repair_mojibake
 from estrella.functions.keys import (
     all_present,
@@ -33,7 +33,7 @@ from estrella.functions.text import (
 )
 
 __all__ = [
-    "all_present", "blank_normalised", "damage_utf8_as_latin1", "date_attributes",
+    "all_present", "blank_normalised", "datediff_days", "damage_utf8_as_latin1", "date_attributes",
     "empty_to_null", "fallback_key", "full_name", "guarded_key", "lower_trimmed", "money",
     "natural_key", "normalize_plan", "null_token", "null_tokens", "percent_half_up",
     "repair_mojibake", "safe_date", "safe_date_from_text", "safe_decimal",

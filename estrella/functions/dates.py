@@ -26,3 +26,8 @@ def date_attributes(c: Column | str) -> dict[str, Column]:
         "week_of_year": F.weekofyear(d),
         "is_weekend": F.coalesce(F.dayofweek(d).isin(WEEKEND_DAYS), F.lit(False)),
     }
+
+
+def datediff_days(end: Column | str, start: Column | str) -> Column:
+    """Signed ``datediff(end, start)`` in days; null when either date is null."""
+    return F.datediff(col_(end), col_(start))
