@@ -23,6 +23,7 @@ from estrella.functions import (
     natural_key,
     normalize_plan,
     surrogate_key,
+    upper_trimmed,
 )
 from estrella.functions.keys import SURROGATE_NULL_TOKEN
 from estrella.operators import (
@@ -310,10 +311,10 @@ def sales_list(t: Tables) -> DataFrame:
     k = F.col("o_orderkey")
     return o.join(u, o.o_custkey == u.c_custkey, "inner").select(
         k.alias("id_venta"),
-        "desarrollo_largo",
-        F.when(k % 10 != 0, F.col("desarrollo_corto")).alias("desarrollo_corto"),
-        "unidad",
-        "modelo",
+        upper_trimmed("desarrollo_largo").alias("desarrollo_largo"),
+        F.when(k % 10 != 0, upper_trimmed("desarrollo_corto")).alias("desarrollo_corto"),
+        upper_trimmed("unidad").alias("unidad"),
+        upper_trimmed("modelo").alias("modelo"),
         F.trim(F.col("o_orderstatus")).alias("status_venta"),
         F.trim(F.col("o_orderpriority")).alias("status_unidad"),
         normalize_plan(plan_label(k)).alias("plan"),
@@ -325,9 +326,11 @@ def sales_list(t: Tables) -> DataFrame:
 
 
 SQL_SALES_LIST = f"""
-    SELECT o.o_orderkey AS id_venta, u.desarrollo_largo,
-           CASE WHEN o.o_orderkey % 10 <> 0 THEN u.desarrollo_corto END AS desarrollo_corto,
-           u.unidad, u.modelo, trim(o.o_orderstatus) AS status_venta,
+    SELECT o.o_orderkey AS id_venta, trim(upper(u.desarrollo_largo)) AS desarrollo_largo,
+           CASE WHEN o.o_orderkey % 10 <> 0 THEN trim(upper(u.desarrollo_corto)) END
+               AS desarrollo_corto,
+           trim(upper(u.unidad)) AS unidad, trim(upper(u.modelo)) AS modelo,
+           trim(o.o_orderstatus) AS status_venta,
            trim(o.o_orderpriority) AS status_unidad,
            {sql_plan_chain(sql_plan_label("o.o_orderkey"))} AS plan,
            'EQUIPO ' || u.etapa AS equipo,
@@ -370,8 +373,18 @@ def dim_units(sales: DataFrame, attributes: DataFrame, seed: DataFrame) -> DataF
     )
 
 
+def units_report(t: Tables) -> DataFrame:
+    """Unit attributes as the customer report states them, cleaned like staging."""
+    return customer_units(t).select(
+        upper_trimmed("desarrollo_largo").alias("desarrollo_largo"),
+        upper_trimmed("desarrollo_corto").alias("desarrollo_corto"),
+        upper_trimmed("unidad").alias("unidad"),
+        F.trim(F.col("etapa")).alias("etapa"),
+    )
+
+
 def units_dimension(t: Tables) -> DataFrame:
-    return dim_units(sales_list(t), unit_attributes(customer_units(t)), group_seed(t))
+    return dim_units(sales_list(t), unit_attributes(units_report(t)), group_seed(t))
 
 
 SQL_DIM_UNITS = f"""
@@ -379,7 +392,11 @@ SQL_DIM_UNITS = f"""
                WHERE desarrollo_largo IS NOT NULL AND unidad IS NOT NULL),
     a AS (SELECT desarrollo_largo, unidad, max(desarrollo_corto) AS desarrollo_corto,
                  max(etapa) AS etapa
-          FROM ({SQL_CUSTOMER_UNITS}) WHERE desarrollo_largo IS NOT NULL AND unidad IS NOT NULL
+          FROM (SELECT trim(upper(desarrollo_largo)) AS desarrollo_largo,
+                       trim(upper(desarrollo_corto)) AS desarrollo_corto,
+                       trim(upper(unidad)) AS unidad, trim(etapa) AS etapa
+                FROM ({SQL_CUSTOMER_UNITS}))
+          WHERE desarrollo_largo IS NOT NULL AND unidad IS NOT NULL
           GROUP BY desarrollo_largo, unidad),
     base AS (SELECT DISTINCT v.desarrollo_largo,
                     coalesce(v.desarrollo_corto, a.desarrollo_corto) AS desarrollo_corto,
