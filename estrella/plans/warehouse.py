@@ -460,23 +460,24 @@ def null_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Survivor dedup, distinct rows, distinct values per key
 
 
-SALE_ATTRIBUTE_EXPRS = {
-    "asesor": F.col("l_suppkey").cast("string"),
-    "plan": F.col("l_returnflag"),
-    "enganche": money("l_extendedprice"),
-    "fecha_contrato": F.col("l_shipdate").cast("date"),
-    "num_mensualidades": F.col("l_linenumber"),
-    "valor_escritura": F.col("l_quantity").cast("int").cast("string"),
-}
+def sale_attribute_exprs() -> dict:
+    return {
+        "asesor": F.col("l_suppkey").cast("string"),
+        "plan": F.col("l_returnflag"),
+        "enganche": money("l_extendedprice"),
+        "fecha_contrato": F.col("l_shipdate").cast("date"),
+        "num_mensualidades": F.col("l_linenumber"),
+        "valor_escritura": F.col("l_quantity").cast("int").cast("string"),
+    }
 
 
 def sale_attributes(t: Tables) -> DataFrame:
     """Per sale, the independent max of each attribute (text max is lexicographic)."""
+    exprs = sale_attribute_exprs()
     l = t.lineitem.select(
-        F.col("l_orderkey").alias("id_venta"),
-        *[e.alias(n) for n, e in SALE_ATTRIBUTE_EXPRS.items()],
+        F.col("l_orderkey").alias("id_venta"), *[e.alias(n) for n, e in exprs.items()]
     )
-    return survivor_max(require_present(l, "id_venta"), ["id_venta"], list(SALE_ATTRIBUTE_EXPRS))
+    return survivor_max(require_present(l, "id_venta"), ["id_venta"], list(exprs))
 
 
 SQL_SALE_ATTRIBUTES = """
