@@ -190,7 +190,7 @@ def party_key_conflicts_of(parties: DataFrame) -> DataFrame:
 )
 def party_key_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Party natural keys carrying more than one RFC, CURP or e-mail."""
-    return party_key_conflicts_of(W.sale_parties_of(Tables(spark, sf_dir)))
+    return party_key_conflicts_of(W.sale_parties_of(Tables(spark, sf_dir), distinct=False))
 
 
 @register(
@@ -261,9 +261,11 @@ def main_customer_count_audit(sales_fact: DataFrame, bridge: DataFrame) -> DataF
 )
 def exactly_one_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    sales_fact = W.sales_fact_of(t)
-    bridge = W.bridge_sale_party(W.sale_parties_of(t), sales_fact)
-    return main_customer_count_audit(sales_fact, bridge)
+    # the audit groups by sale and counts distinct parties, so the sale list's keys
+    # stand for the whole sales fact
+    sale_keys = W.sale_keys_of(W.sales_list(t))
+    bridge = W.bridge_sale_party(W.sale_parties_of(t, distinct=False), sale_keys)
+    return main_customer_count_audit(sale_keys, bridge)
 
 
 # ---------------------------------------------------------------------------
@@ -337,9 +339,9 @@ AUDIT_NO_KEY = "sin_llave_confiable"
 def relation_coverage(t: Tables) -> DataFrame:
     sales_fact = W.sales_fact_of(t)
     branches = [
-        coverage(W.payments_fact_of(t), sales_fact, "venta_key", "venta_key",
+        coverage(W.payment_measures(t), sales_fact, "venta_key", "venta_key",
                  "fct_ingresos -> fct_ventas", AUDIT_OPTIONAL),
-        coverage(W.fact_overdue(staged_overdue(t)), sales_fact, "venta_key", "venta_key",
+        coverage(W.overdue_measures(t), sales_fact, "venta_key", "venta_key",
                  "fct_pagos_vencidos -> fct_ventas", AUDIT_OPTIONAL),
         coverage(M.schedule_of(t), W.units_dimension(t), "unidad_key", "unidad_key",
                  "fct_cronograma_unidades -> dim_unidades", AUDIT_OPTIONAL),
@@ -390,9 +392,9 @@ def quality_checks(t: Tables) -> list[Check]:
     overdue = W.fact_overdue(staged_overdue(t))
     schedule = M.schedule_of(t)
     units = W.units_dimension(t)
-    parties = W.sale_parties_of(t)
-    sales_fact = W.sales_fact_of(t)
-    bridge = W.bridge_sale_party(parties, sales_fact)
+    parties = W.sale_parties_of(t, distinct=False)
+    sale_keys = W.sale_keys_of(W.sales_list(t))
+    bridge = W.bridge_sale_party(parties, sale_keys)
     payments = stage_payments(raw_payments(t))
     return [
         Check("not_null_status_venta", "error", check_not_null(nullable, "status_venta")),
@@ -406,7 +408,7 @@ def quality_checks(t: Tables) -> list[Check]:
         Check("conflictos_ventas_atributos", "error", sale_attribute_conflicts(payments)),
         Check("conflictos_persona_natural_key", "warn", party_key_conflicts_of(parties)),
         Check("ventas_con_mas_de_un_cliente_principal", "warn",
-              main_customer_count_audit(sales_fact, bridge)),
+              main_customer_count_audit(sale_keys, bridge)),
     ]
 
 

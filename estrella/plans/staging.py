@@ -98,10 +98,14 @@ def raw_dashboard(t: Tables) -> DataFrame:
         dirty_date(k, F.col("o_orderdate").cast("date")).alias("FECHAPRIMERENGANCHE"),
         F.when(k % 8 == 0, F.lit("NULL")).otherwise(F.col("o_custkey").cast("string"))
         .alias("COMISIONASESOR"),
-        "o_orderstatus",
+        F.explode(
+            F.when(F.col("o_orderstatus") == "P", F.array(F.lit(1), F.lit(2))).otherwise(
+                F.array(F.lit(1))
+            )
+        ).alias("__copy"),
     )
-    repeated = raw.where(F.col("o_orderstatus") == "P")
-    return raw.unionByName(repeated).drop("o_orderstatus")
+    # one scan: pending orders come out twice (a Generate, not a second read + union)
+    return raw.drop("__copy")
 
 
 SQL_RAW_DASHBOARD = f"""
@@ -424,15 +428,27 @@ def stage_canceled_payments(raw: DataFrame) -> DataFrame:
     )
 
 
-def raw_payments(t: Tables, canceled: bool = False) -> DataFrame:
+_UNIT_ROLE_COLS = ["desarrollo_largo", "desarrollo_corto", "unidad", "etapa"]
+
+
+def _typed_nulls(df: DataFrame, cols: dict[str, str]) -> DataFrame:
+    return df.withColumns({c: F.lit(None).cast(t) for c, t in cols.items()})
+
+
+def raw_payments(t: Tables, canceled: bool = False, enrich: bool = True) -> DataFrame:
+    """Payment report. ``enrich=False`` skips the sale / unit lookups (their columns
+    are null); only for readers of payment-level columns - see ``payment_measures``."""
     l = t.lineitem
     if canceled:
         l = l.where(F.col("l_returnflag") == "R")
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
-    u = customer_units(t)
-    l = l.join(o, l.l_orderkey == o.o_orderkey, "left").join(
-        u, F.col("o_custkey") == u.c_custkey, "left"
-    )
+    if enrich:
+        o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+        u = customer_units(t)
+        l = l.join(o, l.l_orderkey == o.o_orderkey, "left").join(
+            u, F.col("o_custkey") == u.c_custkey, "left"
+        )
+    else:
+        l = _typed_nulls(l, {"o_orderstatus": "string", **{c: "string" for c in _UNIT_ROLE_COLS}})
     k = F.col("l_orderkey")
     sd = F.col("l_shipdate").cast("date")
     amount = money("l_extendedprice")
@@ -644,13 +660,17 @@ def stage_overdue(raw: DataFrame) -> DataFrame:
     )
 
 
-def raw_overdue(t: Tables) -> DataFrame:
+def raw_overdue(t: Tables, enrich: bool = True) -> DataFrame:
+    """Overdue report (returned lines with days late). ``enrich=False`` skips the
+    unit lookup (unit columns null); see ``overdue_measures``."""
     l = t.lineitem.where(F.col("l_returnflag") == "R")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    u = customer_units(t)
-    j = l.join(o, l.l_orderkey == o.o_orderkey, "inner").join(
-        u, F.col("o_custkey") == u.c_custkey, "left"
-    )
+    j = l.join(o, l.l_orderkey == o.o_orderkey, "inner")
+    if enrich:
+        u = customer_units(t)
+        j = j.join(u, F.col("o_custkey") == u.c_custkey, "left")
+    else:
+        j = _typed_nulls(j, {c: "string" for c in _UNIT_ROLE_COLS})
     k = F.col("l_orderkey") + F.col("l_linenumber")
     sd = F.col("l_shipdate").cast("date")
     return j.select(
@@ -703,8 +723,8 @@ SQL_STAGING_OVERDUE = f"""
     FROM ({SQL_RAW_OVERDUE})"""
 
 
-def staged_overdue(t: Tables) -> DataFrame:
-    return stage_overdue(raw_overdue(t))
+def staged_overdue(t: Tables, enrich: bool = True) -> DataFrame:
+    return stage_overdue(raw_overdue(t, enrich))
 
 
 @register("staging_overdue", SQL_STAGING_OVERDUE)

@@ -547,14 +547,22 @@ def party_reports_by_sale(t: Tables) -> tuple[DataFrame, DataFrame]:
     return stage_parties(main, ROLE_MAIN, False), stage_parties(co, ROLE_CO_OWNER, False)
 
 
-def sale_parties(main: DataFrame, co_owners: DataFrame) -> DataFrame:
-    """Union of both party reports, identity columns, sales present, distinct rows."""
+def sale_parties(main: DataFrame, co_owners: DataFrame, distinct: bool = True) -> DataFrame:
+    """Union of both party reports, identity columns, sales present, distinct rows.
+
+    ``distinct=False`` skips the whole-row distinct for readers that do not depend
+    on row multiplicity: a reader that projects and then de-duplicates (the
+    bridge), takes per-key maxima (the party dimension) or counts distinct values
+    (conflict audits) gets the same result, and without the distinct Catalyst can
+    prune the ~30 staged columns down to the ones the reader uses.
+    """
     union = main.select(*PARTY_COLS).unionByName(co_owners.select(*PARTY_COLS))
-    return with_party_identity(require_present(union, "id_venta")).distinct()
+    prepared = with_party_identity(require_present(union, "id_venta"))
+    return prepared.distinct() if distinct else prepared
 
 
-def sale_parties_of(t: Tables) -> DataFrame:
-    return sale_parties(*party_reports_by_sale(t))
+def sale_parties_of(t: Tables, distinct: bool = True) -> DataFrame:
+    return sale_parties(*party_reports_by_sale(t), distinct=distinct)
 
 
 _SQL_MAIN_RAW = f"""
@@ -611,7 +619,7 @@ SQL_DIM_PARTIES = f"""
 
 @register("party_dim", SQL_DIM_PARTIES)
 def party_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dim_parties(sale_parties_of(Tables(spark, sf_dir)))
+    return dim_parties(sale_parties_of(Tables(spark, sf_dir), distinct=False))
 
 
 def sale_keys(t: Tables) -> DataFrame:
@@ -620,6 +628,12 @@ def sale_keys(t: Tables) -> DataFrame:
     )
 
 
+def sale_keys_of(sales: DataFrame) -> DataFrame:
+    """(venta_key, id_venta) of the sale list. The bridge ends in a distinct, so
+    joining these keys gives the same rows as joining the whole sales fact."""
+    return sales.select(surrogate_key("id_venta").alias("venta_key"), "id_venta")
+
+
 def bridge_sale_party(parties: DataFrame, sales: DataFrame) -> DataFrame:
     """Distinct (sale, party, role) for parties whose sale exists."""
     p = require_present(parties, "id_venta", "persona_natural_key")
@@ -645,7 +659,7 @@ SQL_BRIDGE = f"""
 @register("bridge", SQL_BRIDGE)
 def bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    return bridge_sale_party(sale_parties_of(t), sale_keys(t))
+    return bridge_sale_party(sale_parties_of(t, distinct=False), sale_keys(t))
 
 
 # ---------------------------------------------------------------------------
@@ -735,6 +749,23 @@ def payments_fact_of(t: Tables) -> DataFrame:
     return fact_payments(stage_payments(raw_payments(t)))
 
 
+PAYMENT_MEASURES = ["venta_key", "id_venta", "monto_pagado", "status_ingreso", "fecha_ingreso"]
+OVERDUE_MEASURES = ["venta_key", "id_venta", "monto_vencido", "dias_atraso", "fecha_pago"]
+
+
+def payment_measures(t: Tables) -> DataFrame:
+    """The payment fact restricted to columns that do not come from the sale / unit
+    lookups. Those lookups are left joins on unique keys (one order per order key,
+    one unit per customer), so they neither add nor drop payment rows: skipping them
+    yields exactly these columns of the full fact without two large joins."""
+    return fact_payments(stage_payments(raw_payments(t, enrich=False))).select(*PAYMENT_MEASURES)
+
+
+def overdue_measures(t: Tables) -> DataFrame:
+    """The overdue fact restricted to columns that do not need the unit lookup."""
+    return fact_overdue(staged_overdue(t, enrich=False)).select(*OVERDUE_MEASURES)
+
+
 SQL_FACT_PAYMENTS = f"""
     SELECT {sql_sk(*PAYMENT_KEY_COLS)} AS ingreso_key, {sql_sk("id_venta")} AS venta_key, id_venta,
            {sql_sk("desarrollo_largo", "unidad")} AS unidad_key, {", ".join(PAYMENT_FACT_COLS)}

@@ -55,11 +55,37 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+# Tables whose per-row work is worth spreading when the files give too few splits.
+# The lookups (region, nation, supplier) stay as read: they are broadcast.
+LARGE_TABLES = {"lineitem", "orders", "customer", "part", "events", "documents"}
+MIN_PARTITIONS_CONF = "spark.estrella.scan.minPartitions"
+
+
+def spread_if_underpartitioned(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition a scan that yields fewer splits than the cluster has slots.
+
+    A Parquet split cannot be smaller than a row group, so a file written as one
+    row group is read by a single task and every expression above it runs on one
+    core until the first shuffle. At warehouse scale a table has thousands of
+    splits and this is a no-op; on small single-row-group files it spreads the
+    rows once. Filters and column pruning still reach the scan (Catalyst pushes
+    them through the repartition).
+    """
+    spark = df.sparkSession
+    if min_partitions is None:
+        conf = spark.conf.get(MIN_PARTITIONS_CONF, None)
+        min_partitions = int(conf) if conf else spark.sparkContext.defaultParallelism
+    if min_partitions <= 1 or df.rdd.getNumPartitions() >= min_partitions:
+        return df
+    return df.repartition(min_partitions)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one input table with its declared schema."""
     if name not in SCHEMAS:
         raise KeyError(f"unknown table {name!r}; known: {sorted(SCHEMAS)}")
-    return spark.read.schema(SCHEMAS[name]).parquet(table_path(sf_dir, name))
+    df = spark.read.schema(SCHEMAS[name]).parquet(table_path(sf_dir, name))
+    return spread_if_underpartitioned(df) if name in LARGE_TABLES else df
 
 
 class Tables:
