@@ -533,18 +533,30 @@ PARTY_COLS = [
 ]
 
 
+def _staged_party_rows(df: DataFrame, id_col: str, name_col: str, nation_col: str, role: str):
+    """Clean each party once, keyed by party id (``__party``)."""
+    staged = stage_parties(raw_parties(df, id_col, name_col, nation_col), role, False)
+    return staged.withColumnRenamed("id_venta", "__party")
+
+
 def party_reports_by_sale(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Main-customer and co-owner reports: one row per (sale, party), staged.
+
+    The cleaning depends only on the party's own columns, so each party is staged
+    once and then attached to its sales - the same rows as staging the per-sale
+    report, with the string work done per party instead of per (sale, party).
+    """
     o = t.orders.select("o_orderkey", "o_custkey")
-    cust = raw_parties(t.customer, "c_custkey", "c_name", "c_nationkey").drop("id_venta")
-    main = o.join(cust, o.o_custkey == cust.party_id, "inner").withColumnRenamed(
-        "o_orderkey", "id_venta"
+    cust = _staged_party_rows(t.customer, "c_custkey", "c_name", "c_nationkey", ROLE_MAIN)
+    main = o.join(cust, o.o_custkey == cust["__party"], "inner").select(
+        F.col("o_orderkey").alias("id_venta"), *[c for c in cust.columns if c != "__party"]
     )
     lines = t.lineitem.select("l_orderkey", "l_suppkey").distinct()
-    supp = raw_parties(t.supplier, "s_suppkey", "s_name", "s_nationkey").drop("id_venta")
-    co = lines.join(supp, lines.l_suppkey == supp.party_id, "inner").withColumnRenamed(
-        "l_orderkey", "id_venta"
+    supp = _staged_party_rows(t.supplier, "s_suppkey", "s_name", "s_nationkey", ROLE_CO_OWNER)
+    co = lines.join(supp, lines.l_suppkey == supp["__party"], "inner").select(
+        F.col("l_orderkey").alias("id_venta"), *[c for c in supp.columns if c != "__party"]
     )
-    return stage_parties(main, ROLE_MAIN, False), stage_parties(co, ROLE_CO_OWNER, False)
+    return main, co
 
 
 def sale_parties(main: DataFrame, co_owners: DataFrame, distinct: bool = True) -> DataFrame:
