@@ -442,11 +442,12 @@ def raw_payments(t: Tables, canceled: bool = False, enrich: bool = True) -> Data
     if canceled:
         l = l.where(F.col("l_returnflag") == "R")
     if enrich:
+        # orders get their unit first, so the (largest) payment side is shuffled once,
+        # by order key; both lookups are on unique keys
         o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
         u = customer_units(t)
-        l = l.join(o, l.l_orderkey == o.o_orderkey, "left").join(
-            u, F.col("o_custkey") == u.c_custkey, "left"
-        )
+        ou = o.join(u, o.o_custkey == u.c_custkey, "left")
+        l = l.join(ou, l.l_orderkey == ou.o_orderkey, "left")
     else:
         l = _typed_nulls(l, {"o_orderstatus": "string", **{c: "string" for c in _UNIT_ROLE_COLS}})
     k = F.col("l_orderkey")
@@ -665,11 +666,12 @@ def raw_overdue(t: Tables, enrich: bool = True) -> DataFrame:
     unit lookup (unit columns null); see ``overdue_measures``."""
     l = t.lineitem.where(F.col("l_returnflag") == "R")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    j = l.join(o, l.l_orderkey == o.o_orderkey, "inner")
     if enrich:
+        # attach the unit to the orders first: the overdue lines are shuffled once
         u = customer_units(t)
-        j = j.join(u, F.col("o_custkey") == u.c_custkey, "left")
-    else:
+        o = o.join(u, o.o_custkey == u.c_custkey, "left")
+    j = l.join(o, l.l_orderkey == o.o_orderkey, "inner")
+    if not enrich:
         j = _typed_nulls(j, {c: "string" for c in _UNIT_ROLE_COLS})
     k = F.col("l_orderkey") + F.col("l_linenumber")
     sd = F.col("l_shipdate").cast("date")
