@@ -190,7 +190,7 @@ def party_key_conflicts_of(parties: DataFrame) -> DataFrame:
 )
 def party_key_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Party natural keys carrying more than one RFC, CURP or e-mail."""
-    return party_key_conflicts_of(W.sale_parties_of(Tables(spark, sf_dir), distinct=False))
+    return party_key_conflicts_of(W.party_profiles(Tables(spark, sf_dir)))
 
 
 @register(
@@ -286,8 +286,9 @@ def exactly_one_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def conflict_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every party row of a conflicting natural key, sorted for review."""
-    parties = W.sale_parties_of(Tables(spark, sf_dir))
-    keys = party_key_conflicts_of(parties).select("persona_natural_key")
+    t = Tables(spark, sf_dir)
+    parties = W.sale_parties_of(t)
+    keys = party_key_conflicts_of(W.party_profiles(t)).select("persona_natural_key")
     detail = parties.join(keys, "persona_natural_key", "left_semi").select(
         "persona_natural_key", "id_venta", "rol_persona_en_venta", "nombre_completo", "rfc",
         "curp", F.lower(F.trim("email")).alias("email"), "telefono_celular",
@@ -406,7 +407,7 @@ def quality_checks(t: Tables) -> list[Check]:
         Check("relationship_cronograma_unidades", "warn",
               check_relationship(schedule, "unidad_key", units, "unidad_key")),
         Check("conflictos_ventas_atributos", "error", sale_attribute_conflicts(payments)),
-        Check("conflictos_persona_natural_key", "warn", party_key_conflicts_of(parties)),
+        Check("conflictos_persona_natural_key", "warn", party_key_conflicts_of(W.party_profiles(t))),
         Check("ventas_con_mas_de_un_cliente_principal", "warn",
               main_customer_count_audit(sale_keys, bridge)),
     ]

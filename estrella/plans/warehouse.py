@@ -577,6 +577,25 @@ def sale_parties_of(t: Tables, distinct: bool = True) -> DataFrame:
     return sale_parties(*party_reports_by_sale(t), distinct=distinct)
 
 
+def party_profiles(t: Tables) -> DataFrame:
+    """One staged row per (role, party) that takes part in at least one sale.
+
+    For readers that aggregate per natural key - the party dimension (max of each
+    attribute) and the party-key conflict audit (distinct values) - these rows give
+    the same result as the (sale, party) union: a party's attributes and natural key
+    do not depend on the sale, so its repeats across sales add nothing. The sales are
+    only needed as a semi-join (does the party appear in a sale with an id?).
+    """
+    orders = t.orders.where(F.col("o_orderkey").isNotNull()).select("o_custkey")
+    lines = t.lineitem.where(F.col("l_orderkey").isNotNull()).select("l_suppkey")
+    cust = _staged_party_rows(t.customer, "c_custkey", "c_name", "c_nationkey", ROLE_MAIN)
+    supp = _staged_party_rows(t.supplier, "s_suppkey", "s_name", "s_nationkey", ROLE_CO_OWNER)
+    cust = cust.join(orders, cust["__party"] == orders.o_custkey, "left_semi")
+    supp = supp.join(lines, supp["__party"] == lines.l_suppkey, "left_semi")
+    cols = [c for c in PARTY_COLS if c != "id_venta"]
+    return with_party_identity(cust.select(*cols).unionByName(supp.select(*cols)))
+
+
 _SQL_MAIN_RAW = f"""
     SELECT o.o_orderkey AS id_venta, r.* EXCLUDE (id_venta)
     FROM (SELECT DISTINCT o_orderkey, o_custkey FROM orders) o
@@ -631,7 +650,7 @@ SQL_DIM_PARTIES = f"""
 
 @register("party_dim", SQL_DIM_PARTIES)
 def party_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dim_parties(sale_parties_of(Tables(spark, sf_dir), distinct=False))
+    return dim_parties(party_profiles(Tables(spark, sf_dir)))
 
 
 def sale_keys(t: Tables) -> DataFrame:
