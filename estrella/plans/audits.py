@@ -333,6 +333,11 @@ def orphan_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphan_count(payments, W.sales_list(t), "id_venta", "id_venta", "ingresos_sin_venta")
 
 
+# Labels of the relation-coverage report (relation names and audit types).
+REL_PAYMENTS_SALES = "fct_ingresos -> fct_ventas"
+REL_OVERDUE_SALES = "fct_pagos_vencidos -> fct_ventas"
+REL_SCHEDULE_UNITS = "fct_cronograma_unidades -> dim_unidades"
+REL_INVOICES_SALES = "fct_facturas -> fct_ventas"
 AUDIT_OPTIONAL = "auditoria_no_obligatoria"
 AUDIT_NO_KEY = "sin_llave_confiable"
 
@@ -341,13 +346,13 @@ def relation_coverage(t: Tables) -> DataFrame:
     sales_fact = W.sales_fact_of(t)
     branches = [
         coverage(W.payment_measures(t), sales_fact, "venta_key", "venta_key",
-                 "fct_ingresos -> fct_ventas", AUDIT_OPTIONAL),
+                 REL_PAYMENTS_SALES, AUDIT_OPTIONAL),
         coverage(W.overdue_measures(t), sales_fact, "venta_key", "venta_key",
-                 "fct_pagos_vencidos -> fct_ventas", AUDIT_OPTIONAL),
+                 REL_OVERDUE_SALES, AUDIT_OPTIONAL),
         coverage(M.schedule_of(t), W.units_dimension(t), "unidad_key", "unidad_key",
-                 "fct_cronograma_unidades -> dim_unidades", AUDIT_OPTIONAL),
+                 REL_SCHEDULE_UNITS, AUDIT_OPTIONAL),
         no_key_coverage(W.fact_invoices(W.stage_invoices(W.raw_invoices(t))),
-                        "fct_facturas -> fct_ventas", AUDIT_NO_KEY),
+                        REL_INVOICES_SALES, AUDIT_NO_KEY),
     ]
     return functools.reduce(DataFrame.unionByName, branches)
 
@@ -365,13 +370,10 @@ def _sql_coverage(child: str, parent: str, key: str, relation: str) -> str:
     "coverage_audit",
     " UNION ALL ".join(
         [
-            _sql_coverage(W.SQL_FACT_PAYMENTS, W.SQL_FACT_SALES, "venta_key",
-                          "fct_ingresos -> fct_ventas"),
-            _sql_coverage(W.SQL_FACT_OVERDUE, W.SQL_FACT_SALES, "venta_key",
-                          "fct_pagos_vencidos -> fct_ventas"),
-            _sql_coverage(M.SQL_SCHEDULE_SNAPSHOT, W.SQL_DIM_UNITS, "unidad_key",
-                          "fct_cronograma_unidades -> dim_unidades"),
-            f"""SELECT 'fct_facturas -> fct_ventas' AS relacion, count(*) AS total_registros,
+            _sql_coverage(W.SQL_FACT_PAYMENTS, W.SQL_FACT_SALES, "venta_key", REL_PAYMENTS_SALES),
+            _sql_coverage(W.SQL_FACT_OVERDUE, W.SQL_FACT_SALES, "venta_key", REL_OVERDUE_SALES),
+            _sql_coverage(M.SQL_SCHEDULE_SNAPSHOT, W.SQL_DIM_UNITS, "unidad_key", REL_SCHEDULE_UNITS),
+            f"""SELECT '{REL_INVOICES_SALES}' AS relacion, count(*) AS total_registros,
                        CAST(NULL AS BIGINT) AS con_relacion, CAST(NULL AS BIGINT) AS sin_relacion,
                        CAST(NULL AS DOUBLE) AS cobertura_pct, '{AUDIT_NO_KEY}' AS tipo_auditoria
                 FROM ({W.SQL_FACT_INVOICES})""",
@@ -467,7 +469,7 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     mart = M.collections_mart(spark, sf_dir)
     root = shared_scratch_root(spark, f"estrella-sinks-{uuid.uuid4().hex}")
-    publish(mart, "marts", "mart_cobranza_por_venta", root)
-    table = publish(mart, "marts", "mart_cobranza_por_venta", root)
-    view = publish(table, "staging", "mart_cobranza_por_venta_view", root)
-    return publish(view, "int", "mart_cobranza_por_venta_eph", root)
+    publish(mart, "marts", "collections_by_sale", root)
+    table = publish(mart, "marts", "collections_by_sale", root)
+    view = publish(table, "staging", "collections_by_sale_view", root)
+    return publish(view, "int", "collections_by_sale_inline", root)
