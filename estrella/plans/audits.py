@@ -473,3 +473,28 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = publish(mart, "marts", "collections_by_sale", root)
     view = publish(table, "staging", "collections_by_sale_view", root)
     return publish(view, "int", "collections_by_sale_inline", root)
+
+
+@register("seed_lookup", W.SQL_DIM_UNITS)
+def seed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The units dimension with its group seed read from a header CSV.
+
+    The seed (development long / short name -> group) is derived from the nation
+    and region tables, written as a CSV seed file under the shared checkpoint
+    folder and read back with the declared seed schema - the path a maintained
+    CSV lookup takes.
+    """
+    from estrella.plans.roles import group_seed
+    from estrella.sources import read_seed_csv
+
+    t = Tables(spark, sf_dir)
+    path = shared_scratch_root(spark, f"estrella-seed-{uuid.uuid4().hex}")
+    seed = group_seed(t).select(
+        F.initcap(F.col("grupo_2")).alias("GRUPO"),
+        F.col("desarrollo_corto").alias("DESARROLLO_CORTO"),
+        F.col("desarrollo_largo").alias("DESARROLLO_LARGO"),
+        F.col("grupo_2").alias("GRUPO_2"),
+    )
+    seed.write.mode("overwrite").option("header", True).csv(path)
+    lookup = read_seed_csv(spark, path)
+    return W.dim_units(W.sales_list(t), W.unit_attributes(W.units_report(t)), lookup)
