@@ -55,6 +55,7 @@ def publish(
     target_name: str = "prod",
     target_schema: str = "default",
     partition_by: list[str] | None = None,
+    materialized: str | None = None,
 ) -> DataFrame:
     """Materialise ``df`` as its layer says and return the frame readers should use.
 
@@ -63,8 +64,11 @@ def publish(
       upstream);
     * view: register a temp view named ``<schema>__<table>`` and return it;
     * ephemeral: return ``df`` itself.
+
+    ``materialized`` overrides the layer's setting (e.g. write the warehouse layer
+    as tables in a full build so every mart reads it instead of recomputing it).
     """
-    kind = LAYERS.get(layer, {}).get("materialized", "view")
+    kind = materialized or LAYERS.get(layer, {}).get("materialized", "view")
     spark = df.sparkSession
     if kind == "table":
         path = layer_location(root, layer, table, target_name, target_schema)
