@@ -799,7 +799,9 @@ def overdue_measures(t: Tables) -> DataFrame:
 
 SQL_FACT_PAYMENTS = f"""
     SELECT {sql_sk(*PAYMENT_KEY_COLS)} AS ingreso_key, {sql_sk("id_venta")} AS venta_key, id_venta,
-           {sql_sk("desarrollo_largo", "unidad")} AS unidad_key, {", ".join(PAYMENT_FACT_COLS)}
+           {sql_sk("desarrollo_largo", "unidad")} AS unidad_key,
+           {", ".join(c for c in PAYMENT_FACT_COLS if c != "monto_pagado")},
+           CAST(monto_pagado AS DECIMAL(10,2)) AS monto_pagado
     FROM ({SQL_STAGING_PAYMENTS}) WHERE NOT es_venta_cancelada AND monto_pagado IS NOT NULL"""
 
 

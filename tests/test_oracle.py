@@ -27,3 +27,23 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "porcentaje_cobrado" in df.columns
+
+
+def _duck_type(dt):
+    from pyspark.sql import types as T
+
+    if isinstance(dt, T.DecimalType):
+        return f"DECIMAL({dt.precision},{dt.scale})"
+    return {
+        T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.StringType: "VARCHAR",
+        T.DoubleType: "DOUBLE", T.DateType: "DATE", T.BooleanType: "BOOLEAN",
+        T.TimestampNTZType: "TIMESTAMP",
+    }.get(type(dt), str(dt))
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_column_types_match_oracle(spark, duck, sf_small, key):
+    schema = entry.queries()[key](spark, sf_small).schema
+    rel = duck.sql(entry.oracle_sql()[key])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {f.name: _duck_type(f.dataType) for f in schema.fields} == duck_types
