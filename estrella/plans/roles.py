@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from estrella.functions import money
 from estrella.sources.tables import Tables
 
-# Fixed values used to derive deterministic dirt (shared with the SQL twins).
+# Fixed values shared with the SQL twins: raw plan labels (dirt), the milestone value
+# threshold, the role-mapped development exclusion list, the region left out of the
+# seed and the unparseable date text.
 PLAN_LABELS = [
     "CONTADO 5%", "48 MEESES X", "48 MESES. A", "48 MESES", "48 meses. a", "36 MESES.",
     " otro ", None,
