@@ -25,7 +25,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estrella.functions import money
 from estrella.sources.tables import Tables
 
 # Fixed values shared with the SQL twins: raw plan labels (dirt), the milestone value
@@ -40,17 +39,6 @@ EXCLUDED_SHORT_NAMES = ["N3", "N7"]
 SEED_EXCLUDED_REGION = "MIDDLE EAST"
 BAD_DATE_TEXT = "31/12/2020"
 
-# event_type -> milestone column of the schedule (value split for two types).
-MILESTONES = [
-    "rechazado", "proceso", "esperando_autorizacion", "aprobado_direccion_ventas",
-    "aprobado_juridico", "finalizado", "finalizado_liquidado",
-]
-
-
-def order_date(c: str = "o_orderdate") -> Column:
-    return F.col(c).cast("date")
-
-
 def dirty_date(k: Column, d: Column) -> Column:
     """Date text with the source's dirt: 'NULL', '', dd/mm/yyyy, outer blanks."""
     text = d.cast("string")
@@ -137,72 +125,3 @@ SQL_GROUP_SEED = f"""
            r.r_name AS grupo_2
     FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
     WHERE r.r_name <> '{SEED_EXCLUDED_REGION}'"""
-
-
-# ---------------------------------------------------------------------------
-# Sales
-
-
-def sales(t: Tables) -> DataFrame:
-    """Sale list with its unit: orders x customer units."""
-    o = t.orders
-    u = customer_units(t)
-    return o.join(u, o.o_custkey == u.c_custkey, "inner").select(
-        F.col("o_orderkey").alias("id_venta"),
-        F.col("o_custkey").alias("id_cliente"),
-        "desarrollo_largo", "desarrollo_corto", "unidad", "modelo",
-        F.trim(F.col("o_orderstatus")).alias("status_venta"),
-        F.col("o_orderpriority").alias("plan_raw"),
-        money("o_totalprice").alias("precio_venta"),
-        order_date().alias("fecha_venta"),
-    )
-
-
-SQL_SALES = f"""
-    SELECT o.o_orderkey AS id_venta, o.o_custkey AS id_cliente,
-           u.desarrollo_largo, u.desarrollo_corto, u.unidad, u.modelo,
-           trim(o.o_orderstatus) AS status_venta, o.o_orderpriority AS plan_raw,
-           CAST(o.o_totalprice AS DECIMAL(18,2)) AS precio_venta,
-           CAST(o.o_orderdate AS DATE) AS fecha_venta
-    FROM orders o JOIN ({SQL_CUSTOMER_UNITS}) u ON o.o_custkey = u.c_custkey"""
-
-
-# ---------------------------------------------------------------------------
-# Payments (lineitem). The unit of a payment is the unit of its sale.
-
-
-def payments(t: Tables, with_unit: bool = False) -> DataFrame:
-    l = t.lineitem
-    base = l.select(
-        F.col("l_orderkey").alias("id_venta"),
-        F.col("l_linenumber").alias("folio"),
-        F.col("l_partkey").alias("id_parte"),
-        F.col("l_suppkey").alias("id_proveedor"),
-        money("l_extendedprice").alias("monto_pagado"),
-        F.col("l_shipdate").cast("date").alias("fecha_ingreso"),
-        F.col("l_linestatus").alias("status_ingreso"),
-        F.col("l_returnflag").alias("forma_pago"),
-    )
-    if not with_unit:
-        return base
-    o = t.orders.select("o_orderkey", "o_custkey")
-    u = customer_units(t)
-    return (
-        base.join(o, base.id_venta == o.o_orderkey, "left")
-        .join(u, F.col("o_custkey") == u.c_custkey, "left")
-        .drop("o_orderkey", "o_custkey", "c_custkey", "modelo")
-    )
-
-
-SQL_PAYMENTS = """
-    SELECT l_orderkey AS id_venta, l_linenumber AS folio, l_partkey AS id_parte,
-           l_suppkey AS id_proveedor, CAST(l_extendedprice AS DECIMAL(18,2)) AS monto_pagado,
-           CAST(l_shipdate AS DATE) AS fecha_ingreso, l_linestatus AS status_ingreso,
-           l_returnflag AS forma_pago
-    FROM lineitem"""
-
-SQL_PAYMENTS_WITH_UNIT = f"""
-    SELECT p.*, u.desarrollo_largo, u.desarrollo_corto, u.unidad, u.etapa
-    FROM ({SQL_PAYMENTS}) p
-    LEFT JOIN orders o ON p.id_venta = o.o_orderkey
-    LEFT JOIN ({SQL_CUSTOMER_UNITS}) u ON o.o_custkey = u.c_custkey"""
