@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from estrella.llm import tokens
 from estrella.llm.common import materialize
 
-BLOCK = 4096  # lengths summed together before the running sums, so that no task sees them all
+BLOCK = 128  # lengths summed together before the running sums, so that no task sees them all
 
 
 def encoded_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:

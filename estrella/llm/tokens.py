@@ -21,7 +21,7 @@ import pyarrow as pa
 from estrella.llm import textbytes as tb
 
 # Chunks one task keeps; the table is started anew beyond that (same ids, more work).
-KNOWN_CHUNKS = 2_000_000
+KNOWN_CHUNKS = 1_000_000
 
 _CLASSES = np.full(256, 3, np.uint8)  # digits, apostrophe, controls, non-ASCII: no inner border
 _CLASSES[[9, 10, 11, 12, 13, 32]] = 0
