@@ -214,8 +214,8 @@ SQL = """
 with recursive v as (
   select vec_id, embedding::double[] e from embeddings
   where embedding is not null and list_count(embedding) = len(embedding)
-    and len(list_filter(embedding, x -> isfinite(x))) = len(embedding)
-    and len(list_filter(embedding, x -> x <> 0)) > 0),
+    and len([x for x in embedding if isfinite(x)]) = len(embedding)
+    and len([x for x in embedding if x <> 0]) > 0),
 l as (select a.vec_id a, b.vec_id b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
       where list_cosine_similarity(a.e, b.e) >= 0.9),
 reach(a, b) as (select a, b from l union select r.a, l.b from reach r join l on r.b = l.a),
