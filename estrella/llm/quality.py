@@ -37,13 +37,19 @@ def features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """(bucket, row) of every word and character n-gram of the texts, unordered.
 
     Words are runs without white space; n-grams are of NGRAMS consecutive characters,
-    white space included, inside one text. A-Z counts as a-z.
+    white space included, inside one text. A-Z counts as a-z. Besides, every word gives
+    bucket 0 where the text has it for the first time and bucket 1 where it comes again,
+    or the mean could not tell a text that repeats itself.
     """
     low = tb.lowered(buf)
     shift = np.uint64(64 - BUCKET_BITS)
     starts, ends = tb.runs(low, offsets, _SPACE, _EDGE)
-    bucket = [(tb.run_hashes(low, starts, ends) >> shift).astype(np.int32)]
-    row = [np.searchsorted(offsets, starts, "right") - 1]
+    words = tb.run_hashes(low, starts, ends)
+    word_row = np.searchsorted(offsets, starts, "right") - 1
+    again = np.ones(len(words), np.int32)
+    again[np.unique(tb.mix(words + word_row.astype(np.uint64)), return_index=True)[1]] = 0
+    bucket = [(words >> shift).astype(np.int32), again]
+    row = [word_row, word_row]
     char = np.flatnonzero((low & 0xC0) != 0x80)
     char_row = np.searchsorted(offsets, char, "right") - 1
     ends_of = np.append(char, len(low))
