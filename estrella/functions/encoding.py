@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from estrella.functions.text import col_
 
-_LATIN1_ONLY = r"^[\x00-\xFF]*$"
+# \A and \z: a plain $ would also match before a final line separator
+_LATIN1_ONLY = r"\A[\x00-\xFF]*\z"
 
 
 def damage_utf8_as_latin1(c: Column | str) -> Column:
