@@ -18,9 +18,12 @@ from estrella.operators.quality import (
     check_relationship,
     check_unique,
     check_unique_combination,
+    TableChecks,
     quality_report,
+    table_report,
 )
 from estrella.operators.reduce import (
+    conflicting_keys,
     count_where,
     distinct_count_above,
     distinct_value_conflicts,
@@ -31,6 +34,7 @@ from estrella.operators.reduce import (
 )
 
 __all__ = [
+    "conflicting_keys", "TableChecks", "table_report",
     "Check", "attach", "bounded_broadcast", "check_expression", "check_not_null",
     "check_relationship", "check_unique", "check_unique_combination", "count_where", "coverage",
     "date_dim", "date_spine", "date_spine_covering", "distinct_count_above",

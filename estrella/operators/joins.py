@@ -120,18 +120,19 @@ def reconcile(
     reported: DataFrame,
     rebuilt: DataFrame,
     key: str,
-    metrics: Mapping[str, tuple[str, str]],
+    metrics: Mapping[str, tuple[str, str, str, str]],
     missing_flag: str,
 ) -> DataFrame:
-    """Compare a reported metric with its rebuilt version per key.
+    """Compare reported metrics with their rebuilt versions per key.
 
-    ``metrics`` maps a difference column name -> (reported col, rebuilt col). Both
-    sides keep their columns; a flag marks keys the rebuild does not have.
+    ``metrics`` maps a difference column to (reported column, its output name, rebuilt
+    column, its output name); differences are reported minus rebuilt, as decimal(38,2). A
+    flag marks keys the rebuild does not have.
     """
-    r = rebuilt.select(F.col(key).alias("__rk"), *[F.col(c) for _, c in metrics.values()])
+    r = rebuilt.select(F.col(key).alias("__rk"), *[F.col(b).alias(f"__r_{d}") for d, (_, _, b, _) in metrics.items()])
     j = reported.join(r, reported[key] == r["__rk"], "left")
     cols: list[Column] = [reported[key]]
-    for diff_name, (rep, reb) in metrics.items():
-        cols += [F.col(rep), F.col(reb), (F.col(rep) - F.col(reb)).alias(diff_name)]
-    cols.append(F.col("__rk").isNull().alias(missing_flag))
-    return j.select(*cols)
+    for diff, (a, a_name, _, b_name) in metrics.items():
+        mine, theirs = reported[a], F.col(f"__r_{diff}")
+        cols += [mine.alias(a_name), theirs.alias(b_name), (mine - theirs).cast("decimal(38,2)").alias(diff)]
+    return j.select(*cols, F.col("__rk").isNull().alias(missing_flag))

@@ -58,33 +58,39 @@ def distinct_value_conflicts(
     Output: ``keys`` + one exact ``count(distinct value)`` column per entry
     (named by ``counts_as[name]`` or ``name``), only for the flagged keys.
 
-    Plan: "more than one distinct value" is ``min(v) <> max(v)``, a plain partial
-    aggregation over all rows - no ``Expand`` that would multiply the shuffled
-    rows by the number of expressions. The exact distinct counts are computed only
-    for the rows of flagged keys (left-semi join back); AQE broadcasts the flagged
-    key set when it is small and splits skewed partitions when it is not.
+    One pass: each row becomes its non-null (column, value) pairs, which are made
+    distinct with a map-side phase, counted per key and column, and turned back to
+    columns. The input is computed once, however many keys turn out to be flagged.
     """
     counts_as = dict(counts_as or {})
-    projected = df.select(*[F.col(k) for k in keys], *[e.alias(n) for n, e in values.items()])
-    bounds = []
+    names = list(values)
+    pairs = F.array(
+        *[
+            F.when(e.isNotNull(), F.struct(F.lit(i).alias("i"), e.cast("string").alias("x")))
+            for i, e in enumerate(values.values())
+        ]
+    )
+    # a key none of whose values is present has no pair and cannot be flagged
+    long = df.select(*[F.col(k) for k in keys], F.explode(F.array_compact(pairs)).alias("__p"))
+    long = long.select(*keys, F.col("__p.i").alias("__i"), F.col("__p.x").alias("__x")).distinct()
+    counts = [count_where(F.col("__i") == i).alias(counts_as.get(n, n)) for i, n in enumerate(names)]
     flag = None
+    for n in names:
+        term = F.col(counts_as.get(n, n)) > 1
+        flag = term if flag is None else (flag | term)
+    return long.groupBy(*keys).agg(*counts).filter(flag)
+
+
+def conflicting_keys(df: DataFrame, keys: list[str], values: Mapping[str, Column]) -> DataFrame:
+    """Keys where any value expression takes more than one non-null value, without counts:
+    ``min <> max`` in one plain aggregation."""
+    projected = df.select(*[F.col(k) for k in keys], *[e.alias(n) for n, e in values.items()])
+    bounds, flag = [], None
     for name in values:
         bounds += [F.min(name).alias(f"__min_{name}"), F.max(name).alias(f"__max_{name}")]
         term = F.col(f"__min_{name}") != F.col(f"__max_{name}")
         flag = term if flag is None else (flag | term)
-    flagged = projected.groupBy(*keys).agg(*bounds).filter(flag).select(*keys)
-    candidates = projected.join(flagged, on=_null_safe_on(projected, flagged, keys), how="left_semi")
-    return candidates.groupBy(*keys).agg(
-        *[F.count_distinct(F.col(n)).alias(counts_as.get(n, n)) for n in values]
-    )
-
-
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    cond = None
-    for k in keys:
-        term = left[k].eqNullSafe(right[k])
-        cond = term if cond is None else (cond & term)
-    return cond
+    return projected.groupBy(*keys).agg(*bounds).filter(flag).select(*keys)
 
 
 def find_duplicates(

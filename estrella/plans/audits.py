@@ -13,33 +13,44 @@ from pyspark.sql import functions as F
 
 from estrella.functions import blank_normalised
 from estrella.operators import (
-    Check,
+    TableChecks,
     check_expression,
     check_not_null,
     check_relationship,
     check_unique,
     check_unique_combination,
+    conflicting_keys,
     coverage,
     distinct_value_conflicts,
     find_duplicates,
     no_key_coverage,
     orphan_count,
-    quality_report,
     require_present,
+    table_report,
 )
+from estrella.operators.quality import with_status
 from estrella.plans import marts as M
 from estrella.plans import warehouse as W
 from estrella.plans.basics import SQL_NULLABLE_ORDERS, _nullable_orders
 from estrella.plans.registry import register
 from estrella.plans.staging import (
     ROLE_MAIN,
+    SQL_CO_OWNER_REPORT,
+    SQL_MAIN_REPORT,
     SQL_RAW_DASHBOARD,
+    SQL_STAGE_DASHBOARD,
+    SQL_STAGED_SALE_ROWS,
+    SQL_STAGING_INVOICES,
+    SQL_STAGING_OVERDUE,
     SQL_STAGING_PAYMENTS,
     SQL_STAGING_SCHEDULE,
+    main_report,
     raw_dashboard,
     raw_payments,
     stage_payments,
+    staged_dashboard,
     staged_overdue,
+    staged_sale_rows,
     staged_schedule,
 )
 from estrella.sources.sinks import publish, shared_scratch_root
@@ -105,42 +116,56 @@ def check_relationship_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Singular audits
 
-CONFLICT_TEXT_COLS = [
-    "desarrollo_largo", "desarrollo_corto", "unidad", "etapa", "status_venta", "concepto",
-    "forma_pago", "banco", "status_ingreso",
-]
-CONFLICT_RAW_COLS = ["monto_pagado", "fecha_ingreso"]
+# Output names of the sale-attribute audit.
+CONFLICT_TEXT_COLS = {
+    "desarrollos_largos_distintos": "desarrollo_largo",
+    "desarrollos_cortos_distintos": "desarrollo_corto",
+    "unidades_distintas": "unidad",
+    "etapas_distintas": "etapa",
+    "asesores_distintos": "asesor",
+    "status_venta_distintos": "status_venta",
+    "status_escritura_distintos": "status_escritura",
+    "planes_distintos": "plan",
+}
+CONFLICT_RAW_COLS = {
+    "enganches_distintos": "enganche",
+    "financiamientos_distintos": "financiamiento",
+    "precios_venta_distintos": "precio_venta",
+}
 
 
-def sale_attribute_conflicts(payments: DataFrame) -> DataFrame:
-    """Sales whose payment report disagrees on any attribute (blank = missing)."""
-    values = {f"{c}_distintos": blank_normalised(c) for c in CONFLICT_TEXT_COLS}
-    values.update({f"{c}_distintos": F.col(c) for c in CONFLICT_RAW_COLS})
-    return distinct_value_conflicts(require_present(payments, "id_venta"), ["id_venta"], values)
+def sale_attribute_values() -> dict:
+    """The eleven audited attributes; a blank text counts as missing."""
+    values = {n: blank_normalised(c) for n, c in CONFLICT_TEXT_COLS.items()}
+    return values | {n: F.col(c) for n, c in CONFLICT_RAW_COLS.items()}
+
+
+def sale_attribute_conflicts(report: DataFrame) -> DataFrame:
+    """Sales whose main-customer report rows disagree on any attribute."""
+    return distinct_value_conflicts(
+        require_present(report, "id_venta"), ["id_venta"], sale_attribute_values()
+    )
 
 
 def _sql_conflicts(keys: list[str], exprs: dict[str, str], source: str, where: str) -> str:
     counts = [f"count(DISTINCT {e}) AS {n}" for n, e in exprs.items()]
     having = " OR ".join(f"count(DISTINCT {e}) > 1" for e in exprs.values())
     k = ", ".join(keys)
-    return f"""SELECT {k}, {", ".join(counts)} FROM ({source}) WHERE {where}
+    source = source if source.startswith("FROM ") else f"FROM ({source})"
+    return f"""SELECT {k}, {", ".join(counts)} {source} WHERE {where}
                GROUP BY {k} HAVING {having}"""
 
 
-_CONFLICT_SQL_EXPRS = {f"{c}_distintos": f"nullif(trim({c}), '')" for c in CONFLICT_TEXT_COLS}
-_CONFLICT_SQL_EXPRS.update({f"{c}_distintos": c for c in CONFLICT_RAW_COLS})
+_CONFLICT_SQL_EXPRS = {n: f"nullif(trim({c}), '')" for n, c in CONFLICT_TEXT_COLS.items()}
+_CONFLICT_SQL_EXPRS.update(CONFLICT_RAW_COLS)
 
 
 @register(
     "conflict_audit",
-    _sql_conflicts(
-        ["id_venta"], _CONFLICT_SQL_EXPRS,
-        f"SELECT * FROM ({SQL_STAGING_PAYMENTS}) WHERE NOT es_venta_cancelada",
-        "id_venta IS NOT NULL",
-    ),
+    _sql_conflicts(["id_venta"], _CONFLICT_SQL_EXPRS, SQL_STAGED_SALE_ROWS, "id_venta IS NOT NULL"),
 )
 def conflict_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sale_attribute_conflicts(stage_payments(raw_payments(Tables(spark, sf_dir))))
+    return sale_attribute_conflicts(staged_sale_rows(Tables(spark, sf_dir)))
 
 
 _MILESTONES = M.MILESTONE_COLS
@@ -168,17 +193,17 @@ _PARTY_CONFLICT_SQL = {
 }
 
 
+def party_values() -> dict:
+    return {
+        "rfcs_distintos": blank_normalised("rfc"),
+        "curps_distintos": blank_normalised("curp"),
+        "emails_distintos": blank_normalised("email", lower=True),
+    }
+
+
 def party_key_conflicts_of(parties: DataFrame) -> DataFrame:
     p = require_present(parties, "persona_natural_key")
-    return distinct_value_conflicts(
-        p,
-        ["persona_natural_key"],
-        {
-            "rfcs_distintos": blank_normalised("rfc"),
-            "curps_distintos": blank_normalised("curp"),
-            "emails_distintos": blank_normalised("email", lower=True),
-        },
-    )
+    return distinct_value_conflicts(p, ["persona_natural_key"], party_values())
 
 
 @register(
@@ -193,28 +218,26 @@ def party_key_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return party_key_conflicts_of(W.party_profiles(Tables(spark, sf_dir)))
 
 
+def unit_values() -> dict:
+    return {
+        "desarrollos_cortos_distintos": blank_normalised("desarrollo_corto"),
+        "etapas_distintas": blank_normalised("etapa"),
+    }
+
+
 @register(
     "unit_conflicts",
     _sql_conflicts(
         ["desarrollo_largo", "unidad"],
         {"desarrollos_cortos_distintos": "nullif(trim(desarrollo_corto), '')",
          "etapas_distintas": "nullif(trim(etapa), '')"},
-        f"SELECT * FROM ({SQL_STAGING_PAYMENTS}) WHERE NOT es_venta_cancelada",
-        "desarrollo_largo IS NOT NULL AND unidad IS NOT NULL",
+        SQL_STAGED_SALE_ROWS, "desarrollo_largo IS NOT NULL AND unidad IS NOT NULL",
     ),
 )
 def unit_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Units reported with more than one short name or stage."""
-    p = stage_payments(raw_payments(Tables(spark, sf_dir)))
-    p = require_present(p, "desarrollo_largo", "unidad")
-    return distinct_value_conflicts(
-        p,
-        ["desarrollo_largo", "unidad"],
-        {
-            "desarrollos_cortos_distintos": blank_normalised("desarrollo_corto"),
-            "etapas_distintas": blank_normalised("etapa"),
-        },
-    )
+    """Units that the main-customer report gives more than one short name or stage."""
+    rows = require_present(staged_sale_rows(Tables(spark, sf_dir)), "desarrollo_largo", "unidad")
+    return distinct_value_conflicts(rows, ["desarrollo_largo", "unidad"], unit_values())
 
 
 @register(
@@ -289,24 +312,27 @@ def conflict_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     parties = W.sale_parties_of(t)
     keys = party_key_conflicts_of(W.party_profiles(t)).select("persona_natural_key")
-    detail = parties.join(keys, "persona_natural_key", "left_semi").select(
+    # the key set is unique; an inner join, unlike a semi-join, is not copied into the union
+    detail = parties.join(keys, "persona_natural_key").select(
         "persona_natural_key", "id_venta", "rol_persona_en_venta", "nombre_completo", "rfc",
         "curp", F.lower(F.trim("email")).alias("email"), "telefono_celular",
     )
     return detail.orderBy("persona_natural_key", "nombre_completo", "id_venta")
 
 
+_DUPLICATE_COLS = ["id_venta", "nombre_cliente", "apellido_paterno", "apellido_materno", "rfc", "curp"]
+
+
 @register(
     "duplicate_audit",
-    """SELECT l_orderkey, l_linenumber, count(*) AS total_filas,
-              count(DISTINCT l_suppkey) AS proveedores_distintos
-       FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    f"""SELECT {", ".join(_DUPLICATE_COLS)}, count(*) AS total_filas,
+              count(DISTINCT pais) AS paises_distintos
+       FROM ({SQL_MAIN_REPORT}) GROUP BY {", ".join(_DUPLICATE_COLS)} HAVING count(*) > 1""",
 )
 def duplicate_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    l = Tables(spark, sf_dir).lineitem
-    return find_duplicates(
-        l, ["l_orderkey", "l_linenumber"], "total_filas", {"proveedores_distintos": "l_suppkey"}
-    )
+    """Main customers that the report repeats for one sale, with their countries."""
+    report = main_report(Tables(spark, sf_dir)).select(*_DUPLICATE_COLS, "pais")
+    return find_duplicates(report, _DUPLICATE_COLS, "total_filas", {"paises_distintos": "pais"})
 
 
 @register(
@@ -329,7 +355,8 @@ def repeated_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orphan_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments whose sale is not in the sale list (one row)."""
     t = Tables(spark, sf_dir)
-    payments = stage_payments(raw_payments(t))
+    # the sale's columns are not needed: payments without the lookups, keys of the sale list
+    payments = stage_payments(raw_payments(t, enrich=False))
     return orphan_count(payments, W.sales_list(t), "id_venta", "id_venta", "ingresos_sin_venta")
 
 
@@ -343,11 +370,16 @@ AUDIT_NO_KEY = "sin_llave_confiable"
 
 
 def relation_coverage(t: Tables) -> DataFrame:
-    sales_fact = W.sales_fact_of(t)
+    # only ids and their multiplicity are compared: a sale occurs in the fact once for each
+    # dashboard row of its id, and its hashed key stands for its id
+    dashboard = require_present(staged_dashboard(t), "id_venta").select("id_venta")
+    ids = W.sales_list(t).select("id_venta")
+    sales = ids.join(dashboard, "id_venta", "left")
+    null_token = lambda df: df.select(F.coalesce(F.col("id_venta").cast("string"), F.lit("")).alias("id"))
     branches = [
-        coverage(W.payment_measures(t), sales_fact, "venta_key", "venta_key",
+        coverage(null_token(W.payment_measures(t)), null_token(sales), "id", "id",
                  REL_PAYMENTS_SALES, AUDIT_OPTIONAL),
-        coverage(W.overdue_measures(t), sales_fact, "venta_key", "venta_key",
+        coverage(W.overdue_measures(t), sales, "id_venta", "id_venta",
                  REL_OVERDUE_SALES, AUDIT_OPTIONAL),
         coverage(M.schedule_of(t), W.units_dimension(t), "unidad_key", "unidad_key",
                  REL_SCHEDULE_UNITS, AUDIT_OPTIONAL),
@@ -357,6 +389,20 @@ def relation_coverage(t: Tables) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, branches)
 
 
+def coverage_of(
+    payments: DataFrame, overdue: DataFrame, schedule: DataFrame, invoices: DataFrame,
+    sales_fact: DataFrame, units: DataFrame,
+) -> DataFrame:
+    """The same report over written facts and dimensions."""
+    branches = [
+        coverage(payments, sales_fact, "venta_key", "venta_key", REL_PAYMENTS_SALES, AUDIT_OPTIONAL),
+        coverage(overdue, sales_fact, "venta_key", "venta_key", REL_OVERDUE_SALES, AUDIT_OPTIONAL),
+        coverage(schedule, units, "unidad_key", "unidad_key", REL_SCHEDULE_UNITS, AUDIT_OPTIONAL),
+        no_key_coverage(invoices, REL_INVOICES_SALES, AUDIT_NO_KEY),
+    ]
+    return functools.reduce(DataFrame.unionByName, branches)
+
+
 def _sql_coverage(child: str, parent: str, key: str, relation: str) -> str:
     return f"""
     SELECT '{relation}' AS relacion, count(*) AS total_registros, count(p.{key}) AS con_relacion,
@@ -386,74 +432,173 @@ def coverage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Quality report: one row per check
-
-
-def quality_checks(t: Tables) -> list[Check]:
-    nullable = _nullable_orders(t)
-    lines = t.lineitem
-    # the report only counts failing rows: the lean measures (no unit lookup, a join on
-    # a unique key) give the same count for the days-late expression
-    overdue = W.overdue_measures(t)
-    schedule = M.schedule_of(t)
-    units = W.units_dimension(t)
-    parties = W.sale_parties_of(t, distinct=False)
-    sale_keys = W.sale_keys_of(W.sales_list(t))
-    bridge = W.bridge_sale_party(parties, sale_keys)
-    payments = stage_payments(raw_payments(t))
-    return [
-        Check("not_null_status_venta", "error", check_not_null(nullable, "status_venta")),
-        Check("unique_l_orderkey", "error", check_unique(lines.select("l_orderkey"), "l_orderkey")),
-        Check("unique_combination_orderkey_linenumber", "error",
-              check_unique_combination(lines, ["l_orderkey", "l_linenumber"])),
-        Check("expression_dias_atraso_no_negativo", "error",
-              check_expression(overdue, F.col("dias_atraso") >= 0)),
-        Check("relationship_cronograma_unidades", "warn",
-              check_relationship(schedule, "unidad_key", units, "unidad_key")),
-        Check("conflictos_ventas_atributos", "error", sale_attribute_conflicts(payments)),
-        Check("conflictos_persona_natural_key", "warn", party_key_conflicts_of(W.party_profiles(t))),
-        Check("ventas_con_mas_de_un_cliente_principal", "warn",
-              main_customer_count_audit(sale_keys, bridge)),
-    ]
-
+# Quality report: one row per declared check
+
+# The declared checks of every table (96 generic ones; all of severity error).
+CATALOGUE: dict[str, TableChecks] = {
+    "stg_sale_list": TableChecks(
+        not_null=("id_venta",), unique=("id_venta",), combinations=(("desarrollo_largo", "unidad"),)),
+    "stg_main_report": TableChecks(not_null=("id_venta",)),
+    "stg_co_owner_report": TableChecks(not_null=("id_venta",)),
+    "stg_payments": TableChecks(expressions=("monto_pagado >= 0",)),
+    "stg_schedule": TableChecks(not_null=("desarrollo_largo", "unidad")),
+    "stg_invoices": TableChecks(not_null=("uuid",), unique=("uuid",)),
+    "stg_dashboard": TableChecks(not_null=("id_venta",), unique=("id_venta",)),
+    "stg_overdue": TableChecks(not_null=("monto_vencido", "fecha_pago", "no_pago")),
+    "dim_units": TableChecks(
+        not_null=("unidad_key",), unique=("unidad_key",), combinations=(("desarrollo_largo", "unidad"),)),
+    "fct_sales": TableChecks(
+        not_null=("venta_key", "id_venta", "unidad_key"), unique=("venta_key", "id_venta"),
+        expressions=("fecha_ultimo_pago_enganche >= fecha_primer_enganche",),
+        relationships=(("unidad_key", "dim_units", "unidad_key"),)),
+    "fct_overdue": TableChecks(
+        not_null=("pago_vencido_key", "no_pago", "fecha_pago", "monto_vencido", "dias_atraso"),
+        unique=("pago_vencido_key",),
+        combinations=(("id_venta", "no_pago", "fecha_pago", "tipo_pago"),)),
+    "fct_schedule": TableChecks(
+        not_null=("cronograma_unidad_key", "unidad_key", "desarrollo_largo", "unidad"),
+        unique=("cronograma_unidad_key",), combinations=(("desarrollo_largo", "unidad"),)),
+    "dim_parties": TableChecks(
+        not_null=("persona_key", "persona_natural_key"), unique=("persona_key", "persona_natural_key")),
+    "bridge": TableChecks(
+        not_null=("venta_key", "persona_key"),
+        combinations=(("venta_key", "persona_key", "rol_persona_en_venta"),),
+        relationships=(("venta_key", "fct_sales", "venta_key"), ("persona_key", "dim_parties", "persona_key"))),
+    "fct_payments": TableChecks(not_null=("ingreso_key", "monto_pagado"), unique=("ingreso_key",)),
+    "fct_invoices": TableChecks(
+        not_null=("factura_key", "total_factura", "uuid"), unique=("factura_key", "uuid")),
+    "dim_date": TableChecks(not_null=("date_day",), unique=("date_day",)),
+    "commercial_mart": TableChecks(
+        not_null=("venta_key", "id_venta", "precio_venta"), unique=("venta_key", "id_venta")),
+    "collections_mart": TableChecks(
+        not_null=("venta_key", "id_venta", "total_ingresado_bruto", "total_ingresado_activo", "saldo_estimado"),
+        unique=("venta_key", "id_venta")),
+    "dash_legacy": TableChecks(
+        not_null=("id_venta", "unidad_key", "unidad", "desarrollo_largo", "desarrollo_corto", "precio_venta"),
+        unique=("id_venta",)),
+    "overdue_mart": TableChecks(
+        not_null=("total_vencido", "numero_pagos_vencidos"),
+        combinations=(("venta_key", "id_venta", "unidad_key"),)),
+    "period_mart": TableChecks(
+        not_null=("numero_movimientos", "total_ingresado"), combinations=(tuple(M.PERIOD_KEYS),)),
+    "invoice_mart": TableChecks(
+        not_null=("factura_key", "uuid", "total_factura"), unique=("factura_key", "uuid")),
+    "dash_rebuilt": TableChecks(
+        not_null=("venta_key", "id_venta", "unidad_key", "precio_venta", "total_cobrado", "total_vencido",
+                  "saldo_total_estimado"),
+        unique=("venta_key", "id_venta")),
+}
 
-_SQL_REPORT_ROWS = [
-    ("not_null_status_venta", "error", f"SELECT * FROM ({SQL_NULLABLE_ORDERS}) WHERE status_venta IS NULL"),
-    ("unique_l_orderkey", "error",
-     "SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey HAVING count(*) > 1"),
-    ("unique_combination_orderkey_linenumber", "error",
-     "SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"),
-    ("expression_dias_atraso_no_negativo", "error",
-     f"SELECT * FROM ({W.SQL_FACT_OVERDUE}) WHERE NOT (dias_atraso >= 0)"),
-    ("relationship_cronograma_unidades", "warn",
-     f"""SELECT 1 FROM ({M.SQL_SCHEDULE_SNAPSHOT}) c WHERE c.unidad_key IS NOT NULL AND c.unidad_key
-         NOT IN (SELECT unidad_key FROM ({W.SQL_DIM_UNITS}) WHERE unidad_key IS NOT NULL)"""),
-    ("conflictos_ventas_atributos", "error",
-     _sql_conflicts(["id_venta"], _CONFLICT_SQL_EXPRS,
-                    f"SELECT * FROM ({SQL_STAGING_PAYMENTS}) WHERE NOT es_venta_cancelada",
-                    "id_venta IS NOT NULL")),
-    ("conflictos_persona_natural_key", "warn",
-     _sql_conflicts(["persona_natural_key"], _PARTY_CONFLICT_SQL, W.SQL_SALE_PARTIES,
-                    "persona_natural_key IS NOT NULL")),
+# The singular audits: name, severity, tables read, finding rows.
+SINGULAR = [
+    ("conflictos_cronograma_unidades", "error", lambda t: conflicting_keys(
+        require_present(t["stg_schedule"], "desarrollo_largo", "unidad"), ["desarrollo_largo", "unidad"],
+        {m: F.col(m) for m in _MILESTONES})),
+    ("conflictos_persona_natural_key", "warn", lambda t: conflicting_keys(
+        require_present(t["party_rows"], "persona_natural_key"), ["persona_natural_key"], party_values())),
+    ("conflictos_unidades_atributos", "error", lambda t: conflicting_keys(
+        require_present(t["stg_main_report"], "desarrollo_largo", "unidad"), ["desarrollo_largo", "unidad"],
+        unit_values())),
+    ("conflictos_ventas_atributos", "error", lambda t: conflicting_keys(
+        require_present(t["stg_main_report"], "id_venta"), ["id_venta"], sale_attribute_values())),
+    ("distintos_asesores", "error", lambda t: conflicting_keys(
+        t["stg_main_report"], ["id_venta"], {"asesor": F.col("asesor")})),
+    ("unidades_sin_grupo", "warn", lambda t: t["dim_units"].where("grupo is null").select(
+        "desarrollo_largo", "desarrollo_corto").distinct()),
     ("ventas_con_mas_de_un_cliente_principal", "warn",
-     f"""SELECT 1 FROM ({W.SQL_FACT_SALES}) v LEFT JOIN ({W.SQL_BRIDGE}) b ON v.venta_key = b.venta_key
-         GROUP BY v.venta_key, v.id_venta
-         HAVING count(DISTINCT CASE WHEN b.rol_persona_en_venta = '{ROLE_MAIN}'
-                                    THEN b.persona_key END) <> 1"""),
+     lambda t: main_customer_count_audit(t["fct_sales"], t["bridge"])),
 ]
 
-SQL_QUALITY_REPORT = " UNION ALL ".join(
-    f"""SELECT '{name}' AS check_name, '{sev}' AS severity, count(*) AS failures,
+
+def catalogue_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per declared check over ``tables`` (best: written ones, see ``plans.build``)."""
+    parts = [table_report(name, checks, tables) for name, checks in CATALOGUE.items()]
+    parts += [
+        find(tables).agg(F.count(F.lit(1)).alias("failures")).select(
+            F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), "failures")
+        for name, severity, find in SINGULAR
+    ]
+    return with_status(functools.reduce(DataFrame.unionByName, parts))
+
+
+_SQL_TABLES = {
+    "stg_sale_list": W.SQL_SALES_LIST,
+    "stg_main_report": SQL_MAIN_REPORT,
+    "stg_co_owner_report": SQL_CO_OWNER_REPORT,
+    "stg_payments": f"SELECT * FROM ({SQL_STAGING_PAYMENTS}) WHERE NOT es_venta_cancelada",
+    "stg_schedule": SQL_STAGING_SCHEDULE,
+    "stg_invoices": SQL_STAGING_INVOICES,
+    "stg_dashboard": SQL_STAGE_DASHBOARD,
+    "stg_overdue": SQL_STAGING_OVERDUE,
+    "party_rows": W.SQL_SALE_PARTIES,
+    "dim_units": W.SQL_DIM_UNITS,
+    "fct_sales": W.SQL_FACT_SALES,
+    "fct_overdue": W.SQL_FACT_OVERDUE,
+    "fct_schedule": M.SQL_SCHEDULE_SNAPSHOT,
+    "dim_parties": W.SQL_DIM_PARTIES,
+    "bridge": W.SQL_BRIDGE,
+    "fct_payments": W.SQL_FACT_PAYMENTS,
+    "fct_invoices": W.SQL_FACT_INVOICES,
+    "dim_date": W.sql_date_attributes(W.SQL_DATA_SPINE),
+    "commercial_mart": M.SQL_COMMERCIAL,
+    "collections_mart": M.SQL_COLLECTIONS,
+    "dash_legacy": M.SQL_DASH_LEGACY,
+    "overdue_mart": M.SQL_OVERDUE_MART,
+    "period_mart": M.SQL_PERIOD_MART,
+    "invoice_mart": M.SQL_INVOICE_MART,
+    "dash_rebuilt": M.SQL_DASH_REBUILT,
+}
+_SQL_SINGULAR = {
+    "conflictos_cronograma_unidades": _sql_conflicts(
+        ["desarrollo_largo", "unidad"], {m: m for m in _MILESTONES}, "FROM stg_schedule",
+        "desarrollo_largo IS NOT NULL AND unidad IS NOT NULL"),
+    "conflictos_persona_natural_key": _sql_conflicts(
+        ["persona_natural_key"], _PARTY_CONFLICT_SQL, "FROM party_rows", "persona_natural_key IS NOT NULL"),
+    "conflictos_unidades_atributos": _sql_conflicts(
+        ["desarrollo_largo", "unidad"],
+        {"c": "nullif(trim(desarrollo_corto), '')", "e": "nullif(trim(etapa), '')"},
+        "FROM stg_main_report", "desarrollo_largo IS NOT NULL AND unidad IS NOT NULL"),
+    "conflictos_ventas_atributos": _sql_conflicts(
+        ["id_venta"], _CONFLICT_SQL_EXPRS, "FROM stg_main_report", "id_venta IS NOT NULL"),
+    "distintos_asesores": _sql_conflicts(["id_venta"], {"a": "asesor"}, "FROM stg_main_report", "TRUE"),
+    "unidades_sin_grupo": "SELECT DISTINCT desarrollo_largo, desarrollo_corto FROM dim_units WHERE grupo IS NULL",
+    "ventas_con_mas_de_un_cliente_principal": f"""
+        SELECT s.id_venta FROM fct_sales s LEFT JOIN bridge b USING (venta_key)
+        GROUP BY s.venta_key, s.id_venta
+        HAVING count(DISTINCT b.persona_key) FILTER (b.rol_persona_en_venta = '{ROLE_MAIN}') <> 1""",
+}
+
+
+def _sql_catalogue() -> str:
+    rows: list[tuple[str, str, str]] = []
+    for table, c in CATALOGUE.items():
+        found = [f"SELECT 1 FROM {table} WHERE {x} IS NULL" for x in c.not_null]
+        found += [f"SELECT 1 FROM {table} WHERE NOT ({x})" for x in c.expressions]
+        found += [f"SELECT {x} FROM {table} WHERE {x} IS NOT NULL GROUP BY {x} HAVING count(*) > 1" for x in c.unique]
+        found += [f"SELECT 1 FROM {table} GROUP BY {', '.join(x)} HAVING count(*) > 1" for x in c.combinations]
+        found += [
+            f"SELECT 1 FROM {table} c WHERE {x} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{field} = c.{x})"
+            for x, parent, field in c.relationships
+        ]
+        rows += [(name, c.severity, sql) for name, sql in zip(c.names(table), found)]
+    rows += [(name, severity, _SQL_SINGULAR[name]) for name, severity, _ in SINGULAR]
+    ctes = ", ".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in _SQL_TABLES.items())
+    return f"WITH {ctes} " + " UNION ALL ".join(
+        f"""SELECT '{name}' AS check_name, '{sev}' AS severity, count(*) AS failures,
                CASE WHEN count(*) = 0 THEN 'pass' WHEN '{sev}' = 'warn' THEN 'warn' ELSE 'fail' END
                    AS status
         FROM ({sql})"""
-    for name, sev, sql in _SQL_REPORT_ROWS
-)
+        for name, sev, sql in rows
+    )
 
 
-@register("quality_report", SQL_QUALITY_REPORT)
+@register("quality_report", _sql_catalogue())
 def quality_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_report(quality_checks(Tables(spark, sf_dir)))
+    """Every declared check, over the tables of a full refresh written to the shared folder."""
+    from estrella.plans.build import build_all
+
+    root = shared_scratch_root(spark, f"estrella-quality-{uuid.uuid4().hex}")
+    return catalogue_report(build_all(spark, sf_dir, root, audits=False))
 
 
 # ---------------------------------------------------------------------------
@@ -465,13 +610,11 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the collections mart through layer routing and read it back.
 
     The table goes under the cluster's shared checkpoint folder (a fresh
-    sub-folder per call); it is written twice to exercise the full refresh.
-    The returned frame reads the written table, passed once through a view
+    sub-folder per call, left there for the returned frame to read). The returned frame reads the written table, passed once through a view
     registration and once through the ephemeral (inline) path.
     """
     mart = M.collections_mart(spark, sf_dir)
     root = shared_scratch_root(spark, f"estrella-sinks-{uuid.uuid4().hex}")
-    publish(mart, "marts", "collections_by_sale", root)
     table = publish(mart, "marts", "collections_by_sale", root)
     view = publish(table, "staging", "collections_by_sale_view", root)
     return publish(view, "int", "collections_by_sale_inline", root)

@@ -16,8 +16,13 @@ Roles
 * group seed ...... ``nation`` x ``region`` (region name = group), region ``MIDDLE EAST``
   absent from the seed
 * main customer / co-owner: the order's customer / the suppliers of its lines
-* schedule ........ ``events`` of the user whose id equals the customer key; a
-  milestone counts when the event value is at least ``MILESTONE_MIN_VALUE``
+* schedule ........ ``events`` of the user whose id equals the customer key; the event
+  type (and, where a type stands for two milestones, the parity of the event id) names
+  the milestone
+
+Reports are made to disagree by rules on key columns, so that every audit has findings
+and non-findings: some orders have no main customer, a second one, or a row repeated
+with another country; some payments name a sale that does not exist.
 """
 
 from __future__ import annotations
@@ -25,16 +30,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from estrella.operators.joins import bounded_broadcast
 from estrella.sources.tables import Tables
 
-# Fixed values shared with the SQL twins: raw plan labels (dirt), the milestone value
-# threshold, the role-mapped development exclusion list, the region left out of the
-# seed and the unparseable date text.
+# Fixed values shared with the SQL twins: raw plan labels (dirt), the developments that
+# the test marts exclude, the region left out of the seed and the unparseable date text.
 PLAN_LABELS = [
     "CONTADO 5%", "48 MEESES X", "48 MESES. A", "48 MESES", "48 meses. a", "36 MESES.",
     " otro ", None,
 ]
-MILESTONE_MIN_VALUE = 200
 EXCLUDED_SHORT_NAMES = ["N3", "N7"]
 SEED_EXCLUDED_REGION = "MIDDLE EAST"
 BAD_DATE_TEXT = "31/12/2020"
@@ -60,6 +64,35 @@ def sql_dirty_date(k: str, d: str) -> str:
     )
 
 
+# Rows of the main-customer report per order: 0 the customer, 1 a second main customer
+# with other attributes, 2 the first one again with another country.
+def report_variants(k: Column) -> Column:
+    return F.explode(
+        F.array_compact(
+            F.array(
+                F.when(k % 53 != 0, F.lit(0)), F.when(k % 40 == 0, F.lit(1)), F.when(k % 30 == 0, F.lit(2))
+            )
+        )
+    )
+
+
+def sql_report_variants(k: str) -> str:
+    """Condition on ``v`` (0, 1 or 2) that keeps the rows of ``report_variants``."""
+    return f"((v = 0 AND {k} % 53 <> 0) OR (v = 1 AND {k} % 40 = 0) OR (v = 2 AND {k} % 30 = 0))"
+
+
+# Added to the sale id of every hundred-and-first payment: no such sale exists.
+UNKNOWN_SALE = 5_000_000_000
+
+
+def paid_sale(k: Column, line: Column) -> Column:
+    return F.when((k * 7 + line) % 101 == 0, k + UNKNOWN_SALE).otherwise(k).cast("bigint")
+
+
+def sql_paid_sale(k: str, line: str) -> str:
+    return f"CAST(CASE WHEN ({k} * 7 + {line}) % 101 = 0 THEN {k} + {UNKNOWN_SALE} ELSE {k} END AS BIGINT)"
+
+
 def maybe_null(k: Column, x: Column) -> Column:
     return F.when(k % 7 != 0, x)
 
@@ -82,13 +115,14 @@ def sql_plan_label(k: str) -> str:
 
 
 # ---------------------------------------------------------------------------
-# Units: customer x nation (nation is tiny: the planner broadcasts it from file
-# statistics; no hint needed).
+# Units: customer x nation. The nations are 25 and the regions 5 at every scale of the
+# test tables, so their broadcast has a proven bound.
+NATION_ROWS = 25
 
 
 def customer_units(t: Tables) -> DataFrame:
-    c, n = t.customer, t.nation
-    return c.join(n, c.c_nationkey == n.n_nationkey, "inner").select(
+    c, n = t.customer, bounded_broadcast(t.nation, NATION_ROWS)
+    return c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
         "c_custkey",
         F.col("n_name").alias("desarrollo_largo"),
         F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("desarrollo_corto"),
@@ -103,12 +137,12 @@ SQL_CUSTOMER_UNITS = """
            'N' || CAST(c.c_nationkey AS VARCHAR) AS desarrollo_corto,
            c.c_name AS unidad, 'ETAPA ' || CAST(n.n_regionkey AS VARCHAR) AS etapa,
            c.c_mktsegment AS modelo
-    FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+    FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"""
 
 
 def group_seed(t: Tables) -> DataFrame:
     """The development-group lookup: (long name, short name) -> group."""
-    n, r = t.nation, t.region
+    n, r = t.nation, bounded_broadcast(t.region, NATION_ROWS)
     return (
         n.join(r, n.n_regionkey == r.r_regionkey, "inner")
         .where(F.col("r_name") != SEED_EXCLUDED_REGION)

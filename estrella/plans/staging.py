@@ -32,13 +32,16 @@ from estrella.functions import (
 from estrella.plans.basics import sql_initcap, sql_plan_chain
 from estrella.plans.registry import register
 from estrella.plans.roles import (
-    MILESTONE_MIN_VALUE,
     SQL_CUSTOMER_UNITS,
     customer_units,
     dirty_date,
+    paid_sale,
     plan_label,
+    report_variants,
     sql_dirty_date,
+    sql_paid_sale,
     sql_plan_label,
+    sql_report_variants,
 )
 from estrella.sources.tables import Tables
 
@@ -50,24 +53,47 @@ ROLE_CO_OWNER = "copropietario"
 # Sales dashboard (legacy operations report): clean, then whole-row distinct.
 
 
-def stage_dashboard(raw: DataFrame) -> DataFrame:
+def stage_dashboard(
+    raw: DataFrame,
+    commission_column: str = "COMISIONEMPRESA",
+    commission_name: str = "comision_empresa",
+) -> DataFrame:
+    """33 cleaned columns, whole-row distinct. The report's last column is the firm's own
+    commission and carries the firm's name: pass its raw and its clean name."""
     return raw.select(
         "id_venta",
+        upper_trimmed("EQUIPO").alias("equipo"),
         upper_trimmed("DESARROLLO_LARGO").alias("desarrollo_largo"),
         upper_trimmed("DESARROLLO_CORTO").alias("desarrollo_corto"),
         upper_trimmed("UNIDAD").alias("unidad"),
+        upper_trimmed("MODELO").alias("modelo"),
+        upper_trimmed("ETAPA").alias("etapa"),
+        F.col("PRECIOLISTA").alias("precio_lista"),
+        F.col("PRECIOM2").alias("precio_m2"),
+        upper_trimmed("ASESOR").alias("asesor"),
+        upper_trimmed("STATUSUNIDAD").alias("status_unidad"),
         upper_trimmed("STATUSVENTA").alias("status_venta"),
+        upper_trimmed("CLIENTE").alias("cliente"),
+        upper_trimmed("CAMPANIA").alias("campania"),
         empty_to_null(F.upper("VENDEDOREXTERNO")).alias("vendedor_externo"),
+        safe_date("FECHADESTATUS").alias("fecha_de_status"),
         normalize_plan("PLAN").alias("plan"),
+        F.coalesce(F.col("NUMEROMENSUALIDES"), F.lit(0)).alias("numero_mensualidades"),
         F.coalesce(F.col("NUMEROENGANCHES"), F.lit(0)).alias("numero_enganches"),
         F.col("PRECIOVENTA").alias("precio_venta"),
+        F.col("PRECIOM2V").alias("precio_m2_venta"),
+        F.col("ENGANCHE").alias("enganche"),
+        F.col("FINANCIAMIENTO").alias("financiamiento"),
         F.col("TOTAL_COBRADO").alias("total_cobrado"),
-        F.col("TOTALVENCIDO").alias("total_vencido"),
         F.col("SALDOTOTAL").alias("saldo_total"),
-        F.col("PRECIOM2V").alias("precio_m2_venta"),
+        F.col("TOTALVENCIDO").alias("total_vencido"),
+        F.col("SIELTOTALCOBRADOESMENORQUEELENGANCHE").alias("enganche_incompleto"),
         F.col("REQUIERE_FACTURA").alias("requiere_factura"),
         safe_date("FECHAPRIMERENGANCHE").alias("fecha_primer_enganche"),
+        safe_date("FECHAULTIMOPAGOENGANCHE").alias("fecha_ultimo_pago_enganche"),
+        F.col("MONTODELPRIMERENGANCHE").alias("monto_primer_enganche"),
         F.nullif(upper_trimmed("COMISIONASESOR"), F.lit("NULL")).alias("comision_asesor"),
+        F.nullif(upper_trimmed(commission_column), F.lit("NULL")).alias(commission_name),
     ).distinct()
 
 
@@ -76,28 +102,47 @@ def raw_dashboard(t: Tables) -> DataFrame:
     o = t.orders
     u = customer_units(t)
     k = F.col("o_orderkey")
-    base = o.join(u, o.o_custkey == u.c_custkey, "inner")
+    base = o.join(u, o.o_custkey == u.c_custkey, "left")
     price = money("o_totalprice")
+    cents = lambda c: c.cast("decimal(18,2)")
+    day = F.col("o_orderdate").cast("date")
     raw = base.select(
         k.alias("id_venta"),
+        F.concat(F.lit("equipo "), F.col("etapa")).alias("EQUIPO"),
         F.lower("desarrollo_largo").alias("DESARROLLO_LARGO"),
         F.concat(F.lit(" "), F.col("desarrollo_corto")).alias("DESARROLLO_CORTO"),
         F.col("unidad").alias("UNIDAD"),
+        F.lower("modelo").alias("MODELO"),
+        F.lower("etapa").alias("ETAPA"),
+        cents(price + 500).alias("PRECIOLISTA"),
+        cents(F.col("o_custkey") % 4000).alias("PRECIOM2"),
+        F.concat(F.lit("asesor "), (F.col("o_custkey") % 97).cast("string")).alias("ASESOR"),
+        F.lower("o_orderpriority").alias("STATUSUNIDAD"),
         F.when(k % 3 == 0, F.concat(F.lit(" "), F.lower("o_orderstatus"), F.lit(" ")))
         .otherwise(F.col("o_orderstatus"))
         .alias("STATUSVENTA"),
+        F.concat(F.lit(" "), F.col("unidad")).alias("CLIENTE"),
+        F.concat(F.lit("campania "), (k % 5).cast("string")).alias("CAMPANIA"),
         F.when(k % 4 == 0, F.lit(" ")).otherwise(F.col("o_orderpriority")).alias("VENDEDOREXTERNO"),
+        dirty_date(k + 3, day).alias("FECHADESTATUS"),
         plan_label(k).alias("PLAN"),
+        F.when(k % 5 != 0, (k % 60).cast("int")).alias("NUMEROMENSUALIDES"),
         F.when(k % 6 != 0, (k % 12).cast("int")).alias("NUMEROENGANCHES"),
         price.alias("PRECIOVENTA"),
-        (price - (k % 1000)).cast("decimal(18,2)").alias("TOTAL_COBRADO"),
-        (k % 500).cast("decimal(18,2)").alias("TOTALVENCIDO"),
-        (k % 1000).cast("decimal(18,2)").alias("SALDOTOTAL"),
-        (F.col("o_custkey") % 5000).cast("decimal(18,2)").alias("PRECIOM2V"),
+        cents(F.col("o_custkey") % 5000).alias("PRECIOM2V"),
+        cents(k % 9000).alias("ENGANCHE"),
+        cents(price - (k % 9000)).alias("FINANCIAMIENTO"),
+        cents(price - (k % 1000)).alias("TOTAL_COBRADO"),
+        cents(k % 1000).alias("SALDOTOTAL"),
+        cents(k % 500).alias("TOTALVENCIDO"),
+        F.when(k % 9 == 0, F.lit("SI")).alias("SIELTOTALCOBRADOESMENORQUEELENGANCHE"),
         F.when(k % 2 == 0, F.lit("SI")).otherwise(F.lit("NO")).alias("REQUIERE_FACTURA"),
-        dirty_date(k, F.col("o_orderdate").cast("date")).alias("FECHAPRIMERENGANCHE"),
+        dirty_date(k, day).alias("FECHAPRIMERENGANCHE"),
+        dirty_date(k + 1, day).alias("FECHAULTIMOPAGOENGANCHE"),
+        cents(k % 700).alias("MONTODELPRIMERENGANCHE"),
         F.when(k % 8 == 0, F.lit("NULL")).otherwise(F.col("o_custkey").cast("string"))
         .alias("COMISIONASESOR"),
+        F.when(k % 8 == 1, F.lit(" null ")).otherwise((k % 300).cast("string")).alias("COMISIONEMPRESA"),
         F.explode(
             F.when(F.col("o_orderstatus") == "P", F.array(F.lit(1), F.lit(2))).otherwise(
                 F.array(F.lit(1))
@@ -110,27 +155,46 @@ def raw_dashboard(t: Tables) -> DataFrame:
 
 SQL_RAW_DASHBOARD = f"""
     WITH b AS (
-        SELECT o.*, u.desarrollo_largo, u.desarrollo_corto, u.unidad
-        FROM orders o JOIN ({SQL_CUSTOMER_UNITS}) u ON o.o_custkey = u.c_custkey),
+        SELECT o.*, u.* EXCLUDE (c_custkey)
+        FROM orders o LEFT JOIN ({SQL_CUSTOMER_UNITS}) u ON o.o_custkey = u.c_custkey),
     r AS (
-        SELECT o_orderkey AS id_venta, lower(desarrollo_largo) AS DESARROLLO_LARGO,
+        SELECT o_orderkey AS id_venta, 'equipo ' || etapa AS EQUIPO,
+               lower(desarrollo_largo) AS DESARROLLO_LARGO,
                ' ' || desarrollo_corto AS DESARROLLO_CORTO, unidad AS UNIDAD,
+               lower(modelo) AS MODELO, lower(etapa) AS ETAPA,
+               CAST(CAST(o_totalprice AS DECIMAL(18,2)) + 500 AS DECIMAL(18,2)) AS PRECIOLISTA,
+               CAST(o_custkey % 4000 AS DECIMAL(18,2)) AS PRECIOM2,
+               'asesor ' || CAST(o_custkey % 97 AS VARCHAR) AS ASESOR,
+               lower(o_orderpriority) AS STATUSUNIDAD,
                CASE WHEN o_orderkey % 3 = 0 THEN ' ' || lower(o_orderstatus) || ' '
                     ELSE o_orderstatus END AS STATUSVENTA,
+               ' ' || unidad AS CLIENTE, 'campania ' || CAST(o_orderkey % 5 AS VARCHAR) AS CAMPANIA,
                CASE WHEN o_orderkey % 4 = 0 THEN ' ' ELSE o_orderpriority END AS VENDEDOREXTERNO,
+               {sql_dirty_date("(o_orderkey + 3)", "CAST(o_orderdate AS DATE)")} AS FECHADESTATUS,
                {sql_plan_label("o_orderkey")} AS PLAN,
+               CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 60 AS INTEGER) END
+                   AS NUMEROMENSUALIDES,
                CASE WHEN o_orderkey % 6 <> 0 THEN CAST(o_orderkey % 12 AS INTEGER) END
                    AS NUMEROENGANCHES,
                CAST(o_totalprice AS DECIMAL(18,2)) AS PRECIOVENTA,
+               CAST(o_custkey % 5000 AS DECIMAL(18,2)) AS PRECIOM2V,
+               CAST(o_orderkey % 9000 AS DECIMAL(18,2)) AS ENGANCHE,
+               CAST(CAST(o_totalprice AS DECIMAL(18,2)) - (o_orderkey % 9000) AS DECIMAL(18,2))
+                   AS FINANCIAMIENTO,
                CAST(CAST(o_totalprice AS DECIMAL(18,2)) - (o_orderkey % 1000) AS DECIMAL(18,2))
                    AS TOTAL_COBRADO,
-               CAST(o_orderkey % 500 AS DECIMAL(18,2)) AS TOTALVENCIDO,
                CAST(o_orderkey % 1000 AS DECIMAL(18,2)) AS SALDOTOTAL,
-               CAST(o_custkey % 5000 AS DECIMAL(18,2)) AS PRECIOM2V,
+               CAST(o_orderkey % 500 AS DECIMAL(18,2)) AS TOTALVENCIDO,
+               CASE WHEN o_orderkey % 9 = 0 THEN 'SI' END AS SIELTOTALCOBRADOESMENORQUEELENGANCHE,
                CASE WHEN o_orderkey % 2 = 0 THEN 'SI' ELSE 'NO' END AS REQUIERE_FACTURA,
                {sql_dirty_date("o_orderkey", "CAST(o_orderdate AS DATE)")} AS FECHAPRIMERENGANCHE,
+               {sql_dirty_date("(o_orderkey + 1)", "CAST(o_orderdate AS DATE)")}
+                   AS FECHAULTIMOPAGOENGANCHE,
+               CAST(o_orderkey % 700 AS DECIMAL(18,2)) AS MONTODELPRIMERENGANCHE,
                CASE WHEN o_orderkey % 8 = 0 THEN 'NULL' ELSE CAST(o_custkey AS VARCHAR) END
                    AS COMISIONASESOR,
+               CASE WHEN o_orderkey % 8 = 1 THEN ' null ' ELSE CAST(o_orderkey % 300 AS VARCHAR) END
+                   AS COMISIONEMPRESA,
                o_orderstatus
         FROM b)
     SELECT * EXCLUDE (o_orderstatus) FROM r
@@ -138,19 +202,29 @@ SQL_RAW_DASHBOARD = f"""
     SELECT * EXCLUDE (o_orderstatus) FROM r WHERE o_orderstatus = 'P'"""
 
 SQL_STAGE_DASHBOARD = f"""
-    SELECT DISTINCT id_venta,
+    SELECT DISTINCT id_venta, trim(upper(EQUIPO)) AS equipo,
            trim(upper(DESARROLLO_LARGO)) AS desarrollo_largo,
            trim(upper(DESARROLLO_CORTO)) AS desarrollo_corto,
-           trim(upper(UNIDAD)) AS unidad,
-           trim(upper(STATUSVENTA)) AS status_venta,
+           trim(upper(UNIDAD)) AS unidad, trim(upper(MODELO)) AS modelo,
+           trim(upper(ETAPA)) AS etapa, PRECIOLISTA AS precio_lista, PRECIOM2 AS precio_m2,
+           trim(upper(ASESOR)) AS asesor, trim(upper(STATUSUNIDAD)) AS status_unidad,
+           trim(upper(STATUSVENTA)) AS status_venta, trim(upper(CLIENTE)) AS cliente,
+           trim(upper(CAMPANIA)) AS campania,
            nullif(trim(upper(VENDEDOREXTERNO)), '') AS vendedor_externo,
+           try_cast(FECHADESTATUS AS DATE) AS fecha_de_status,
            {sql_plan_chain("PLAN")} AS plan,
+           coalesce(NUMEROMENSUALIDES, 0) AS numero_mensualidades,
            coalesce(NUMEROENGANCHES, 0) AS numero_enganches,
-           PRECIOVENTA AS precio_venta, TOTAL_COBRADO AS total_cobrado,
-           TOTALVENCIDO AS total_vencido, SALDOTOTAL AS saldo_total,
-           PRECIOM2V AS precio_m2_venta, REQUIERE_FACTURA AS requiere_factura,
+           PRECIOVENTA AS precio_venta, PRECIOM2V AS precio_m2_venta, ENGANCHE AS enganche,
+           FINANCIAMIENTO AS financiamiento, TOTAL_COBRADO AS total_cobrado,
+           SALDOTOTAL AS saldo_total, TOTALVENCIDO AS total_vencido,
+           SIELTOTALCOBRADOESMENORQUEELENGANCHE AS enganche_incompleto,
+           REQUIERE_FACTURA AS requiere_factura,
            try_cast(FECHAPRIMERENGANCHE AS DATE) AS fecha_primer_enganche,
-           nullif(trim(upper(COMISIONASESOR)), 'NULL') AS comision_asesor
+           try_cast(FECHAULTIMOPAGOENGANCHE AS DATE) AS fecha_ultimo_pago_enganche,
+           MONTODELPRIMERENGANCHE AS monto_primer_enganche,
+           nullif(trim(upper(COMISIONASESOR)), 'NULL') AS comision_asesor,
+           nullif(trim(upper(COMISIONEMPRESA)), 'NULL') AS comision_empresa
     FROM ({SQL_RAW_DASHBOARD})"""
 
 
@@ -164,19 +238,136 @@ def staging_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Parties: one function for main customers and co-owners, active and canceled.
+# Sale list: sale, unit, plan and price.
 
 
-def stage_parties(raw: DataFrame, role: str, canceled: bool) -> DataFrame:
-    """Clean a party report. ``role`` and ``canceled`` become literal columns.
-
-    Canceled reports cast dates with a plain ``try_cast`` (no token removal); the
-    result is the same for the 'NULL' / '' tokens, which do not parse as dates.
-    Ages always use the non-failing cast.
-    """
-    to_date = safe_date if canceled else safe_date_from_text
+def stage_sales(raw: DataFrame) -> DataFrame:
     return raw.select(
         "id_venta",
+        upper_trimmed("DESARROLLO_LARGO").alias("desarrollo_largo"),
+        upper_trimmed("DESARROLLO_CORTO").alias("desarrollo_corto"),
+        upper_trimmed("UNIDAD").alias("unidad"),
+        upper_trimmed("MODELO").alias("modelo"),
+        trimmed("STATUSUNIDAD").alias("status_unidad"),
+        upper_trimmed("EQUIPO").alias("equipo"),
+        trimmed("STATUSVENTA").alias("status_venta"),
+        normalize_plan("PLAN").alias("plan"),
+        F.col("PRECIOVENTA").alias("precio_venta"),
+        safe_date("FECHAPRIMERENGANCHE").alias("fecha_primer_enganche"),
+        safe_date(F.nullif(trimmed("FECHAULTIMOPAGOENGANCHE"), F.lit("NULL"))).alias(
+            "fecha_ultimo_pago_enganche"
+        ),
+    )
+
+
+def raw_sales(t: Tables) -> DataFrame:
+    """The sale list: every order, with the short development name missing on some."""
+    o, u = t.orders, customer_units(t)
+    k = F.col("o_orderkey")
+    day = F.col("o_orderdate").cast("date")
+    return o.join(u, o.o_custkey == u.c_custkey, "left").select(
+        k.alias("id_venta"),
+        F.lower("desarrollo_largo").alias("DESARROLLO_LARGO"),
+        F.when(k % 10 != 0, F.concat(F.col("desarrollo_corto"), F.lit(" "))).alias("DESARROLLO_CORTO"),
+        F.col("unidad").alias("UNIDAD"),
+        F.lower("modelo").alias("MODELO"),
+        F.concat(F.lit(" "), F.col("o_orderpriority")).alias("STATUSUNIDAD"),
+        F.concat(F.lit("equipo "), F.col("etapa")).alias("EQUIPO"),
+        F.concat(F.col("o_orderstatus"), F.lit(" ")).alias("STATUSVENTA"),
+        plan_label(k).alias("PLAN"),
+        money("o_totalprice").alias("PRECIOVENTA"),
+        dirty_date(k + 4, day).alias("FECHAPRIMERENGANCHE"),
+        F.when(k % 3 != 0, dirty_date(k + 5, F.date_add(day, (k % 40).cast("int") - 2)))
+        .alias("FECHAULTIMOPAGOENGANCHE"),
+    )
+
+
+SQL_SALES_LIST = f"""
+    SELECT id_venta, trim(upper(DESARROLLO_LARGO)) AS desarrollo_largo,
+           trim(upper(DESARROLLO_CORTO)) AS desarrollo_corto, trim(upper(UNIDAD)) AS unidad,
+           trim(upper(MODELO)) AS modelo, trim(STATUSUNIDAD) AS status_unidad,
+           trim(upper(EQUIPO)) AS equipo, trim(STATUSVENTA) AS status_venta,
+           {sql_plan_chain("PLAN")} AS plan, PRECIOVENTA AS precio_venta,
+           try_cast(FECHAPRIMERENGANCHE AS DATE) AS fecha_primer_enganche,
+           try_cast(nullif(trim(FECHAULTIMOPAGOENGANCHE), 'NULL') AS DATE)
+               AS fecha_ultimo_pago_enganche
+    FROM (
+        SELECT o_orderkey AS id_venta, lower(u.desarrollo_largo) AS DESARROLLO_LARGO,
+               CASE WHEN o_orderkey % 10 <> 0 THEN u.desarrollo_corto || ' ' END AS DESARROLLO_CORTO,
+               u.unidad AS UNIDAD, lower(u.modelo) AS MODELO, ' ' || o_orderpriority AS STATUSUNIDAD,
+               'equipo ' || u.etapa AS EQUIPO, o_orderstatus || ' ' AS STATUSVENTA,
+               {sql_plan_label("o_orderkey")} AS PLAN,
+               CAST(o_totalprice AS DECIMAL(18,2)) AS PRECIOVENTA,
+               {sql_dirty_date("(o_orderkey + 4)", "CAST(o_orderdate AS DATE)")} AS FECHAPRIMERENGANCHE,
+               CASE WHEN o_orderkey % 3 <> 0 THEN {sql_dirty_date(
+                   "(o_orderkey + 5)",
+                   "(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 - 2 AS INTEGER))")} END
+                   AS FECHAULTIMOPAGOENGANCHE
+        FROM orders LEFT JOIN ({SQL_CUSTOMER_UNITS}) u ON o_custkey = u.c_custkey)"""
+
+
+def sales_list(t: Tables) -> DataFrame:
+    return stage_sales(raw_sales(t))
+
+
+@register("staging_sale_list", SQL_SALES_LIST)
+def staging_sale_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sales_list(Tables(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Parties: one function for main customers and co-owners, active and canceled. A report
+# row has the sale's attributes and the party's own columns.
+
+SALE_ATTRIBUTES = [
+    "desarrollo_largo", "desarrollo_corto", "unidad", "etapa", "asesor", "status_venta",
+    "fecha_contrato", "fecha_firma_contrato", "plan", "num_mensualidades", "precio_venta",
+    "enganche", "financiamiento", "status_escritura", "fecha_escritura", "valor_escritura",
+    "dia_pago", "fecha_prospectacion", "fecha_registro_venta", "fecha_aprobacion_jd",
+    "fecha_registro_carga_contrato", "entro_dv",
+]
+
+
+def _sale_columns(role: str, canceled: bool) -> list:
+    """Cleaned sale attributes. The active main report alone removes null tokens from its
+    contract and deed dates; each report treats the deed value in its own way."""
+    main = role == ROLE_MAIN and not canceled
+    to_date = safe_date_from_text if main else safe_date
+    deed = F.col("VALORESCRITURA")
+    if main:
+        deed = null_token("VALORESCRITURA")
+    elif not canceled:
+        deed = F.nullif(trimmed("VALORESCRITURA"), F.lit("NULL"))
+    token_date = lambda c: safe_date(F.nullif(trimmed(c), F.lit("NULL")))
+    return [
+        upper_trimmed("DESARROLLO_LARGO").alias("desarrollo_largo"),
+        upper_trimmed("DESARROLLO_CORTO").alias("desarrollo_corto"),
+        upper_trimmed("UNIDAD").alias("unidad"),
+        trimmed("ETAPA").alias("etapa"),
+        upper_trimmed("ASESOR").alias("asesor"),
+        trimmed("STATUSVENTA").alias("status_venta"),
+        to_date("FECHACONTRATO").alias("fecha_contrato"),
+        to_date("FECHAFIRMACONTRATO").alias("fecha_firma_contrato"),
+        normalize_plan("PLAN").alias("plan"),
+        F.col("NOMENSUALIDADES").alias("num_mensualidades"),
+        F.col("PRECIOVENTA").alias("precio_venta"),
+        F.col("ENGANCHE").alias("enganche"),
+        F.col("FINANCIAMIENTO").alias("financiamiento"),
+        F.col("STATUSESCRITURA").alias("status_escritura"),
+        to_date("FECHAESCRITURA").alias("fecha_escritura"),
+        deed.alias("valor_escritura"),
+        F.col("DIAPAGO").alias("dia_pago"),
+        safe_date("FECHAPROSPECTACION").alias("fecha_prospectacion"),
+        safe_date("FECHAREGISTROVENTA").alias("fecha_registro_venta"),
+        token_date("FECHAAPROBACIONJD").alias("fecha_aprobacion_jd"),
+        token_date("FECHAREGISTROCARGACONTRATO").alias("fecha_registro_carga_contrato"),
+        F.col("ENTRODV").alias("entro_dv"),
+    ]
+
+
+def party_columns(role: str, canceled: bool) -> list:
+    """Cleaned party columns; ages always use the non-failing cast."""
+    return [
         upper_trimmed("NOMBRECLIENTE").alias("nombre_cliente"),
         upper_trimmed("APELLIDOPATERNO").alias("apellido_paterno"),
         upper_trimmed("APELLIDOMATERNO").alias("apellido_materno"),
@@ -184,7 +375,7 @@ def stage_parties(raw: DataFrame, role: str, canceled: bool) -> DataFrame:
         upper_trimmed(repair_mojibake(F.col("LUGARNACIMIENTO"))).alias("lugar_nacimiento"),
         upper_trimmed("RFC").alias("rfc"),
         upper_trimmed("CURP").alias("curp"),
-        upper_trimmed("CALLE").alias("calle"),
+        F.col("CALLE").alias("calle"),
         trimmed("NOEXTERIOR").alias("no_exterior"),
         trimmed("NOINTERIOR").alias("no_interior"),
         upper_trimmed("COLONIA").alias("colonia"),
@@ -202,29 +393,114 @@ def stage_parties(raw: DataFrame, role: str, canceled: bool) -> DataFrame:
         upper_trimmed("SEXO").alias("sexo"),
         upper_trimmed("ESTADOCIVIL").alias("estado_civil"),
         upper_trimmed("REGIMEN").alias("regimen"),
-        to_date("FECHAESCRITURA").alias("fecha_escritura"),
-        null_token("VALORESCRITURA").alias("valor_escritura"),
         F.lit(role).alias("rol_persona_en_venta"),
         F.lit(canceled).alias("es_venta_cancelada"),
+    ]
+
+
+def stage_parties(raw: DataFrame, role: str, canceled: bool) -> DataFrame:
+    """Clean a party report: sale id, sale attributes, party columns; ``role`` and
+    ``canceled`` become literal columns."""
+    return raw.select("id_venta", *_sale_columns(role, canceled), *party_columns(role, canceled))
+
+
+def raw_sale_rows(t: Tables) -> DataFrame:
+    """Sale attributes as the party reports state them: one row per order and variant
+    (``report_variants``; a second main customer's row disagrees on some attributes)."""
+    o, u = t.orders, customer_units(t)
+    k, v = F.col("o_orderkey"), F.col("v")
+    day = F.col("o_orderdate").cast("date")
+    price = money("o_totalprice")
+    cents = lambda c: c.cast("decimal(18,2)")
+    second = v == 1
+    rows = o.join(u, o.o_custkey == u.c_custkey, "left").select("*", report_variants(k).alias("v"))
+    return rows.select(
+        k.alias("id_venta"),
+        F.col("o_custkey").alias("party_id"),
+        "v",
+        F.lower("desarrollo_largo").alias("DESARROLLO_LARGO"),
+        F.concat(
+            F.lit(" "), F.col("desarrollo_corto"), F.when(second & (k % 80 == 0), F.lit("x")).otherwise(F.lit(""))
+        ).alias("DESARROLLO_CORTO"),
+        F.col("unidad").alias("UNIDAD"),
+        F.when(second & (k % 120 == 0), F.lit("ETAPA 9")).otherwise(F.concat(F.col("etapa"), F.lit(" ")))
+        .alias("ETAPA"),
+        F.concat(F.lit("asesor "), F.when(second, F.lit("98")).otherwise((F.col("o_custkey") % 97).cast("string")))
+        .alias("ASESOR"),
+        F.concat(F.lit(" "), F.col("o_orderstatus")).alias("STATUSVENTA"),
+        dirty_date(k, day).alias("FECHACONTRATO"),
+        dirty_date(k + 1, F.date_add(day, 7)).alias("FECHAFIRMACONTRATO"),
+        plan_label(k + v).alias("PLAN"),
+        (k % 60).cast("int").alias("NOMENSUALIDADES"),
+        cents(price + F.when(second, F.lit(100)).otherwise(F.lit(0))).alias("PRECIOVENTA"),
+        cents(k % 9000).alias("ENGANCHE"),
+        cents(price - (k % 9000)).alias("FINANCIAMIENTO"),
+        F.when(k % 5 == 0, F.lit("ESCRITURADA")).when(k % 5 != 1, F.lit("PENDIENTE")).alias("STATUSESCRITURA"),
+        dirty_date(k + 2, F.date_add(day, 365)).alias("FECHAESCRITURA"),
+        F.when(k % 4 == 0, F.lit("NULL")).when(k % 8 == 6, F.lit(" NULL ")).otherwise(k.cast("string"))
+        .alias("VALORESCRITURA"),
+        (k % 28 + 1).cast("int").alias("DIAPAGO"),
+        F.date_add(day, -30).cast("string").alias("FECHAPROSPECTACION"),
+        day.cast("string").alias("FECHAREGISTROVENTA"),
+        dirty_date(k + 6, F.date_add(day, 3)).alias("FECHAAPROBACIONJD"),
+        dirty_date(k + 7, F.date_add(day, 5)).alias("FECHAREGISTROCARGACONTRATO"),
+        F.when(k % 7 == 0, F.lit("SI")).otherwise(F.lit("NO")).alias("ENTRODV"),
     )
 
 
+def _sql_raw_sale_rows() -> str:
+    k, day = "o_orderkey", "CAST(o_orderdate AS DATE)"
+    price = "CAST(o_totalprice AS DECIMAL(18,2))"
+    plan = sql_plan_label(f"({k} + v)")
+    return f"""
+    SELECT {k} AS id_venta, o_custkey AS party_id, v,
+           lower(u.desarrollo_largo) AS DESARROLLO_LARGO,
+           ' ' || u.desarrollo_corto || CASE WHEN v = 1 AND {k} % 80 = 0 THEN 'x' ELSE '' END
+               AS DESARROLLO_CORTO,
+           u.unidad AS UNIDAD,
+           CASE WHEN v = 1 AND {k} % 120 = 0 THEN 'ETAPA 9' ELSE u.etapa || ' ' END AS ETAPA,
+           'asesor ' || CASE WHEN v = 1 THEN '98' ELSE CAST(o_custkey % 97 AS VARCHAR) END AS ASESOR,
+           ' ' || o_orderstatus AS STATUSVENTA,
+           {sql_dirty_date(k, day)} AS FECHACONTRATO,
+           {sql_dirty_date(f"({k} + 1)", f"({day} + 7)")} AS FECHAFIRMACONTRATO, {plan} AS PLAN,
+           CAST({k} % 60 AS INTEGER) AS NOMENSUALIDADES,
+           CAST({price} + CASE WHEN v = 1 THEN 100 ELSE 0 END AS DECIMAL(18,2)) AS PRECIOVENTA,
+           CAST({k} % 9000 AS DECIMAL(18,2)) AS ENGANCHE,
+           CAST({price} - ({k} % 9000) AS DECIMAL(18,2)) AS FINANCIAMIENTO,
+           CASE WHEN {k} % 5 = 0 THEN 'ESCRITURADA' WHEN {k} % 5 <> 1 THEN 'PENDIENTE' END
+               AS STATUSESCRITURA,
+           {sql_dirty_date(f"({k} + 2)", f"({day} + 365)")} AS FECHAESCRITURA,
+           CASE WHEN {k} % 4 = 0 THEN 'NULL' WHEN {k} % 8 = 6 THEN ' NULL '
+                ELSE CAST({k} AS VARCHAR) END AS VALORESCRITURA,
+           CAST({k} % 28 + 1 AS INTEGER) AS DIAPAGO,
+           CAST({day} - 30 AS VARCHAR) AS FECHAPROSPECTACION,
+           CAST({day} AS VARCHAR) AS FECHAREGISTROVENTA,
+           {sql_dirty_date(f"({k} + 6)", f"({day} + 3)")} AS FECHAAPROBACIONJD,
+           {sql_dirty_date(f"({k} + 7)", f"({day} + 5)")} AS FECHAREGISTROCARGACONTRATO,
+           CASE WHEN {k} % 7 = 0 THEN 'SI' ELSE 'NO' END AS ENTRODV
+    FROM orders LEFT JOIN ({SQL_CUSTOMER_UNITS}) u ON o_custkey = u.c_custkey,
+         (VALUES (0), (1), (2)) AS variants(v)"""
+
+
 def raw_parties(df: DataFrame, id_col: str, name_col: str, nation_col: str) -> DataFrame:
-    """A party report from customer or supplier rows (deterministic dirt by id)."""
+    """A party report's own columns from customer or supplier rows (deterministic dirt by
+    id), keyed by ``party_id`` and variant ``v``: 1 is another person, 2 has another country."""
     k = F.col(id_col)
     nat = F.col(nation_col).cast("string")
     ks = k.cast("string")
     known = k % 29 != 0  # every 29th party has no identity data at all
+    df = df.select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("v"))
+    other = F.when(F.col("v") == 1, F.lit("b")).otherwise(F.lit(""))
 
     def ident(c):
         return F.when(known, c)
 
     return df.select(
-        k.alias("id_venta"),
         k.alias("party_id"),
+        "v",
         ident(
-            F.when(k % 5 == 0, F.concat(F.lit(" "), F.lower(name_col), F.lit(" "))).otherwise(
-                F.col(name_col)
+            F.when(k % 5 == 0, F.concat(F.lit(" "), F.lower(name_col), other, F.lit(" "))).otherwise(
+                F.concat(F.col(name_col), other)
             )
         ).alias("NOMBRECLIENTE"),
         ident(F.when(k % 7 != 0, F.concat(F.lit("apellido"), nat))).alias("APELLIDOPATERNO"),
@@ -238,10 +514,10 @@ def raw_parties(df: DataFrame, id_col: str, name_col: str, nation_col: str) -> D
         F.when(k % 8 == 0, F.lit("MÃ©XICO")).when(k % 8 == 1, F.lit("México "))
         .otherwise(F.lit("jalisco"))
         .alias("LUGARNACIMIENTO"),
-        ident(F.when(k % 4 == 1, F.lit("")).when(k % 4 != 0, F.concat(F.lit(" rfc"), ks))).alias(
-            "RFC"
-        ),
-        ident(F.when(k % 3 == 0, F.concat(F.lit("curp"), (k % 50).cast("string")))).alias("CURP"),
+        ident(
+            F.when(k % 4 == 1, F.lit("")).when(k % 4 != 0, F.concat(F.lit(" rfc"), ks, other))
+        ).alias("RFC"),
+        ident(F.when(k % 3 == 0, F.concat(F.lit("curp"), (k % 50).cast("string"), other))).alias("CURP"),
         F.concat(F.lit("calle "), nat).alias("CALLE"),
         F.concat(F.lit(" "), (k % 100).cast("string")).alias("NOEXTERIOR"),
         F.lit(None).cast("string").alias("NOINTERIOR"),
@@ -249,10 +525,12 @@ def raw_parties(df: DataFrame, id_col: str, name_col: str, nation_col: str) -> D
         (k % 1000 + 10000).cast("int").alias("CODIGOPOSTAL"),
         F.when(k % 9 == 0, F.lit(" 0")).otherwise(F.concat(F.lit("loc "), nat)).alias("LOCALIDAD"),
         F.lit("cdmx").alias("ESTADO"),
-        F.when(k % 2 == 0, F.lit("MEXICO")).otherwise(F.lit("mexico ")).alias("PAIS"),
+        F.when(F.col("v") == 2, F.lit("guatemala")).when(k % 2 == 0, F.lit("MEXICO"))
+        .otherwise(F.lit("mexico "))
+        .alias("PAIS"),
         F.lit("Mexicana").alias("NACIONALIDAD"),
         F.lit("empleado").alias("OCUPACION"),
-        ident(F.when(k % 6 != 0, F.concat(F.lit(" User"), ks, F.lit("@Example.com")))).alias(
+        ident(F.when(k % 6 != 0, F.concat(F.lit(" User"), ks, other, F.lit("@Example.com")))).alias(
             "EMAIL"
         ),
         ident(F.concat(F.lit("55"), ks)).alias("TELEFONOCELULAR"),
@@ -262,19 +540,17 @@ def raw_parties(df: DataFrame, id_col: str, name_col: str, nation_col: str) -> D
         F.when(k % 2 == 0, F.lit("m")).otherwise(F.lit("f")).alias("SEXO"),
         F.lit("soltero").alias("ESTADOCIVIL"),
         F.lit("").alias("REGIMEN"),
-        dirty_date(k, F.date_add(F.lit("2020-01-01").cast("date"), (k % 1000).cast("int")))
-        .alias("FECHAESCRITURA"),
-        F.when(k % 4 == 0, F.lit("NULL")).otherwise(ks).alias("VALORESCRITURA"),
     )
 
 
-def sql_raw_parties(table: str, id_col: str, name_col: str, nation_col: str, where: str) -> str:
+def sql_raw_parties(table: str, id_col: str, name_col: str, nation_col: str) -> str:
     k, nat, ks = id_col, f"CAST({nation_col} AS VARCHAR)", f"CAST({id_col} AS VARCHAR)"
-    fecha = sql_dirty_date(k, f"(DATE '2020-01-01' + CAST({k} % 1000 AS INTEGER))")
+    other = "CASE WHEN v = 1 THEN 'b' ELSE '' END"
     return f"""
-    SELECT {k} AS id_venta, {k} AS party_id,
-           CASE WHEN {k} % 29 <> 0 THEN (CASE WHEN {k} % 5 = 0 THEN ' ' || lower({name_col}) || ' '
-               ELSE {name_col} END) END AS NOMBRECLIENTE,
+    SELECT {k} AS party_id, v,
+           CASE WHEN {k} % 29 <> 0 THEN (CASE WHEN {k} % 5 = 0
+               THEN ' ' || lower({name_col}) || {other} || ' ' ELSE {name_col} || {other} END) END
+               AS NOMBRECLIENTE,
            CASE WHEN {k} % 29 <> 0 AND {k} % 7 <> 0 THEN 'apellido' || {nat} END AS APELLIDOPATERNO,
            CASE WHEN {k} % 29 = 0 THEN NULL WHEN {k} % 3 = 0 THEN ''
                ELSE 'm' || CAST({k} % 10 AS VARCHAR) END AS APELLIDOMATERNO,
@@ -282,35 +558,56 @@ def sql_raw_parties(table: str, id_col: str, name_col: str, nation_col: str, whe
                 ELSE CAST({k} % 60 + 18 AS VARCHAR) END AS EDAD,
            CASE WHEN {k} % 8 = 0 THEN 'MéXICO' WHEN {k} % 8 = 1 THEN 'México '
                 ELSE 'jalisco' END AS LUGARNACIMIENTO,
-           CASE WHEN {k} % 29 = 0 THEN NULL WHEN {k} % 4 = 1 THEN '' WHEN {k} % 4 <> 0 THEN ' rfc' || {ks} END
-               AS RFC,
-           CASE WHEN {k} % 29 <> 0 AND {k} % 3 = 0 THEN 'curp' || CAST({k} % 50 AS VARCHAR) END AS CURP,
+           CASE WHEN {k} % 29 = 0 THEN NULL WHEN {k} % 4 = 1 THEN ''
+                WHEN {k} % 4 <> 0 THEN ' rfc' || {ks} || {other} END AS RFC,
+           CASE WHEN {k} % 29 <> 0 AND {k} % 3 = 0
+                THEN 'curp' || CAST({k} % 50 AS VARCHAR) || {other} END AS CURP,
            'calle ' || {nat} AS CALLE,
            ' ' || CAST({k} % 100 AS VARCHAR) AS NOEXTERIOR,
            CAST(NULL AS VARCHAR) AS NOINTERIOR, 'centro' AS COLONIA,
            CAST({k} % 1000 + 10000 AS INTEGER) AS CODIGOPOSTAL,
            CASE WHEN {k} % 9 = 0 THEN ' 0' ELSE 'loc ' || {nat} END AS LOCALIDAD,
            'cdmx' AS ESTADO,
-           CASE WHEN {k} % 2 = 0 THEN 'MEXICO' ELSE 'mexico ' END AS PAIS,
+           CASE WHEN v = 2 THEN 'guatemala' WHEN {k} % 2 = 0 THEN 'MEXICO' ELSE 'mexico ' END AS PAIS,
            'Mexicana' AS NACIONALIDAD, 'empleado' AS OCUPACION,
-           CASE WHEN {k} % 29 <> 0 AND {k} % 6 <> 0 THEN ' User' || {ks} || '@Example.com' END AS EMAIL,
-           CASE WHEN {k} % 29 <> 0 THEN '55' || {ks} END AS TELEFONOCELULAR, CAST(NULL AS VARCHAR) AS TELEFONOLOCAL,
+           CASE WHEN {k} % 29 <> 0 AND {k} % 6 <> 0
+                THEN ' User' || {ks} || {other} || '@Example.com' END AS EMAIL,
+           CASE WHEN {k} % 29 <> 0 THEN '55' || {ks} END AS TELEFONOCELULAR,
+           CAST(NULL AS VARCHAR) AS TELEFONOLOCAL,
            'ine' AS IDENTIFICACION, {ks} AS NOIDENTIFICACION,
            CASE WHEN {k} % 2 = 0 THEN 'm' ELSE 'f' END AS SEXO,
-           'soltero' AS ESTADOCIVIL, '' AS REGIMEN,
-           {fecha} AS FECHAESCRITURA,
-           CASE WHEN {k} % 4 = 0 THEN 'NULL' ELSE {ks} END AS VALORESCRITURA
-    FROM {table} WHERE {where}"""
+           'soltero' AS ESTADOCIVIL, '' AS REGIMEN
+    FROM {table}, (VALUES (0), (1), (2)) AS variants(v)"""
 
 
-def sql_stage_parties(raw_sql: str, role: str, canceled: bool) -> str:
-    fecha = (
-        "try_cast(FECHAESCRITURA AS DATE)"
-        if canceled
-        else "try_cast(nullif(nullif(trim(FECHAESCRITURA), 'NULL'), '') AS DATE)"
+def _sql_sale_columns(role: str, canceled: bool) -> str:
+    main = role == ROLE_MAIN and not canceled
+    date = lambda c: (
+        f"try_cast(nullif(nullif(trim({c}), 'NULL'), '') AS DATE)" if main else f"try_cast({c} AS DATE)"
     )
+    deed = "VALORESCRITURA"
+    if main:
+        deed = "nullif(VALORESCRITURA, 'NULL')"
+    elif not canceled:
+        deed = "nullif(trim(VALORESCRITURA), 'NULL')"
     return f"""
-    SELECT id_venta,
+           trim(upper(DESARROLLO_LARGO)) AS desarrollo_largo,
+           trim(upper(DESARROLLO_CORTO)) AS desarrollo_corto, trim(upper(UNIDAD)) AS unidad,
+           trim(ETAPA) AS etapa, trim(upper(ASESOR)) AS asesor, trim(STATUSVENTA) AS status_venta,
+           {date("FECHACONTRATO")} AS fecha_contrato, {date("FECHAFIRMACONTRATO")} AS fecha_firma_contrato,
+           {sql_plan_chain("PLAN")} AS plan, NOMENSUALIDADES AS num_mensualidades,
+           PRECIOVENTA AS precio_venta, ENGANCHE AS enganche, FINANCIAMIENTO AS financiamiento,
+           STATUSESCRITURA AS status_escritura, {date("FECHAESCRITURA")} AS fecha_escritura,
+           {deed} AS valor_escritura, DIAPAGO AS dia_pago,
+           try_cast(FECHAPROSPECTACION AS DATE) AS fecha_prospectacion,
+           try_cast(FECHAREGISTROVENTA AS DATE) AS fecha_registro_venta,
+           try_cast(nullif(trim(FECHAAPROBACIONJD), 'NULL') AS DATE) AS fecha_aprobacion_jd,
+           try_cast(nullif(trim(FECHAREGISTROCARGACONTRATO), 'NULL') AS DATE)
+               AS fecha_registro_carga_contrato,
+           ENTRODV AS entro_dv"""
+
+
+_SQL_PARTY_COLUMNS = """
            trim(upper(NOMBRECLIENTE)) AS nombre_cliente,
            trim(upper(APELLIDOPATERNO)) AS apellido_paterno,
            trim(upper(APELLIDOMATERNO)) AS apellido_materno,
@@ -318,7 +615,7 @@ def sql_stage_parties(raw_sql: str, role: str, canceled: bool) -> str:
                 ELSE try_cast(trim(EDAD) AS INTEGER) END AS edad,
            trim(upper(LUGARNACIMIENTO)) AS lugar_nacimiento,
            trim(upper(RFC)) AS rfc, trim(upper(CURP)) AS curp,
-           trim(upper(CALLE)) AS calle, trim(NOEXTERIOR) AS no_exterior,
+           CALLE AS calle, trim(NOEXTERIOR) AS no_exterior,
            trim(NOINTERIOR) AS no_interior, trim(upper(COLONIA)) AS colonia,
            CAST(CODIGOPOSTAL AS VARCHAR) AS codigo_postal,
            nullif(trim(upper(LOCALIDAD)), '0') AS localidad,
@@ -329,41 +626,139 @@ def sql_stage_parties(raw_sql: str, role: str, canceled: bool) -> str:
            trim(upper(IDENTIFICACION)) AS identificacion,
            trim(NOIDENTIFICACION) AS no_identificacion,
            trim(upper(SEXO)) AS sexo, trim(upper(ESTADOCIVIL)) AS estado_civil,
-           trim(upper(REGIMEN)) AS regimen,
-           {fecha} AS fecha_escritura,
-           nullif(CAST(VALORESCRITURA AS VARCHAR), 'NULL') AS valor_escritura,
+           trim(upper(REGIMEN)) AS regimen"""
+
+
+def sql_stage_parties(raw_sql: str, role: str, canceled: bool) -> str:
+    return f"""
+    SELECT id_venta, {_sql_sale_columns(role, canceled)}, {_SQL_PARTY_COLUMNS},
            '{role}' AS rol_persona_en_venta, {str(canceled).upper()} AS es_venta_cancelada
     FROM ({raw_sql})"""
 
 
-def _party_reports(t: Tables) -> list[tuple[DataFrame, str, bool]]:
-    c, s = t.customer, t.supplier
-    cust = lambda cond: raw_parties(c.where(cond), "c_custkey", "c_name", "c_nationkey")
-    supp = lambda cond: raw_parties(s.where(cond), "s_suppkey", "s_name", "s_nationkey")
+def main_rows(t: Tables) -> DataFrame:
+    """Main-customer report rows: sale attributes of every order and variant."""
+    return raw_sale_rows(t)
+
+
+def staged_sale_rows(t: Tables) -> DataFrame:
+    """The sale attributes of the active main-customer report. Attaching a party (a left
+    join on its unique key) adds no row, so readers of sale columns leave it out."""
+    return main_rows(t).select("id_venta", *_sale_columns(ROLE_MAIN, False))
+
+
+def report_rows(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """(sale id, party, variant) of the main-customer and the co-owner report's rows."""
+    keys = ["id_venta", "party_id", "v"]
+    co = t.lineitem.select(F.col("l_orderkey").alias("id_venta"), F.col("l_suppkey").alias("party_id"))
+    o = t.orders
+    main = o.select(
+        F.col("o_orderkey").alias("id_venta"), F.col("o_custkey").alias("party_id"),
+        report_variants(F.col("o_orderkey")).alias("v"),
+    )
+    return main.select(*keys), co.select("*", F.lit(0).alias("v"))
+
+
+def co_owner_rows(t: Tables) -> DataFrame:
+    """Co-owner report rows: every supplier of an order, with the order's attributes."""
+    lines = t.lineitem.select("l_orderkey", F.col("l_suppkey").alias("supplier")).distinct()
+    sales = raw_sale_rows(t).where("v = 0")
+    return lines.join(sales, lines.l_orderkey == sales.id_venta, "left").select(
+        F.col("l_orderkey").alias("id_venta"),
+        F.col("supplier").alias("party_id"),
+        F.lit(0).alias("v"),
+        *[c for c in sales.columns if c not in ("id_venta", "party_id", "v")],
+    )
+
+
+def staged_report(rows: DataFrame, parties: DataFrame, role: str, canceled: bool) -> DataFrame:
+    """A staged party report from sale rows and the parties' own columns.
+
+    The cleaning of a party depends on its own columns only, so each party is staged
+    once and then attached to its sales; a row without a known party keeps its sale.
+    """
+    sale = rows.select("id_venta", "party_id", "v", *_sale_columns(role, canceled))
+    party = parties.select("party_id", "v", *party_columns(role, canceled))
+    literal = ["rol_persona_en_venta", "es_venta_cancelada"]
+    joined = sale.join(party.drop(*literal), ["party_id", "v"], "left").drop("party_id", "v")
+    return joined.withColumns(
+        {"rol_persona_en_venta": F.lit(role), "es_venta_cancelada": F.lit(canceled)}
+    )
+
+
+def party_report(rows: DataFrame, parties: DataFrame, role: str) -> DataFrame:
+    """The party columns of an active report for ``report_rows``, without sale attributes."""
+    known = parties.select("party_id", "v", *party_columns(role, False))
+    joined = rows.join(known, ["party_id", "v"], "left").drop("party_id", "v")
+    return joined.withColumns({"rol_persona_en_venta": F.lit(role), "es_venta_cancelada": F.lit(False)})
+
+
+def customer_parties(df: DataFrame) -> DataFrame:
+    return raw_parties(df, "c_custkey", "c_name", "c_nationkey")
+
+
+def supplier_parties(df: DataFrame) -> DataFrame:
+    return raw_parties(df, "s_suppkey", "s_name", "s_nationkey")
+
+
+def main_report(t: Tables) -> DataFrame:
+    return staged_report(main_rows(t), customer_parties(t.customer), ROLE_MAIN, False)
+
+
+def co_owner_report(t: Tables) -> DataFrame:
+    return staged_report(co_owner_rows(t), supplier_parties(t.supplier), ROLE_CO_OWNER, False)
+
+
+def canceled_reports(t: Tables) -> list[DataFrame]:
+    """Canceled reports: the sales of customers, and the parties, with a negative balance."""
+    cust = t.customer.where("c_acctbal < 0")
+    supp = t.supplier.where("s_acctbal < 0")
+    of = lambda rows, keys, key: rows.join(keys, rows.party_id == keys[key], "left_semi")
     return [
-        (cust(F.col("c_acctbal") >= 0), ROLE_MAIN, False),
-        (supp(F.col("s_acctbal") >= 0), ROLE_CO_OWNER, False),
-        (cust(F.col("c_acctbal") < 0), ROLE_MAIN, True),
-        (supp(F.col("s_acctbal") < 0), ROLE_CO_OWNER, True),
+        staged_report(of(main_rows(t), cust, "c_custkey"), customer_parties(cust), ROLE_MAIN, True),
+        staged_report(of(co_owner_rows(t), supp, "s_suppkey"), supplier_parties(supp), ROLE_CO_OWNER, True),
     ]
 
 
+_SQL_SALE_ROWS = _sql_raw_sale_rows()
+_SQL_MAIN_ROWS = f"SELECT * FROM ({_SQL_SALE_ROWS}) WHERE {sql_report_variants('id_venta')}"
+SQL_STAGED_SALE_ROWS = f"SELECT id_venta, {_sql_sale_columns(ROLE_MAIN, False)} FROM ({_SQL_MAIN_ROWS})"
+_SQL_CO_ROWS = f"""
+    SELECT l.l_orderkey AS id_venta, l.l_suppkey AS party_id, 0 AS v,
+           s.* EXCLUDE (id_venta, party_id, v)
+    FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) l
+    LEFT JOIN ({_SQL_MAIN_ROWS} AND v = 0) s ON l.l_orderkey = s.id_venta"""
+
+
+def _sql_report(rows: str, parties: str, where: str = "TRUE") -> str:
+    return f"""
+    SELECT r.* EXCLUDE (party_id, v), p.* EXCLUDE (party_id, v)
+    FROM (SELECT * FROM ({rows}) WHERE {where}) r
+    LEFT JOIN ({parties}) p ON r.party_id = p.party_id AND r.v = p.v"""
+
+
+_SQL_CUSTOMER_PARTIES = sql_raw_parties("customer", "c_custkey", "c_name", "c_nationkey")
+_SQL_SUPPLIER_PARTIES = sql_raw_parties("supplier", "s_suppkey", "s_name", "s_nationkey")
+SQL_MAIN_REPORT = sql_stage_parties(_sql_report(_SQL_MAIN_ROWS, _SQL_CUSTOMER_PARTIES), ROLE_MAIN, False)
+SQL_CO_OWNER_REPORT = sql_stage_parties(
+    _sql_report(_SQL_CO_ROWS, _SQL_SUPPLIER_PARTIES), ROLE_CO_OWNER, False
+)
 SQL_STAGING_PARTIES = " UNION ALL ".join(
     [
+        SQL_MAIN_REPORT,
+        SQL_CO_OWNER_REPORT,
         sql_stage_parties(
-            sql_raw_parties("customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal >= 0"),
-            ROLE_MAIN, False,
-        ),
-        sql_stage_parties(
-            sql_raw_parties("supplier", "s_suppkey", "s_name", "s_nationkey", "s_acctbal >= 0"),
-            ROLE_CO_OWNER, False,
-        ),
-        sql_stage_parties(
-            sql_raw_parties("customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal < 0"),
+            _sql_report(
+                _SQL_MAIN_ROWS, _SQL_CUSTOMER_PARTIES,
+                "party_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)",
+            ),
             ROLE_MAIN, True,
         ),
         sql_stage_parties(
-            sql_raw_parties("supplier", "s_suppkey", "s_name", "s_nationkey", "s_acctbal < 0"),
+            _sql_report(
+                _SQL_CO_ROWS, _SQL_SUPPLIER_PARTIES,
+                "party_id IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0)",
+            ),
             ROLE_CO_OWNER, True,
         ),
     ]
@@ -374,7 +769,7 @@ SQL_STAGING_PARTIES = " UNION ALL ".join(
 def staging_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Active and canceled reports of main customers and co-owners, stacked."""
     t = Tables(spark, sf_dir)
-    staged = [stage_parties(raw, role, canceled) for raw, role, canceled in _party_reports(t)]
+    staged = [main_report(t), co_owner_report(t), *canceled_reports(t)]
     return functools.reduce(DataFrame.unionByName, staged)
 
 
@@ -484,7 +879,7 @@ def raw_payments(t: Tables, canceled: bool = False, enrich: bool = True) -> Data
     if canceled:
         return l.select(*cols, amount.alias("MONTOPAGADO"))
     return l.select(
-        k.alias("id_venta"),
+        paid_sale(k, F.col("l_linenumber")).alias("id_venta"),
         *cols,
         F.when(F.col("l_partkey") % 97 == 0, F.lit("1,234.50"))
         .otherwise(amount.cast("string"))
@@ -520,7 +915,7 @@ def _sql_raw_payments(canceled: bool) -> str:
         return f"""SELECT {common},
            CAST(l_extendedprice AS DECIMAL(18,2)) AS MONTOPAGADO
         FROM {_SQL_PAYMENT_FROM} WHERE l_returnflag = 'R'"""
-    return f"""SELECT l_orderkey AS id_venta, {common},
+    return f"""SELECT {sql_paid_sale("l_orderkey", "l_linenumber")} AS id_venta, {common},
            CASE WHEN l_partkey % 97 = 0 THEN '1,234.50'
                 ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS MONTOPAGADO,
            CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS FECHA_CAPTURA
@@ -569,7 +964,7 @@ def staging_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_invoices(raw: DataFrame) -> DataFrame:
     return raw.select(
-        upper_trimmed("FOLIOGENERAL_FACTURA").alias("folio_general"),
+        trimmed("FOLIOGENERAL_FACTURA").alias("folio_general"),
         trimmed("UUID").alias("uuid"),
         trimmed("UUI_DRELACIONADO").alias("uuid_relacionado"),
         trimmed("RFC_EMISOR").alias("rfc_emisor"),
@@ -621,7 +1016,7 @@ SQL_RAW_INVOICES = f"""
     FROM orders"""
 
 SQL_STAGING_INVOICES = f"""
-    SELECT trim(upper(FOLIOGENERAL_FACTURA)) AS folio_general, trim(UUID) AS uuid,
+    SELECT trim(FOLIOGENERAL_FACTURA) AS folio_general, trim(UUID) AS uuid,
            trim(UUI_DRELACIONADO) AS uuid_relacionado, trim(RFC_EMISOR) AS rfc_emisor,
            trim(RFC_RECEPTOR) AS rfc_receptor,
            trim(upper(RAZON_SOCIAL_EMISOR)) AS razon_social_emisor,
@@ -670,7 +1065,7 @@ def raw_overdue(t: Tables, enrich: bool = True) -> DataFrame:
         # attach the unit to the orders first: the overdue lines are shuffled once
         u = customer_units(t)
         o = o.join(u, o.o_custkey == u.c_custkey, "left")
-    j = l.join(o, l.l_orderkey == o.o_orderkey, "inner")
+    j = l.join(o, l.l_orderkey == o.o_orderkey, "left")
     if not enrich:
         j = _typed_nulls(j, {c: "string" for c in _UNIT_ROLE_COLS})
     k = F.col("l_orderkey") + F.col("l_linenumber")
@@ -711,7 +1106,7 @@ SQL_RAW_OVERDUE = f"""
                AS MONTOVENCIDO,
            CASE WHEN l.l_linenumber = 1 THEN 'ENGANCHE inicial' ELSE ' mensualidad spei-x' END
                AS TIPOPAGO
-    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+    FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
     LEFT JOIN ({SQL_CUSTOMER_UNITS}) u ON o.o_custkey = u.c_custkey
     WHERE l.l_returnflag = 'R'"""
 
@@ -739,20 +1134,20 @@ def staging_overdue(spark: SparkSession, sf_dir: str) -> DataFrame:
 # source swaps the long and short development names; staging swaps them back.
 
 _EVENT_MILESTONE = [
-    # (event_type, value condition, milestone column)
+    # (event_type, parity of the event id where the type stands for two, milestone column)
     ("error", None, "RECHAZADO"),
     ("view", None, "PROCESO"),
-    ("click", "low", "ESPERANDOAUTORIZACION"),
-    ("click", "high", "APROBADO_DIRECCION_VENTAS"),
+    ("click", 0, "ESPERANDOAUTORIZACION"),
+    ("click", 1, "APROBADO_DIRECCION_VENTAS"),
     ("signup", None, "APROBADOJURIDICO"),
-    ("purchase", "low", "FINALIZADO"),
-    ("purchase", "high", "FINALIZADOYLIQUIDADO"),
+    ("purchase", 0, "FINALIZADO"),
+    ("purchase", 1, "FINALIZADOYLIQUIDADO"),
 ]
-_HIGH_VALUE = 2 * MILESTONE_MIN_VALUE
 
 
 def stage_schedule(raw: DataFrame) -> DataFrame:
     return raw.select(
+        upper_trimmed("EQUIPO").alias("equipo"),
         upper_trimmed("DESARROLLO_CORTO").alias("desarrollo_largo"),
         upper_trimmed("DESARROLLO_LARGO").alias("desarrollo_corto"),
         upper_trimmed("UNIDAD").alias("unidad"),
@@ -773,17 +1168,15 @@ def raw_schedule(t: Tables) -> DataFrame:
     e = t.events
     u = customer_units(t)
     j = e.join(u, e.user_id == u.c_custkey, "left")
-    counted = F.col("value") >= MILESTONE_MIN_VALUE
     ts_text = F.col("ts").cast("string")
     cols = []
-    for etype, band, name in _EVENT_MILESTONE:
-        cond = counted & (F.col("event_type") == etype)
-        if band == "low":
-            cond = cond & (F.col("value") < _HIGH_VALUE)
-        elif band == "high":
-            cond = cond & (F.col("value") >= _HIGH_VALUE)
+    for etype, parity, name in _EVENT_MILESTONE:
+        cond = F.col("event_type") == etype
+        if parity is not None:
+            cond = cond & (F.col("event_id") % 2 == parity)
         cols.append(F.when(cond, ts_text).alias(name))
     return j.select(
+        F.concat(F.lit("equipo "), F.col("etapa")).alias("EQUIPO"),
         F.col("desarrollo_largo").alias("DESARROLLO_CORTO"),
         F.col("desarrollo_corto").alias("DESARROLLO_LARGO"),
         F.when(F.col("event_id") % 50 != 0, F.lower("unidad")).alias("UNIDAD"),
@@ -796,18 +1189,17 @@ def raw_schedule(t: Tables) -> DataFrame:
 
 def _sql_milestones() -> str:
     out = []
-    for etype, band, name in _EVENT_MILESTONE:
-        cond = f"e.value >= {MILESTONE_MIN_VALUE} AND e.event_type = '{etype}'"
-        if band == "low":
-            cond += f" AND e.value < {_HIGH_VALUE}"
-        elif band == "high":
-            cond += f" AND e.value >= {_HIGH_VALUE}"
+    for etype, parity, name in _EVENT_MILESTONE:
+        cond = f"e.event_type = '{etype}'"
+        if parity is not None:
+            cond += f" AND e.event_id % 2 = {parity}"
         out.append(f"CASE WHEN {cond} THEN strftime(e.ts, '%Y-%m-%d %H:%M:%S.%f') END AS {name}")
     return ",\n           ".join(out)
 
 
 SQL_RAW_SCHEDULE = f"""
-    SELECT u.desarrollo_largo AS DESARROLLO_CORTO, u.desarrollo_corto AS DESARROLLO_LARGO,
+    SELECT 'equipo ' || u.etapa AS EQUIPO, u.desarrollo_largo AS DESARROLLO_CORTO,
+           u.desarrollo_corto AS DESARROLLO_LARGO,
            CASE WHEN e.event_id % 50 <> 0 THEN lower(u.unidad) END AS UNIDAD,
            'asesor ' || CAST(e.user_id % 7 AS VARCHAR) AS ASESOR, u.unidad AS CLIENTE,
            e.props AS CAMPANIA,
@@ -815,7 +1207,7 @@ SQL_RAW_SCHEDULE = f"""
     FROM events e LEFT JOIN ({SQL_CUSTOMER_UNITS}) u ON e.user_id = u.c_custkey"""
 
 SQL_STAGING_SCHEDULE = f"""
-    SELECT trim(upper(DESARROLLO_CORTO)) AS desarrollo_largo,
+    SELECT trim(upper(EQUIPO)) AS equipo, trim(upper(DESARROLLO_CORTO)) AS desarrollo_largo,
            trim(upper(DESARROLLO_LARGO)) AS desarrollo_corto, trim(upper(UNIDAD)) AS unidad,
            trim(upper(ASESOR)) AS asesor, trim(upper(CLIENTE)) AS cliente,
            trim(upper(CAMPANIA)) AS campania,

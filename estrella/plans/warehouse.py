@@ -11,6 +11,8 @@ build them from the role-mapped test tables. Grain rules:
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +23,7 @@ from estrella.functions import (
     guarded_key,
     money,
     natural_key,
-    normalize_plan,
     surrogate_key,
-    upper_trimmed,
 )
 from estrella.functions.keys import SURROGATE_NULL_TOKEN
 from estrella.operators import (
@@ -33,37 +33,40 @@ from estrella.operators import (
     survivor_max,
     with_date_attributes,
 )
-from estrella.plans.basics import sql_plan_chain
 from estrella.plans.registry import register
 from estrella.plans.roles import (
-    SQL_CUSTOMER_UNITS,
     SQL_GROUP_SEED,
-    customer_units,
     group_seed,
     maybe_null,
-    plan_label,
-    sql_plan_label,
 )
 from estrella.plans.staging import (
-    ROLE_CO_OWNER,
-    ROLE_MAIN,
+    SALE_ATTRIBUTES,
+    SQL_CO_OWNER_REPORT,
+    SQL_MAIN_REPORT,
+    SQL_SALES_LIST,
+    SQL_STAGE_DASHBOARD,
+    SQL_STAGED_SALE_ROWS,
     SQL_STAGING_INVOICES,
     SQL_STAGING_OVERDUE,
     SQL_STAGING_PARTIES,
     SQL_STAGING_PAYMENTS,
     SQL_STAGING_SCHEDULE,
+    ROLE_CO_OWNER,
+    ROLE_MAIN,
+    customer_parties,
+    party_columns,
+    party_report,
     raw_invoices,
-    raw_parties,
     raw_payments,
-    sql_raw_parties,
-    sql_stage_parties,
+    report_rows,
+    sales_list,
     stage_invoices,
-    stage_parties,
     stage_payments,
     staged_dashboard,
     staged_overdue,
+    staged_sale_rows,
     staged_schedule,
-    SQL_STAGE_DASHBOARD,
+    supplier_parties,
 )
 from estrella.sources.tables import Tables
 
@@ -304,43 +307,6 @@ def unit_attributes(units_report: DataFrame) -> DataFrame:
     return survivor_max(present, ["desarrollo_largo", "unidad"], ["desarrollo_corto", "etapa"])
 
 
-def sales_list(t: Tables) -> DataFrame:
-    """Staged sale list: sale, its unit (short name missing on some rows), plan, price."""
-    o = t.orders
-    u = customer_units(t)
-    k = F.col("o_orderkey")
-    return o.join(u, o.o_custkey == u.c_custkey, "inner").select(
-        k.alias("id_venta"),
-        upper_trimmed("desarrollo_largo").alias("desarrollo_largo"),
-        F.when(k % 10 != 0, upper_trimmed("desarrollo_corto")).alias("desarrollo_corto"),
-        upper_trimmed("unidad").alias("unidad"),
-        upper_trimmed("modelo").alias("modelo"),
-        F.trim(F.col("o_orderstatus")).alias("status_venta"),
-        F.trim(F.col("o_orderpriority")).alias("status_unidad"),
-        normalize_plan(plan_label(k)).alias("plan"),
-        F.concat(F.lit("EQUIPO "), F.col("etapa")).alias("equipo"),
-        money("o_totalprice").alias("precio_venta"),
-        F.col("o_orderdate").cast("date").alias("fecha_primer_enganche"),
-        F.when(k % 3 != 0, F.col("o_orderdate").cast("date")).alias("fecha_ultimo_pago_enganche"),
-    )
-
-
-SQL_SALES_LIST = f"""
-    SELECT o.o_orderkey AS id_venta, trim(upper(u.desarrollo_largo)) AS desarrollo_largo,
-           CASE WHEN o.o_orderkey % 10 <> 0 THEN trim(upper(u.desarrollo_corto)) END
-               AS desarrollo_corto,
-           trim(upper(u.unidad)) AS unidad, trim(upper(u.modelo)) AS modelo,
-           trim(o.o_orderstatus) AS status_venta,
-           trim(o.o_orderpriority) AS status_unidad,
-           {sql_plan_chain(sql_plan_label("o.o_orderkey"))} AS plan,
-           'EQUIPO ' || u.etapa AS equipo,
-           CAST(o.o_totalprice AS DECIMAL(18,2)) AS precio_venta,
-           CAST(o.o_orderdate AS DATE) AS fecha_primer_enganche,
-           CASE WHEN o.o_orderkey % 3 <> 0 THEN CAST(o.o_orderdate AS DATE) END
-               AS fecha_ultimo_pago_enganche
-    FROM orders o JOIN ({SQL_CUSTOMER_UNITS}) u ON o.o_custkey = u.c_custkey"""
-
-
 def dim_units(sales: DataFrame, attributes: DataFrame, seed: DataFrame) -> DataFrame:
     """Distinct units of the sales, completed from attributes, grouped by the seed."""
     v = require_present(sales, "desarrollo_largo", "unidad").select(
@@ -374,13 +340,8 @@ def dim_units(sales: DataFrame, attributes: DataFrame, seed: DataFrame) -> DataF
 
 
 def units_report(t: Tables) -> DataFrame:
-    """Unit attributes as the customer report states them, cleaned like staging."""
-    return customer_units(t).select(
-        upper_trimmed("desarrollo_largo").alias("desarrollo_largo"),
-        upper_trimmed("desarrollo_corto").alias("desarrollo_corto"),
-        upper_trimmed("unidad").alias("unidad"),
-        F.trim(F.col("etapa")).alias("etapa"),
-    )
+    """Unit attributes as the main-customer report states them."""
+    return staged_sale_rows(t).select("desarrollo_largo", "desarrollo_corto", "unidad", "etapa")
 
 
 def units_dimension(t: Tables) -> DataFrame:
@@ -392,10 +353,7 @@ SQL_DIM_UNITS = f"""
                WHERE desarrollo_largo IS NOT NULL AND unidad IS NOT NULL),
     a AS (SELECT desarrollo_largo, unidad, max(desarrollo_corto) AS desarrollo_corto,
                  max(etapa) AS etapa
-          FROM (SELECT trim(upper(desarrollo_largo)) AS desarrollo_largo,
-                       trim(upper(desarrollo_corto)) AS desarrollo_corto,
-                       trim(upper(unidad)) AS unidad, trim(etapa) AS etapa
-                FROM ({SQL_CUSTOMER_UNITS}))
+          FROM ({SQL_STAGED_SALE_ROWS})
           WHERE desarrollo_largo IS NOT NULL AND unidad IS NOT NULL
           GROUP BY desarrollo_largo, unidad),
     base AS (SELECT DISTINCT v.desarrollo_largo,
@@ -460,37 +418,24 @@ def null_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Survivor dedup, distinct rows, distinct values per key
 
 
-def sale_attribute_exprs() -> dict:
-    return {
-        "asesor": F.col("l_suppkey").cast("string"),
-        "plan": F.col("l_returnflag"),
-        "enganche": money("l_extendedprice"),
-        "fecha_contrato": F.col("l_shipdate").cast("date"),
-        "num_mensualidades": F.col("l_linenumber"),
-        "valor_escritura": F.col("l_quantity").cast("int").cast("string"),
-    }
+def sale_attributes(report: DataFrame) -> DataFrame:
+    """Per sale, the independent max of each of the 22 attributes of the main-customer
+    report (text max is lexicographic)."""
+    return survivor_max(require_present(report, "id_venta"), ["id_venta"], SALE_ATTRIBUTES)
 
 
-def sale_attributes(t: Tables) -> DataFrame:
-    """Per sale, the independent max of each attribute (text max is lexicographic)."""
-    exprs = sale_attribute_exprs()
-    l = t.lineitem.select(
-        F.col("l_orderkey").alias("id_venta"), *[e.alias(n) for n, e in exprs.items()]
-    )
-    return survivor_max(require_present(l, "id_venta"), ["id_venta"], list(exprs))
+def sale_attributes_of(t: Tables) -> DataFrame:
+    return sale_attributes(staged_sale_rows(t))
 
 
-SQL_SALE_ATTRIBUTES = """
-    SELECT l_orderkey AS id_venta, max(CAST(l_suppkey AS VARCHAR)) AS asesor,
-           max(l_returnflag) AS plan, max(CAST(l_extendedprice AS DECIMAL(18,2))) AS enganche,
-           max(CAST(l_shipdate AS DATE)) AS fecha_contrato, max(l_linenumber) AS num_mensualidades,
-           max(CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)) AS valor_escritura
-    FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey"""
+SQL_SALE_ATTRIBUTES = f"""
+    SELECT id_venta, {", ".join(f"max({c}) AS {c}" for c in SALE_ATTRIBUTES)}
+    FROM ({SQL_STAGED_SALE_ROWS}) WHERE id_venta IS NOT NULL GROUP BY id_venta"""
 
 
 @register("survivor_max", SQL_SALE_ATTRIBUTES)
 def survivor_max_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sale_attributes(Tables(spark, sf_dir))
+    return sale_attributes_of(Tables(spark, sf_dir))
 
 
 @register(
@@ -510,14 +455,15 @@ def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "distinct_per_key",
-    """
-SELECT l_orderkey AS id_venta, count(DISTINCT l_linestatus) AS distintos_status
-FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_linestatus) > 1
+    f"""
+SELECT id_venta, count(DISTINCT asesor) AS distintos_asesores
+FROM ({SQL_STAGED_SALE_ROWS}) GROUP BY id_venta HAVING count(DISTINCT asesor) > 1
 """,
 )
 def distinct_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    l = Tables(spark, sf_dir).lineitem.select(F.col("l_orderkey").alias("id_venta"), "l_linestatus")
-    return distinct_count_above(l, "id_venta", "l_linestatus", "distintos_status")
+    """Sales that the main-customer report gives several agents."""
+    rows = staged_sale_rows(Tables(spark, sf_dir)).select("id_venta", "asesor")
+    return distinct_count_above(rows, "id_venta", "asesor", "distintos_asesores")
 
 
 # ---------------------------------------------------------------------------
@@ -533,30 +479,14 @@ PARTY_COLS = [
 ]
 
 
-def _staged_party_rows(df: DataFrame, id_col: str, name_col: str, nation_col: str, role: str):
-    """Clean each party once, keyed by party id (``__party``)."""
-    staged = stage_parties(raw_parties(df, id_col, name_col, nation_col), role, False)
-    return staged.withColumnRenamed("id_venta", "__party")
-
-
 def party_reports_by_sale(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Main-customer and co-owner reports: one row per (sale, party), staged.
-
-    The cleaning depends only on the party's own columns, so each party is staged
-    once and then attached to its sales - the same rows as staging the per-sale
-    report, with the string work done per party instead of per (sale, party).
-    """
-    o = t.orders.select("o_orderkey", "o_custkey")
-    cust = _staged_party_rows(t.customer, "c_custkey", "c_name", "c_nationkey", ROLE_MAIN)
-    main = o.join(cust, o.o_custkey == cust["__party"], "inner").select(
-        F.col("o_orderkey").alias("id_venta"), *[c for c in cust.columns if c != "__party"]
-    )
-    lines = t.lineitem.select("l_orderkey", "l_suppkey").distinct()
-    supp = _staged_party_rows(t.supplier, "s_suppkey", "s_name", "s_nationkey", ROLE_CO_OWNER)
-    co = lines.join(supp, lines.l_suppkey == supp["__party"], "inner").select(
-        F.col("l_orderkey").alias("id_venta"), *[c for c in supp.columns if c != "__party"]
+    """Main-customer and co-owner reports, party columns only: one row per (sale, party).
+    Sale attributes, and the lookups they need, are left out."""
+    main, co = report_rows(t)
+    return (
+        party_report(main, customer_parties(t.customer), ROLE_MAIN),
+        party_report(co.distinct(), supplier_parties(t.supplier), ROLE_CO_OWNER),
     )
-    return main, co
 
 
 def sale_parties(main: DataFrame, co_owners: DataFrame, distinct: bool = True) -> DataFrame:
@@ -583,36 +513,27 @@ def party_profiles(t: Tables) -> DataFrame:
     For readers that aggregate per natural key - the party dimension (max of each
     attribute) and the party-key conflict audit (distinct values) - these rows give
     the same result as the (sale, party) union: a party's attributes and natural key
-    do not depend on the sale, so its repeats across sales add nothing. The sales are
-    only needed as a semi-join (does the party appear in a sale with an id?).
+    do not depend on the sale, so its repeats across sales add nothing. The sales only
+    say which parties appear; a party that no table knows has null columns.
     """
-    orders = t.orders.where(F.col("o_orderkey").isNotNull()).select("o_custkey")
-    lines = t.lineitem.where(F.col("l_orderkey").isNotNull()).select("l_suppkey")
-    cust = _staged_party_rows(t.customer, "c_custkey", "c_name", "c_nationkey", ROLE_MAIN)
-    supp = _staged_party_rows(t.supplier, "s_suppkey", "s_name", "s_nationkey", ROLE_CO_OWNER)
-    cust = cust.join(orders, cust["__party"] == orders.o_custkey, "left_semi")
-    supp = supp.join(lines, supp["__party"] == lines.l_suppkey, "left_semi")
-    cols = [c for c in PARTY_COLS if c != "id_venta"]
-    return with_party_identity(cust.select(*cols).unionByName(supp.select(*cols)))
-
-
-_SQL_MAIN_RAW = f"""
-    SELECT o.o_orderkey AS id_venta, r.* EXCLUDE (id_venta)
-    FROM (SELECT DISTINCT o_orderkey, o_custkey FROM orders) o
-    JOIN ({sql_raw_parties("customer", "c_custkey", "c_name", "c_nationkey", "TRUE")}) r
-      ON o.o_custkey = r.party_id"""
-_SQL_CO_RAW = f"""
-    SELECT l.l_orderkey AS id_venta, r.* EXCLUDE (id_venta)
-    FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) l
-    JOIN ({sql_raw_parties("supplier", "s_suppkey", "s_name", "s_nationkey", "TRUE")}) r
-      ON l.l_suppkey = r.party_id"""
+    main, co = report_rows(t)
+    profiles = []
+    for rows, parties, role in (
+        (main, customer_parties(t.customer), ROLE_MAIN), (co, supplier_parties(t.supplier), ROLE_CO_OWNER)
+    ):
+        seen = require_present(rows, "id_venta").select("party_id", "v").distinct()
+        known = parties.select("party_id", "v", *party_columns(role, False))
+        literal = {"rol_persona_en_venta": F.lit(role), "es_venta_cancelada": F.lit(False)}
+        profiles.append(seen.join(known, ["party_id", "v"], "left").drop("party_id", "v").withColumns(literal))
+    return with_party_identity(functools.reduce(DataFrame.unionByName, profiles))
+
 
 SQL_SALE_PARTIES = f"""
     SELECT DISTINCT *, {SQL_PARTY_IDENTITY}
     FROM (
-        SELECT {", ".join(PARTY_COLS)} FROM ({sql_stage_parties(_SQL_MAIN_RAW, ROLE_MAIN, False)})
+        SELECT {", ".join(PARTY_COLS)} FROM ({SQL_MAIN_REPORT})
         UNION ALL
-        SELECT {", ".join(PARTY_COLS)} FROM ({sql_stage_parties(_SQL_CO_RAW, ROLE_CO_OWNER, False)})
+        SELECT {", ".join(PARTY_COLS)} FROM ({SQL_CO_OWNER_REPORT})
     ) WHERE id_venta IS NOT NULL"""
 
 
@@ -697,48 +618,64 @@ def bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Facts
 
 
+SALE_FACT_COLS = [
+    "status_venta", "status_unidad", "plan", "equipo", "asesor", "status_escritura",
+    "fecha_primer_enganche", "fecha_ultimo_pago_enganche", "fecha_contrato", "fecha_firma_contrato",
+    "fecha_escritura", "fecha_prospectacion", "fecha_registro_venta", "fecha_aprobacion_jd",
+    "fecha_registro_carga_contrato", "precio_venta", "precio_m2_venta", "enganche", "financiamiento",
+    "valor_escritura", "num_mensualidades", "dia_pago", "entro_dv", "requiere_factura",
+]
+_FROM_SALE = ["status_venta", "status_unidad", "equipo", "fecha_primer_enganche",
+              "fecha_ultimo_pago_enganche", "precio_venta"]
+_FROM_DASHBOARD = ["precio_m2_venta", "requiere_factura"]
+_FROM_ATTRIBUTES = [c for c in SALE_FACT_COLS if c not in ("plan", *_FROM_SALE, *_FROM_DASHBOARD)]
+
+
+def sale_core(sales: DataFrame, attributes: DataFrame, dashboard: DataFrame) -> DataFrame:
+    """The sales fact before its keys are hashed: id_venta, the unit's two key columns and
+    the fact's columns. Both joins are on id_venta, so the sales are shuffled once."""
+    a = attributes.select("id_venta", F.col("plan").alias("__a_plan"), *_FROM_ATTRIBUTES)
+    d = require_present(dashboard, "id_venta").select("id_venta", *_FROM_DASHBOARD)
+    s = sales.select("id_venta", "desarrollo_largo", "unidad", F.col("plan").alias("__plan"), *_FROM_SALE)
+    j = s.join(a, "id_venta", "left").join(d, "id_venta", "left")
+    return j.withColumn("plan", F.coalesce("__plan", "__a_plan")).select(
+        "id_venta", "desarrollo_largo", "unidad", *SALE_FACT_COLS
+    )
+
+
 def fact_sales(sales: DataFrame, attributes: DataFrame, dashboard: DataFrame) -> DataFrame:
     """Sales + survivor attributes + two dashboard columns; plan from the sale first."""
-    a = attributes.select(
-        "id_venta", F.col("plan").alias("__a_plan"), "asesor", "enganche", "fecha_contrato",
-        "num_mensualidades", "valor_escritura",
-    )
-    d = require_present(dashboard, "id_venta").select(
-        "id_venta", "precio_m2_venta", "requiere_factura"
-    )
-    j = sales.join(a, "id_venta", "left").join(d, "id_venta", "left")
-    return j.select(
+    return fact_of_core(sale_core(sales, attributes, dashboard))
+
+
+def fact_of_core(core: DataFrame) -> DataFrame:
+    """The sales fact of a sale core: its keys hashed."""
+    return core.select(
         surrogate_key("id_venta").alias("venta_key"),
         "id_venta",
         surrogate_key("desarrollo_largo", "unidad").alias("unidad_key"),
-        "status_venta",
-        "status_unidad",
-        F.coalesce(F.col("plan"), F.col("__a_plan")).alias("plan"),
-        "equipo",
-        "asesor",
-        "fecha_primer_enganche",
-        "fecha_ultimo_pago_enganche",
-        "fecha_contrato",
-        "precio_venta",
-        "precio_m2_venta",
-        "enganche",
-        "valor_escritura",
-        "num_mensualidades",
-        "requiere_factura",
+        *SALE_FACT_COLS,
     )
 
 
+def sale_core_of(t: Tables) -> DataFrame:
+    return sale_core(sales_list(t), sale_attributes_of(t), staged_dashboard(t))
+
+
 def sales_fact_of(t: Tables) -> DataFrame:
-    return fact_sales(sales_list(t), sale_attributes(t), staged_dashboard(t))
+    return fact_sales(sales_list(t), sale_attributes_of(t), staged_dashboard(t))
+
+
+def _sql_sale_fact_column(c: str) -> str:
+    if c == "plan":
+        return "coalesce(v.plan, a.plan) AS plan"
+    return ("v." if c in _FROM_SALE else "d." if c in _FROM_DASHBOARD else "a.") + c
 
 
 SQL_FACT_SALES = f"""
     SELECT {sql_sk("v.id_venta")} AS venta_key, v.id_venta,
            {sql_sk("v.desarrollo_largo", "v.unidad")} AS unidad_key,
-           v.status_venta, v.status_unidad, coalesce(v.plan, a.plan) AS plan, v.equipo, a.asesor,
-           v.fecha_primer_enganche, v.fecha_ultimo_pago_enganche, a.fecha_contrato,
-           v.precio_venta, d.precio_m2_venta, a.enganche, a.valor_escritura, a.num_mensualidades,
-           d.requiere_factura
+           {", ".join(map(_sql_sale_fact_column, SALE_FACT_COLS))}
     FROM ({SQL_SALES_LIST}) v
     LEFT JOIN ({SQL_SALE_ATTRIBUTES}) a ON v.id_venta = a.id_venta
     LEFT JOIN (SELECT id_venta, precio_m2_venta, requiere_factura FROM ({SQL_STAGE_DASHBOARD})

@@ -38,13 +38,12 @@ def build_session(
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", os.environ.get("ESTRELLA_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("ESTRELLA_DRIVER_MEMORY", "8g"))
     )
     for key, value in {**DEFAULTS, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -59,8 +58,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (distributed) folder there and it is used as is.
-    Only when it is unset - local tests - a fresh scratch folder is created.
+    A cluster names a shared (distributed) folder there and it is used as is. Where it
+    is unset, a fresh scratch folder is created if the master is local (tests, one
+    machine); on a cluster that is an error, as executors do not share local folders.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
@@ -72,6 +72,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     scratch = tempfile.mkdtemp(prefix="estrella-ckpt-")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir() or scratch

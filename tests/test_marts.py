@@ -22,7 +22,7 @@ def test_role_pivot_and_main_customer_audit(spark):
         [("p1", "ANA", "a@x", "55"), ("p2", "ZOE", None, "56"), ("c1", "C", "c@x", None)],
         "persona_key string, nombre_completo string, email string, telefono_celular string",
     )
-    per_sale = {r.venta_key: r for r in M.parties_per_sale(bridge, dim).collect()}
+    per_sale = {r.venta_key: r for r in M.parties_per_sale(bridge, dim, "venta_key").collect()}
     assert per_sale["v1"].cliente_principal == "ANA" and per_sale["v1"].numero_copropietarios == 3
     # two main customers: max() picks one silently; the audit exposes the sale
     assert per_sale["v2"].cliente_principal == "ZOE" and per_sale["v2"].email_cliente_principal == "a@x"
@@ -64,7 +64,8 @@ def test_party_identity_dim_and_conflicts(spark):
 
 def _schedule_rows(spark, rows):
     cols = ["desarrollo_largo", "desarrollo_corto", "unidad", "asesor", "cliente", "campania",
-            *M.MILESTONE_COLS]
+            *M.MILESTONE_COLS, "equipo"]
+    rows = [(*r, "E") for r in rows]
     schema = ", ".join(f"{c} {'date' if c in M.MILESTONE_COLS else 'string'}" for c in cols)
     return spark.createDataFrame(rows, schema)
 
@@ -96,30 +97,44 @@ def test_schedule_ladder_gaps_and_null_units(spark):
     assert snap[None].unidad_key == expect
 
 
+def _core(spark, rows):
+    """A sale core with the given (id, development, unit, price); other columns null."""
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(
+        rows, "id_venta int, desarrollo_largo string, unidad string, precio_venta decimal(18,2)"
+    )
+    rest = [c for c in W.SALE_FACT_COLS if c != "precio_venta"]
+    return df.withColumns({c: F.lit(None).cast("string") for c in rest})
+
+
 def test_collection_status_and_price_edges(spark):
-    sales = spark.createDataFrame(
-        [("k1", 1, "u", Decimal("100.00")), ("k2", 2, "u", Decimal("0.00")),
-         ("k3", 3, "u", None), ("k4", 4, "u", Decimal("-50.00")), ("k5", 5, "u", Decimal("80.00")),
-         ("k6", 6, "u", Decimal("90.00")), ("k7", 7, "ux", Decimal("90.00"))],
-        "venta_key string, id_venta int, unidad_key string, precio_venta decimal(18,2)",
+    sales = _core(
+        spark,
+        [(1, "D", "U", Decimal("100.00")), (2, "D", "U", Decimal("0.00")), (3, "D", "U", None),
+         (4, "D", "U", Decimal("-50.00")), (5, "D", "U", Decimal("80.00")),
+         (6, "D", "U", Decimal("90.00")), (7, "X", None, Decimal("90.00")),
+         (None, "D", "U", Decimal("10.00"))],
     )
     units = spark.createDataFrame(
-        [("u", "G", "D", "S", "E", "U", "M"), ("ux", "G", "D", M.EXCLUDED_SHORT_NAMES[0], "E", "U", "M")],
+        [("u", "G", "D", "S", "E", "U", "M"), ("ux", "G", "X", M.EXCLUDED_DEVELOPMENTS[0], "E", None, "M")],
         "unidad_key string, grupo string, desarrollo_largo string, desarrollo_corto string, "
         "etapa string, unidad string, modelo string",
     )
     pay = spark.createDataFrame(
-        [("k1", Decimal("100.00"), "O", D(2020, 1, 1)), ("k1", Decimal("5.00"), "F", D(2020, 1, 2)),
-         ("k2", Decimal("10.00"), "o", D(2020, 1, 1)), ("k3", Decimal("10.00"), "O", D(2020, 1, 1)),
-         ("k4", Decimal("10.00"), "O", D(2020, 1, 1)), ("k5", Decimal("20.00"), "O", D(2020, 1, 1)),
-         ("k7", Decimal("20.00"), "O", D(2020, 1, 1))],
-        "venta_key string, monto_pagado decimal(18,2), status_ingreso string, fecha_ingreso date",
+        [(1, Decimal("100.00"), "Activo", D(2020, 1, 1)), (1, Decimal("5.00"), "Cancelado", D(2020, 1, 2)),
+         (2, Decimal("10.00"), "ACTIVO", D(2020, 1, 1)), (3, Decimal("10.00"), "Activo", D(2020, 1, 1)),
+         (4, Decimal("10.00"), "Activo", D(2020, 1, 1)), (5, Decimal("20.00"), "Activo", D(2020, 1, 1)),
+         (7, Decimal("20.00"), "Activo", D(2020, 1, 1)), (None, Decimal("4.00"), "Activo", D(2020, 1, 1))],
+        "id_venta int, monto_pagado decimal(18,2), status_ingreso string, fecha_ingreso date",
     )
     over = spark.createDataFrame(
-        [("k5", Decimal("7.00"), 3, D(2020, 1, 1)), (None, Decimal("9.00"), 1, D(2020, 1, 1))],
-        "venta_key string, monto_vencido decimal(18,2), dias_atraso int, fecha_pago date",
+        [(5, Decimal("7.00"), 3, D(2020, 1, 1)), (None, Decimal("9.00"), 1, D(2020, 1, 1))],
+        "id_venta int, monto_vencido decimal(18,2), dias_atraso int, fecha_pago date",
     )
-    got = {r.venta_key: r for r in M.rebuilt_collections(sales, units, pay, over).collect()}
+    got = {f"k{r.id_venta}": r for r in M.rebuilt_collections(sales, units, pay, over).collect()}
+    # a missing sale id matches a missing one (equal hashes) for payments, never for overdue rows
+    assert got["kNone"].total_cobrado == Decimal("4.00") and got["kNone"].total_vencido == 0
     assert "k7" not in got  # excluded development
     assert got["k1"].estatus_cobranza_estimado == "cobrado_total"
     assert got["k1"].porcentaje_cobrado == Decimal("100.00") and got["k1"].total_cobrado_bruto == Decimal("105.00")
@@ -155,13 +170,30 @@ def test_payment_fact_filters_and_keys(spark):
 
 
 def test_legacy_dashboard_exclusion_drops_null_short_names(spark):
-    dash_cols = M.DASH_COLS
-    schema = ", ".join(f"{c} string" for c in dash_cols)
     def row(i, corto):
-        r = {c: None for c in dash_cols}
-        r.update(id_venta=str(i), desarrollo_largo="D", unidad="U", desarrollo_corto=corto)
-        return tuple(r[c] for c in dash_cols)
-    dash = spark.createDataFrame([row(1, "S"), row(2, None), row(3, M.EXCLUDED_SHORT_NAMES[1])], schema)
+        return (str(i), "D", "U", corto)
+
+    schema = "id_venta string, desarrollo_largo string, unidad string, desarrollo_corto string"
+    dash = spark.createDataFrame([row(1, "S"), row(2, None), row(3, M.EXCLUDED_DEVELOPMENTS[1])], schema)
     units = spark.createDataFrame([], "unidad_key string, grupo string")
-    out = [r.id_venta for r in M.legacy_dashboard(dash, None, units).collect()]
-    assert out == ["1"]
+    assert [r.id_venta for r in M.legacy_dashboard(dash, None, units).collect()] == ["1"]
+    kept = M.legacy_dashboard(dash, None, units, excluded=["S"]).collect()
+    assert [r.id_venta for r in kept] == ["3"]
+
+
+def test_overdue_rows_without_keys_go_around_the_joins(spark):
+    rows = [("v1", 1, "u1"), ("v1", 1, None), (None, None, "u1"), (None, None, None), ("v9", 9, "u9")]
+    cols = ["cliente", "email", "telefono_celular", "telefono_local"]
+    fact = spark.createDataFrame(
+        [(*r, *cols, Decimal("1.00"), 2, D(2020, 1, 1)) for r in rows],
+        "venta_key string, id_venta int, unidad_key string, " + ", ".join(f"{c} string" for c in cols)
+        + ", monto_vencido decimal(18,2), dias_atraso int, fecha_pago date",
+    )
+    units = spark.createDataFrame(
+        [("u1", "L", "C", "G", "U")],
+        "unidad_key string, desarrollo_largo string, desarrollo_corto string, grupo string, unidad string",
+    )
+    sales = spark.createDataFrame([("v1", "E1"), (None, "never")], "venta_key string, equipo string")
+    got = {(r.venta_key, r.unidad_key): (r.equipo, r.grupo) for r in M.overdue_by_sale(fact, units, sales).collect()}
+    assert got == {("v1", "u1"): ("E1", "G"), ("v1", None): ("E1", None), (None, "u1"): (None, "G"),
+                   (None, None): (None, None), ("v9", "u9"): (None, None)}

@@ -135,8 +135,9 @@ def test_orphans_and_attach(spark):
 def test_reconcile_flags_missing(spark):
     rep = spark.createDataFrame([(1, 10), (2, 20)], "id int, a int")
     reb = spark.createDataFrame([(1, 7)], "id int, b int")
-    out = reconcile(rep, reb, "id", {"diff": ("a", "b")}, "missing")
-    assert rows(out, "id", "a", "b", "diff", "missing") == [(1, 10, 7, 3, False), (2, 20, None, None, True)]
+    out = reconcile(rep, reb, "id", {"diff": ("a", "mine", "b", "theirs")}, "missing")
+    assert rows(out, "id", "mine", "theirs", "diff", "missing") == [
+        (1, 10, 7, 3, False), (2, 20, None, None, True)]
 
 
 def test_quality_checks_and_report(spark):
@@ -252,3 +253,46 @@ def test_layer_routing_and_publish(spark, tmp_path):
     view = publish(df, "staging", "v", root)
     assert spark.table("staging__v").count() == 5 and view.count() == 5
     assert publish(df, "int", "e", root) is df
+
+
+def test_table_report_counts_like_the_single_checks(spark):
+    from estrella.operators import TableChecks, table_report
+    from estrella.operators.quality import with_status
+
+    df = spark.createDataFrame(
+        [(1, "a", 1), (1, None, 1), (None, "b", -1), (None, "c", None), (2, "=", 5), (2, "", 5)],
+        "k int, s string, v int",
+    )
+    parent = spark.createDataFrame([(2,), (None,)], "k int")
+    checks = TableChecks(
+        not_null=("k", "s"), unique=("k", "s"), combinations=(("k",), ("k", "v"), ("s",)),
+        expressions=("v >= 0",), relationships=(("k", "parent", "k"),), severity="warn",
+    )
+    got = {r.check_name: r.failures for r in table_report("t", checks, {"t": df, "parent": parent}).collect()}
+    assert list(got) == checks.names("t") or set(got) == set(checks.names("t"))
+    assert got == {
+        "not_null_t_k": check_not_null(df, "k").count(),
+        "not_null_t_s": check_not_null(df, "s").count(),
+        "expression_t_1": check_expression(df, F.col("v") >= 0).count(),
+        "unique_t_k": check_unique(df, "k").count(),
+        "unique_t_s": check_unique(df, "s").count(),
+        "unique_combination_t_k": check_unique_combination(df, ["k"]).count(),
+        "unique_combination_t_k_v": check_unique_combination(df, ["k", "v"]).count(),
+        "unique_combination_t_s": check_unique_combination(df, ["s"]).count(),
+        "relationship_t_k": check_relationship(df, "k", parent, "k").count(),
+    }
+    empty = table_report("t", checks, {"t": df.limit(0), "parent": parent})
+    assert {r.status for r in with_status(empty).collect()} == {"pass"}
+
+
+def test_conflicting_keys_are_the_audit_s_keys(spark):
+    from estrella.operators import conflicting_keys
+
+    df = spark.createDataFrame(
+        [("a", "x", 1), ("a", "y", 1), ("b", "x", None), ("b", None, 2), (None, "x", 1), (None, "x", 2), ("c", None, None)],
+        "k string, s string, n int",
+    )
+    values = {"s": F.col("s"), "n": F.col("n")}
+    audit = distinct_value_conflicts(df, ["k"], values)
+    assert rows(audit, "k", "s", "n") == [(None, 1, 2), ("a", 2, 1)]
+    assert rows(conflicting_keys(df, ["k"], values), "k") == [(None,), ("a",)]

