@@ -3,8 +3,10 @@ connected components, and streaming access to sorted groups inside a task."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -48,6 +50,33 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Tasks import it, and an executor need not share the driver's folders or its
+    PYTHONPATH. A package that came in an archive itself is with the executors already.
+    """
+    context = spark.sparkContext
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if getattr(context, "_estrella_shipped", False) or not os.path.isdir(package):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="estrella-code-"), "estrella.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._estrella_shipped = True
+
+
+def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """``df.mapInArrow(fn, schema)``, with this package on the executors."""
+    ship_code(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``most`` rows, else as it is.
 
@@ -160,7 +189,7 @@ def by_group(
             if out is not None and out.num_rows:
                 yield from out.combine_chunks().to_batches()
 
-    return df.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return map_batches(df.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys), run, schema)
 
 
 def binary_rows(col: pa.ChunkedArray | pa.Array, dtype: str) -> np.ndarray:

@@ -26,6 +26,7 @@ from estrella.llm.common import (
     block_pairs,
     by_group,
     connected_components,
+    map_batches,
     materialize,
     small,
     spread,
@@ -83,8 +84,8 @@ def usable(vectors: DataFrame) -> DataFrame:
                 ["vec_id", "dim", "cls", "vec"],
             )
 
-    return vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding").mapInArrow(
-        run, "vec_id bigint, dim int, cls binary, vec binary"
+    return vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding").transform(
+        map_batches, run, "vec_id bigint, dim int, cls binary, vec binary"
     )
 
 
@@ -102,8 +103,8 @@ def _keyed(classes: DataFrame, tables: int, hashes: int, width: float, seed: int
             )
             yield pa.RecordBatch.from_arrays([*batch.columns, listed], [*batch.schema.names, "keys"])
 
-    return classes.select("cls", "copies", "dim", "vec").mapInArrow(
-        run, "cls binary, copies bigint, dim int, vec binary, keys array<int>"
+    return classes.select("cls", "copies", "dim", "vec").transform(
+        map_batches, run, "cls binary, copies bigint, dim int, vec binary, keys array<int>"
     )
 
 

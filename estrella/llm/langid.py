@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estrella.llm import textbytes as tb
-from estrella.llm.common import materialize
+from estrella.llm.common import map_batches
 
 ORDER = 3
 DOCS_PER_LANGUAGE = 3000
@@ -243,7 +243,7 @@ def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, seed: i
                 seen, n = np.unique(key[inside], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n.astype(np.int64))], ["k", "n"])
 
-    table = sample.select("text", "lang").mapInArrow(count, "k bigint, n bigint")
+    table = sample.select("text", "lang").transform(map_batches, count, "k bigint, n bigint")
     table = table.groupBy("k").agg(F.sum("n").alias("n")).orderBy("k").toArrow()
     k = table["k"].to_numpy()
     return build(languages, k >> 32, k & 0xFFFFFFFF, table["n"].to_numpy().astype(np.float64))
@@ -294,7 +294,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             T.StructField("code_bits", T.DoubleType()),
         ]
     )
-    return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in names]).transform(map_batches, run, schema)
 
 
 def keep_languages(docs: DataFrame, model: Model) -> DataFrame:

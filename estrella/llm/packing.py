@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estrella.llm import tokens
-from estrella.llm.common import by_group, materialize
+from estrella.llm.common import by_group, map_batches, materialize
 
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, salt bigint"
 
@@ -57,7 +57,7 @@ def cut_pieces(
             yield pa.RecordBatch.from_arrays(cols, names)
 
     schema = PIECE + (", ids array<int>" if keep_ids else "")
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("bigint"), "text").transform(map_batches, run, schema)
 
 
 def first_fit_decreasing(lengths: list[int], context: int) -> tuple[list[int], list[int]]:

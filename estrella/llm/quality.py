@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estrella.llm import textbytes as tb
-from estrella.llm.common import materialize
+from estrella.llm.common import map_batches, materialize
 
 BUCKET_BITS = 17
 NGRAMS = (2, 4)
@@ -158,9 +158,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, seed
         )
 
     bagged = materialize(
-        rows.select("text", "_label").mapInArrow(bags, "label int, buckets binary, counts binary"), "bags"
+        rows.select("text", "_label").transform(map_batches, bags, "label int, buckets binary, counts binary"), "bags"
     )
-    made = bagged.repartition(1).mapInArrow(learn, "weight binary, bias double").collect()
+    made = bagged.repartition(1).transform(map_batches, learn, "weight binary, bias double").collect()
     if not made:
         return Model(np.zeros(1 << BUCKET_BITS, np.float32), 0.0)
     return Model(np.frombuffer(made[0]["weight"], np.float32), made[0]["bias"])
@@ -193,7 +193,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     schema = T.StructType(
         [*kept, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
     )
-    return docs.select("text", *[F.col(f"`{c}`") for c in names]).mapInArrow(run, schema)
+    return docs.select("text", *[F.col(f"`{c}`") for c in names]).transform(map_batches, run, schema)
 
 
 def held_out():

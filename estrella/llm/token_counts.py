@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from estrella.llm import tokens
-from estrella.llm.common import materialize
+from estrella.llm.common import map_batches, materialize
 
 BLOCK = 128  # lengths summed together before the running sums, so that no task sees them all
 
@@ -30,7 +30,7 @@ def encoded_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
             seen, docs_of = np.unique(lengths, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(docs_of.astype(np.int64))], ["n_tokens", "docs"])
 
-    return docs.select("text").mapInArrow(run, "n_tokens bigint, docs bigint")
+    return docs.select("text").transform(map_batches, run, "n_tokens bigint, docs bigint")
 
 
 def length_histogram(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from estrella.llm import tokens
-from estrella.llm.common import fresh_path, materialize, small
+from estrella.llm.common import fresh_path, map_batches, materialize, small
 
 STRIPE_BYTES = 64 << 20
 INDEX_ROWS = 2000
@@ -55,7 +55,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         .repartitionByRange(F.col("doc_id").asc_nulls_first())
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     )
-    return ordered.mapInArrow(run, FILE_SCHEMA)
+    return ordered.transform(map_batches, run, FILE_SCHEMA)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> None:
@@ -113,7 +113,7 @@ def token_digest(spark: SparkSession, path: str) -> DataFrame:
     bases = small(materialize(file_bases(files), "filebases"))
     return (
         files.select("doc_id", "file_no", "first", "ids")
-        .mapInArrow(run, "doc_id bigint, file_no bigint, first bigint, n_tokens bigint, ids_crc32 bigint")
+        .transform(map_batches, run, "doc_id bigint, file_no bigint, first bigint, n_tokens bigint, ids_crc32 bigint")
         .join(bases, "file_no")
         .select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
     )
