@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 # on a written table first; anything larger is joined through a shuffle.
 BROADCAST_ROWS = 400_000
 
+BATCH_ROWS = 1024
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
@@ -72,8 +75,16 @@ def ship_code(spark: SparkSession) -> None:
 
 
 def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:
-    """``df.mapInArrow(fn, schema)``, with this package on the executors."""
-    ship_code(df.sparkSession)
+    """``df.mapInArrow(fn, schema)``, with this package on the executors.
+
+    Rows hold whole texts, so Spark's default of 10,000 rows a batch is lowered for the
+    session (a value that the user has set stays): a batch lies in memory several times,
+    in the JVM, on its way and in Python.
+    """
+    spark = df.sparkSession
+    ship_code(spark)
+    if spark.conf.get(_BATCH_CONF) == "10000":
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
     return df.mapInArrow(fn, schema)
 
 

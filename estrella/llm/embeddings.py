@@ -33,7 +33,7 @@ from estrella.llm.common import (
 )
 
 TABLES, HASHES, WIDTH, SEED = 32, 8, 2.0, 11
-BLOCK = 2048  # vectors of a hot bucket compared in one task
+BLOCK = 1024  # vectors of a hot bucket compared in one task
 
 
 def unit(x: np.ndarray) -> np.ndarray:

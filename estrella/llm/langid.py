@@ -28,7 +28,7 @@ from estrella.llm.common import map_batches
 ORDER = 3
 DOCS_PER_LANGUAGE = 3000
 UNDETERMINED = "und"
-SLICE = 1 << 20  # bytes scored at a time
+SLICE = 1 << 18  # bytes scored at a time
 SLACK_BITS = 64.0
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from estrella.llm import textbytes as tb
 
 # Chunks one task keeps; the table is started anew beyond that (same ids, more work).
-KNOWN_CHUNKS = 1_000_000
+KNOWN_CHUNKS = 300_000
 
 _CLASSES = np.full(256, 3, np.uint8)  # digits, apostrophe, controls, non-ASCII: no inner border
 _CLASSES[[9, 10, 11, 12, 13, 32]] = 0
@@ -76,12 +76,12 @@ class Encoder:
         return out
 
     def _enter(self, hashes: np.ndarray, slots: np.ndarray) -> None:
-        """Put distinct new hashes into the table, which is kept at most a third full."""
-        if 3 * (self.count + len(hashes)) > len(self.table):
+        """Put distinct new hashes into the table, which is kept at most half full."""
+        if 2 * (self.count + len(hashes)) > len(self.table):
             old = np.flatnonzero(self.table)
             hashes = np.concatenate([self.table[old], hashes])
             slots = np.concatenate([self.slots[old], slots])
-            size = 1 << int(np.ceil(np.log2(6 * len(hashes) + 1)))
+            size = 1 << int(np.ceil(np.log2(3 * len(hashes) + 1)))
             self.table, self.slots = np.zeros(size, np.uint64), np.zeros(size, np.int32)
         mask = len(self.table) - 1
         at = (hashes & np.uint64(mask)).astype(np.int64)
