@@ -25,13 +25,15 @@ _BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (tests on one machine) a scratch folder is made and
-    remembered in the session.
+    Only where that is unset and the master is local (tests on one machine) a scratch
+    folder is made and remembered in the session; on a cluster that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.estrella.llm.scratch", None
     )
     if not found:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="estrella-llm-")
         spark.conf.set("spark.estrella.llm.scratch", found)
     return found.rstrip("/")
