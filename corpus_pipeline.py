@@ -31,8 +31,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take boilerplate lines of each source out of the texts; n_chars follows the text."""
-    cleaned = line_dedup.drop_boilerplate(docs)
+    """Take boilerplate lines of each source out of the texts; n_chars follows the text.
+
+    Lines are counted over distinct texts: copies are left to the next stage.
+    """
+    cleaned = line_dedup.drop_boilerplate(docs, distinct_texts=True)
     return cleaned.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
 
 

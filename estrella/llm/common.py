@@ -98,6 +98,31 @@ def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def text_key(text: str = "text") -> list[Column]:
+    """_ta, _tb: 128 bits of a text; a null text has a key of its own."""
+    return [F.xxhash64(text).alias("_ta"), F.xxhash64(F.lit(1), F.col(text)).alias("_tb")]
+
+
+def join_keys(df: DataFrame, keys: DataFrame, names: list[str], how: str) -> DataFrame:
+    """``df`` semi- or anti-joined with the written table ``keys`` on ``names``; a null meets a null."""
+    other = small(keys.select(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(names)]))
+    same = [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(names)]
+    return df.join(other, same, how)
+
+
+def one_of_each(df: DataFrame, names: list[str], repeated: DataFrame) -> DataFrame:
+    """``df`` with one row (the smallest) of each key in ``repeated``, a written table of the
+    keys that several rows have. Only those rows are moved, one of each key and task."""
+    rest = [c for c in df.columns if c not in names]
+    folded = (
+        join_keys(df, repeated, names, "left_semi")
+        .groupBy(*names)
+        .agg(F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_row"))
+        .select(*names, *[F.col("_row").getField(c).alias(c) for c in rest])
+    )
+    return join_keys(df, repeated, names, "left_anti").unionByName(folded.select(*df.columns))
+
+
 def connected_components(edges: DataFrame, name: str = "links") -> DataFrame:
     """(node, component): the smallest node reachable, for every node in ``edges(a, b)``.
 

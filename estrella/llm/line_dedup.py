@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estrella.llm.common import materialize, small
+from estrella.llm.common import materialize, one_of_each, small, text_key
 
 RATIO = 0.05
 MIN_PAGES = 5
@@ -27,9 +27,21 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(bare).alias("a"), F.xxhash64(F.lit(1), bare).alias("b"))
 
 
-def boilerplate_lines(docs: DataFrame, host: str, ratio: float, min_pages: int) -> DataFrame:
+def _distinct_pages(pages: DataFrame) -> DataFrame:
+    """``pages(_host, _text)`` with each text once per host; only repeated texts are moved."""
+    keyed = pages.select("_host", *text_key("_text"), "_text")
+    names = ["_host", "_ta", "_tb"]
+    repeated = keyed.groupBy(*names).agg(F.count("*").alias("n")).where("n > 1").select(*names)
+    return one_of_each(keyed, names, materialize(repeated, "copied")).select("_host", "_text")
+
+
+def boilerplate_lines(
+    docs: DataFrame, host: str, ratio: float, min_pages: int, distinct_texts: bool = False
+) -> DataFrame:
     """_host, key, pages, host_pages of the lines above the ratio."""
     pages = docs.select(F.col(host).alias("_host"), F.col("text").alias("_text"))
+    if distinct_texts:
+        pages = _distinct_pages(pages)
     totals = pages.groupBy("_host").agg(F.count("*").alias("host_pages"))
     bare = F.array_distinct(F.transform(_lines(F.col("_text")), F.trim))
     counted = (
@@ -47,7 +59,11 @@ def boilerplate_lines(docs: DataFrame, host: str, ratio: float, min_pages: int)
 
 
 def drop_boilerplate(
-    docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES
+    docs: DataFrame,
+    host: str = "source",
+    ratio: float = RATIO,
+    min_pages: int = MIN_PAGES,
+    distinct_texts: bool = False,
 ) -> DataFrame:
     """``docs`` with the lines of ``text`` that are boilerplate on their host left out.
 
@@ -56,8 +72,11 @@ def drop_boilerplate(
     stay. Adds n_lines and n_dropped (a text of null stays null and has 0 of each); input
     columns of those names are replaced. A null host is a host of its own; repeated rows
     count as pages; all other columns and all rows are kept; no rows give no rows.
+
+    With ``distinct_texts`` rows of a host with the same text count as one page (null texts
+    as one), so that copies of a document do not make its own lines boilerplate.
     """
-    found = materialize(boilerplate_lines(docs, host, ratio, min_pages), "boilerplate")
+    found = materialize(boilerplate_lines(docs, host, ratio, min_pages, distinct_texts), "boilerplate")
     drops = small(
         materialize(
             found.groupBy(F.col("_host").alias("_llm_host")).agg(F.collect_list("key").alias("_llm_drop")), "drops"

@@ -47,3 +47,16 @@ def test_run_and_empty_documents(spark, sf_small, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{sf_small}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert cp.run(spark, str(tmp_path)).collect() == []
+
+
+def test_copies_do_not_make_their_own_lines_boilerplate(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    copied = "\n".join(f"part {i} of the text that a third of the rows hold" for i in range(6))
+    texts = [copied + "\nmenu" if i % 3 == 0 else f"menu\npage {i} has words of its own {i * i}" for i in range(60)]
+    for host in ("s", None):
+        docs = spark.createDataFrame([(i, t, "en", host, len(t)) for i, t in enumerate(texts)], schema)
+        cleaned = cp.materialize(cp.lines(spark, docs, ""), "lines")
+        got = dict(rows(cleaned))
+        assert len(got) == 60 and all(got[i] == t.replace("\nmenu", "").replace("menu\n", "") for i, t in enumerate(texts))
+        kept = dict(rows(cp.near_duplicates(spark, cleaned, "")))
+        assert [i for i, t in kept.items() if t == copied] == [0] and len(kept) == 41
