@@ -1,9 +1,9 @@
 """The corpus pipeline: stages over ``documents``, each written and read again.
 
 Every stage takes (spark, docs, sf_dir), works on all rows that the stage before kept and
-returns the columns of ``documents``; the last one returns the packed pieces. Rows that
-share a doc_id are one document to the stages that drop documents; a null doc_id cannot
-be named, so such rows are dropped by the language stage only.
+returns the columns of ``documents``; the last one returns the packed pieces. The stages
+that drop documents decide by doc_id and text, so rows that share a doc_id or have none are
+judged by their own text; rows that repeat both are one document from near_duplicates on.
 """
 
 from __future__ import annotations
@@ -14,17 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estrella.llm import decontaminate, langid, line_dedup, packing, setsketch
-from estrella.llm.common import materialize, small
+from estrella.llm.common import materialize
 from estrella.llm.queries import table, tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _without(docs: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
-    """``docs`` without the documents whose doc_id is in ``dropped``."""
-    return docs.join(small(materialize(dropped.select("doc_id").distinct(), name)), "doc_id", "left_anti")
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose text is in a language learned from the labelled ones."""
     return langid.keep_languages(docs, langid.fit(docs))
@@ -40,15 +35,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of each group of near copies (5-word shingles, 0.8)."""
-    found = setsketch.near_duplicates(docs, width=5, percent=80)
-    return _without(docs, found.where("not kept"), "copies").select(*docs.columns)
+    """Keep one row, of the smallest doc_id, of each group of near copies (5-word shingles, 0.8)."""
+    return setsketch.one_of_each_group(docs, width=5, percent=80).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents of which benchmark windows cover a twentieth of the words or more."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated"), "contaminated").select(*docs.columns)
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

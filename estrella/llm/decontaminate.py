@@ -15,7 +15,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estrella.llm.common import materialize, small
+from estrella.llm.common import join_keys, materialize, small
 
 SHINGLE = 3
 
@@ -113,16 +113,8 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), zero, add, lambda acc: acc["n"])
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of ``docs(doc_id, text)``
-    against ``items(item_id, text)``.
-
-    n_hit counts words inside any occurrence of a window, n_items the items that have
-    one; contaminated if n_hit > 0 and ``share`` * n_hit >= n_words. A null or empty text
-    has no words. Rows that repeat doc_id and text give one row; a doc_id with several
-    texts gives one row for each. An item with a null id hits but is not counted. Without
-    items nothing is hit; without documents there are no rows; other columns are ignored.
-    """
+def _judged(docs: DataFrame, items: DataFrame, window: int, share: int) -> DataFrame:
+    """The columns of ``contamination`` and txt, the text's hash: one row per doc_id and text."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     windows = materialize(item_windows(items.select("item_id", "text"), window), "windows")
     found = materialize(occurrences(docs, windows), "occurrences")
@@ -145,6 +137,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, share: in
     same = F.col("doc_id").eqNullSafe(F.col("d")) & F.col("txt").eqNullSafe(F.col("t"))
     return base.join(other, same, "left").select(
         "doc_id",
+        "txt",
         "n_words",
         n_hit.alias("n_hit"),
         F.size(ids).cast("bigint").alias("n_items"),
@@ -153,6 +146,31 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, share: in
     )
 
 
+def contamination(docs: DataFrame, items: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of ``docs(doc_id, text)``
+    against ``items(item_id, text)``.
+
+    n_hit counts words inside any occurrence of a window, n_items the items that have
+    one; contaminated if n_hit > 0 and ``share`` * n_hit >= n_words. A null or empty text
+    has no words. Rows that repeat doc_id and text give one row; a doc_id with several
+    texts gives one row for each. An item with a null id hits but is not counted. Without
+    items nothing is hit; without documents there are no rows; other columns are ignored.
+    """
+    return _judged(docs, items, window, share).drop("txt")
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
+    """``docs(doc_id, text, …)`` without the contaminated rows.
+
+    Decided by doc_id and text: texts that share an id, or have none, are judged one by one.
+    """
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    found = _judged(docs, items, window, share).where("contaminated").select("doc_id", "txt")
+    found = materialize(found, "contaminated")
+    keyed = docs.withColumn("txt", F.xxhash64("text"))
+    return join_keys(keyed, found, ["doc_id", "txt"], "left_anti").select(*docs.columns)
+
+
 # The same rule in DuckDB SQL: all windows of documents against all windows of items.
 SQL = """
 with d as (

@@ -60,3 +60,30 @@ def test_copies_do_not_make_their_own_lines_boilerplate(spark):
         assert len(got) == 60 and all(got[i] == t.replace("\nmenu", "").replace("menu\n", "") for i, t in enumerate(texts))
         kept = dict(rows(cp.near_duplicates(spark, cleaned, "")))
         assert [i for i, t in kept.items() if t == copied] == [0] and len(kept) == 41
+
+
+def test_rows_without_an_id_or_with_one_id_are_judged_by_their_text(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    words = lambda tag, n=40: " ".join(f"{tag}{i}" for i in range(n))
+    exam = words("exam", 20)
+    spark.createDataFrame([(1, exam)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    hot, pair, own = words("hot"), words("pair"), words("own")
+    # near copies and exact ones without an id; one id with two texts; a repeated row; no words
+    given = [(None, hot)] * 20 + [(None, hot + " end"), (None, pair), (4, pair), (7, pair), (7, own), (8, own + " x")]
+    given += [(9, words("twice"))] * 3 + [(10, " "), (11, " "), (None, None)]
+    frame = lambda pairs: spark.createDataFrame(
+        [(d, t, "en", f"s{i % 3}", 1) for i, (d, t) in enumerate(pairs)], schema
+    )
+    got = cp.near_duplicates(spark, frame(given), "").collect()
+    kept = [(r["doc_id"], r["text"]) for r in got]
+    of_hot = [p for p in kept if p[1] in (hot, hot + " end")]
+    assert len(of_hot) == 1 and of_hot[0][0] is None
+    rest = [p for p in kept if p not in of_hot]
+    want = [(None, None), (4, pair), (7, own), (9, words("twice")), (10, " "), (11, " ")]
+    assert sorted(rest, key=str) == sorted(want, key=str)
+
+    given = [(None, exam), (None, exam), (None, own), (5, exam + " z"), (5, own), (6, pair), (6, pair), (None, None)]
+    got = cp.decontamination(spark, frame(given), str(tmp_path))
+    kept = [(r["doc_id"], r["text"]) for r in got.collect()]
+    want = [(None, own), (5, own), (6, pair), (6, pair), (None, None)]
+    assert sorted(kept, key=str) == sorted(want, key=str)
