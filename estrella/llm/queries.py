@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, with their DuckDB SQL where SQL can say it."""
+"""Registered queries of the operators, with their DuckDB SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estrella.llm import (
+    clusters,
     decontaminate,
     embeddings,
+    fingerprints,
+    infill,
     langid,
     line_dedup,
     packing,
@@ -84,6 +87,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut at two code points and rearranged, with digests of output and rebuilt text."""
+    return infill.digests(infill.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All usable embeddings in 16 clusters after 3 rounds."""
+    return clusters.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, with their likeness."""
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -97,6 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_duplicates,
         op9_token_counts,
         op10_line_dedup,
+        op11_fill_in_middle,
+        op12_clusters,
+        op13_fingerprints,
     )
 }
 
@@ -105,4 +126,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": decontaminate.SQL,
     "op8_near_duplicates": setsketch.SQL,
     "op10_line_dedup": line_dedup.SQL,
+    "op11_fill_in_middle": infill.SQL,
+    "op12_clusters": clusters.SQL,
 }
