@@ -65,15 +65,21 @@ class Fingerprint:
     def step(self) -> int:
         return step_of(self.n)
 
+    def __bytes__(self) -> bytes:
+        """The length in 8 bytes and each hash in 4, big-endian."""
+        return self.n.to_bytes(8, "big") + np.array([*self.whole, *self.start, *self.end], ">u4").tobytes()
+
     def __str__(self) -> str:
-        parts = [self.whole, self.start, self.end]
-        return f"{self.n:x}." + ".".join("".join(f"{v:08x}" for v in p) for p in parts)
+        return bytes(self).hex()
 
 
 def parse(fingerprint: str) -> Fingerprint:
     """The fingerprint that a string was made from."""
-    n, *parts = fingerprint.split(".")
-    return Fingerprint(int(n, 16), *[tuple(int(p[i : i + 8], 16) for i in range(0, len(p), 8)) for p in parts])
+    raw = bytes.fromhex(fingerprint)
+    n = int.from_bytes(raw[:8], "big")
+    values = tuple(np.frombuffer(raw, ">u4", offset=8).tolist())
+    kept, bases = n // step_of(n), len(BASES)
+    return Fingerprint(n, values[:bases], values[bases : bases + kept], values[bases + kept :])
 
 
 def step_of(n: int) -> int:
@@ -164,8 +170,9 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+# digests stay binary as long as they are written; the result has them as lowercase hex
 ROW = (
-    "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "doc_id bigint, n_chars bigint, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double, common_start bigint, common_end bigint"
 )
 # part: the task's number; text and opening: of the last row that a task could not finish
@@ -181,9 +188,9 @@ def _compared(doc_id: int | None, text: str, own: Hashed, following: str, next_:
     return (
         doc_id,
         own.n,
-        hashlib.sha256(new.encode()).hexdigest(),
-        str(own.fingerprint),
-        str(other.fingerprint),
+        hashlib.sha256(new.encode()).digest(),
+        bytes(own.fingerprint),
+        bytes(other.fingerprint),
         likeness(own.fingerprint, other.fingerprint),
         likeness(own.fingerprint, next_.fingerprint),
         start,
@@ -197,7 +204,7 @@ def _batch(rows: list[tuple], types: pa.Schema) -> pa.RecordBatch:
     )
 
 
-_TYPES = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64(), "int": pa.int32()}
+_TYPES = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64(), "int": pa.int32(), "binary": pa.binary()}
 
 
 def _types(schema: str) -> pa.Schema:
@@ -250,7 +257,9 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
         .select("doc_id", "text")
     )
     found = materialize(ordered.transform(map_batches, run, HELD), "compared")
-    return found.where("part is null").select(*_NAMES[:-3]).unionByName(_last_of_ranges(found))
+    rows = found.where("part is null").select(*_NAMES[:-3]).unionByName(_last_of_ranges(found))
+    digests = [c for c in rows.columns if c == "edited_sha256" or c.endswith("fingerprint")]
+    return rows.withColumns({c: F.lower(F.hex(c)) for c in digests})
 
 
 def _last_of_ranges(found: DataFrame) -> DataFrame:
