@@ -14,12 +14,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest side, in rows, that the operators broadcast on purpose. Sides are counted
-# on a written table first; anything larger is joined through a shuffle.
+# Largest side, in rows and in estimated bytes, that the operators broadcast on purpose. Sides
+# are counted on a written table first; anything larger is joined through a shuffle.
 BROADCAST_ROWS = 400_000
+BROADCAST_BYTES = 64 << 20
 
-BATCH_ROWS = 1024
-_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# Largest batch handed to Python, in rows and in bytes (a longer row is a batch by itself).
+# Each is set only where the session has Spark's default.
+BATCH_LIMITS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1024"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4194304b"),
+}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -79,23 +84,31 @@ def ship_code(spark: SparkSession) -> None:
 def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:
     """``df.mapInArrow(fn, schema)``, with this package on the executors.
 
-    Rows hold whole texts, so Spark's default of 10,000 rows a batch is lowered for the
-    session (a value that the user has set stays): a batch lies in memory several times,
-    in the JVM, on its way and in Python.
+    Rows hold whole texts, so Spark's defaults of 10,000 rows and 64 MB a batch are lowered
+    for the session (``BATCH_LIMITS``): a batch lies in memory several times, in the JVM, on
+    its way and in Python.
     """
     spark = df.sparkSession
     ship_code(spark)
-    if spark.conf.get(_BATCH_CONF) == "10000":
-        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+    for name, (default, ours) in BATCH_LIMITS.items():
+        if spark.conf.get(name) == default:
+            spark.conf.set(name, ours)
     return df.mapInArrow(fn, schema)
 
 
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``most`` rows, else as it is.
+def scan_bytes(df: DataFrame) -> int:
+    """Spark's estimate of the bytes of ``df``: for a written table that of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the written table ``df`` has at most BROADCAST_ROWS rows and BROADCAST_BYTES."""
+    return scan_bytes(df) <= BROADCAST_BYTES and df.count() <= BROADCAST_ROWS
 
-    ``df`` should be a written table, as it is counted here.
-    """
-    return F.broadcast(df) if df.count() <= most else df
+
+def small(df: DataFrame) -> DataFrame:
+    """The written table ``df`` with a broadcast hint if that is small enough, else as it is."""
+    return F.broadcast(df) if fits_broadcast(df) else df
 
 
 def text_key(text: str = "text") -> list[Column]:
@@ -103,24 +116,41 @@ def text_key(text: str = "text") -> list[Column]:
     return [F.xxhash64(text).alias("_ta"), F.xxhash64(F.lit(1), F.col(text)).alias("_tb")]
 
 
+def packed(df: DataFrame, *keys: Column) -> DataFrame:
+    """All columns of ``df`` as one struct ``row``, and ``keys`` beside it: names that a
+    caller's frame happens to have cannot meet those of an operator. ``row.*`` unpacks."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *keys)
+
+
 def join_keys(df: DataFrame, keys: DataFrame, names: list[str], how: str) -> DataFrame:
-    """``df`` semi- or anti-joined with the written table ``keys`` on ``names``; a null meets a null."""
+    """``df`` semi- or anti-joined with the written table ``keys`` on ``names``; a null meets a null.
+
+    ``df`` has columns of the operator only (see ``packed``).
+    """
     other = small(keys.select(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(names)]))
     same = [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(names)]
     return df.join(other, same, how)
 
 
+def _order(df: DataFrame) -> Column:
+    """What rows of ``packed`` are ordered by: their values, types without an order as JSON."""
+    fields = df.schema["row"].dataType.fields
+    value = lambda f: F.col("row").getField(f.name)
+    plain = [f for f in fields if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    parts = [value(f) if f in plain else F.to_json(F.struct(value(f).alias("v"))) for f in fields]
+    return F.struct(*[p.alias(f"c{i}") for i, p in enumerate(parts)])
+
+
 def one_of_each(df: DataFrame, names: list[str], repeated: DataFrame) -> DataFrame:
-    """``df`` with one row (the smallest) of each key in ``repeated``, a written table of the
-    keys that several rows have. Only those rows are moved, one of each key and task."""
-    rest = [c for c in df.columns if c not in names]
+    """``df(row, *names)`` with one row (the smallest) of each key in ``repeated``, a written
+    table of the keys that several rows have. Only those rows are moved, one of each key and task."""
     folded = (
         join_keys(df, repeated, names, "left_semi")
         .groupBy(*names)
-        .agg(F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_row"))
-        .select(*names, *[F.col("_row").getField(c).alias(c) for c in rest])
+        .agg(F.min_by("row", _order(df)).alias("row"))
+        .select("row", *names)
     )
-    return join_keys(df, repeated, names, "left_anti").unionByName(folded.select(*df.columns))
+    return join_keys(df, repeated, names, "left_anti").select("row", *names).unionByName(folded)
 
 
 def connected_components(edges: DataFrame, name: str = "links") -> DataFrame:

@@ -15,7 +15,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estrella.llm.common import join_keys, materialize, small
+from estrella.llm.common import fits_broadcast, join_keys, materialize, packed, small
 
 SHINGLE = 3
 
@@ -76,19 +76,19 @@ def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
         .join(spots.groupBy("wid").agg(F.count("*").alias("all")), "wid")
         .where(F.col("found") == F.col("all"))
     )
-    prefixes = small(
-        materialize(
-            rarest.select("wid", "m.off", F.col("m.tok").alias("tok")).join(windows.select("wid", "win", "len"), "wid"),
-            "prefixes",
-        )
+    prefixes = materialize(
+        rarest.select("wid", "m.off", F.col("m.tok").alias("tok")).join(windows.select("wid", "win", "len"), "wid"),
+        "prefixes",
     )
+    if not fits_broadcast(prefixes):
+        return _far_occurrences(docs, _document_tokens(docs, widths), prefixes)
     start = F.col("pos") - F.col("off")
     fits = (start >= 0) & (start + F.col("len") <= F.col("n_words"))
     same = F.when(fits, F.slice("w", F.greatest(start, F.lit(0)) + 1, F.col("len")) == F.col("win")).otherwise(False)
     hit = F.coalesce(same, F.lit(False))
     return (
         _document_tokens(docs, widths)
-        .join(prefixes, "tok", "left")
+        .join(F.broadcast(prefixes), "tok", "left")
         .withColumn("hit", hit)
         .where(F.col("hit") | F.col("pos").isNull() | (F.col("pos") == 0))
         .select(
@@ -102,6 +102,35 @@ def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
     )
 
 
+def _far_occurrences(docs: DataFrame, tokens: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """``occurrences`` where the prefixes are too many to broadcast.
+
+    Only positions and tokens meet the prefixes; what fits is gathered for each document,
+    goes to its words once, and is compared there. Matches of a prefix that is the rarest
+    shingle of its window are few, so a document's list is short beside its words.
+    """
+    start = F.col("pos") - F.col("off")
+    met = (
+        tokens.where("pos is not null")
+        .select("doc_id", "txt", "n_words", "pos", "tok")
+        .join(prefixes, "tok")
+        .where((start >= 0) & (start + F.col("len") <= F.col("n_words")))
+        .groupBy("doc_id", "txt")
+        .agg(F.collect_set(F.struct(start.alias("start"), "len", "wid", "win")).alias("met"))
+        .select(F.col("doc_id").alias("d"), F.col("txt").alias("t"), "met")
+    )
+    texts = docs.select("doc_id", F.xxhash64("text").alias("txt"), words(F.col("text")).alias("w"))
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & F.col("txt").eqNullSafe(F.col("t"))
+    true = F.filter("met", lambda m: F.slice(F.col("w"), m["start"] + 1, m["len"]) == m["win"])
+    none = F.array(F.lit(None).cast("struct<start:int,len:int,wid:bigint>"))
+    spans = F.transform(true, lambda m: F.struct(m["start"].alias("start"), m["len"].alias("len"), m["wid"].alias("wid")))
+    return (
+        texts.join(met, same, "left")
+        .select("doc_id", "txt", F.size("w").alias("n_words"), F.explode(F.concat(none, F.coalesce(spans, none))).alias("m"))
+        .select("doc_id", "txt", "n_words", "m.start", "m.len", "m.wid")
+    )
+
+
 def _covered(spans: Column) -> Column:
     """Number of positions that sorted (start, len) spans cover."""
     zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
@@ -152,11 +181,16 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, share: in
 
     n_hit counts words inside any occurrence of a window, n_items the items that have
     one; contaminated if n_hit > 0 and ``share`` * n_hit >= n_words. A null or empty text
-    has no words. Rows that repeat doc_id and text give one row; a doc_id with several
-    texts gives one row for each. An item with a null id hits but is not counted. Without
+    has no words. Every row of ``docs`` gives one row: rows that repeat doc_id and text give
+    equal ones, and the texts of one doc_id are judged one by one. An item with a null id hits but is not counted. Without
     items nothing is hit; without documents there are no rows; other columns are ignored.
     """
-    return _judged(docs, items, window, share).drop("txt")
+    key = [F.col("doc_id").cast("bigint").alias("d"), F.xxhash64("text").alias("t")]
+    repeated = materialize(docs.select(*key).groupBy("d", "t").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & F.col("txt").eqNullSafe(F.col("t"))
+    times = F.sequence(F.lit(1), F.coalesce("n", F.lit(1)).cast("int"))
+    judged = _judged(docs, items, window, share)
+    return judged.join(small(repeated), same, "left").withColumn("d", F.explode(times)).drop("txt", "d", "t", "n")
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
@@ -167,8 +201,8 @@ def without_contaminated(docs: DataFrame, items: DataFrame, window: int = 13, sh
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("bigint"))
     found = _judged(docs, items, window, share).where("contaminated").select("doc_id", "txt")
     found = materialize(found, "contaminated")
-    keyed = docs.withColumn("txt", F.xxhash64("text"))
-    return join_keys(keyed, found, ["doc_id", "txt"], "left_anti").select(*docs.columns)
+    keyed = packed(docs, F.col("doc_id"), F.xxhash64("text").alias("txt"))
+    return join_keys(keyed, found, ["doc_id", "txt"], "left_anti").select("row.*")
 
 
 # The same rule in DuckDB SQL: all windows of documents against all windows of items.

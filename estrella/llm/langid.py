@@ -8,8 +8,8 @@ context every byte costs 8 bits. The statistics stay frozen while a text is scor
 its code length is a sum over its bytes and all languages are scored at once from tables.
 The shortest code wins.
 
-The trees are learned from a bounded sample: about ``docs_per_language`` whole documents
-of each language, chosen by a hash of doc_id.
+The trees are learned from a bounded sample: about ``docs_per_language`` whole documents and
+at most about ``bytes_per_language`` of each language, chosen row by row.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from estrella.llm.common import map_batches
 
 ORDER = 3
 DOCS_PER_LANGUAGE = 3000
+BYTES_PER_LANGUAGE = 64 << 20
 UNDETERMINED = "und"
 SLICE = 1 << 18  # bytes scored at a time
 SLACK_BITS = 64.0
@@ -212,20 +213,38 @@ def has_letter(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def sample_rows(
+    labelled: DataFrame,
+    docs_per_language: int = DOCS_PER_LANGUAGE,
+    bytes_per_language: int = BYTES_PER_LANGUAGE,
+    seed: int = 5,
+) -> tuple[list[str], DataFrame]:
+    """(languages, text and lang of the rows learned from).
+
+    Every row is drawn by itself: its number goes into the draw with its id and text, so rows
+    that repeat an id or a text, or have none, are thinned like all others.
+    """
+    rows = labelled.select("doc_id", "text", "lang").where("text is not null and lang is not null")
+    amount = [F.count("*").alias("n"), F.sum(F.octet_length("text").cast("bigint")).alias("bytes")]
+    sizes = {r["lang"]: (r["n"], r["bytes"]) for r in rows.groupBy("lang").agg(*amount).collect()}
+    languages = sorted(sizes)
+    shares = {k: min(docs_per_language / n, bytes_per_language / max(1, size)) for k, (n, size) in sizes.items()}
+    share = F.create_map(*[F.lit(x) for k in languages for x in (k, shares[k])]) if languages else None
+    numbered = rows.withColumn("nth", F.monotonically_increasing_id())
+    draw = F.pmod(F.xxhash64("doc_id", "text", "nth", F.lit(seed)), F.lit(1_000_000)) / 1e6
+    chosen = F.lit(False) if share is None else draw < F.element_at(share, F.col("lang"))
+    return languages, numbered.where(chosen).select("text", "lang")
+
+
 def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, seed: int = 5) -> Model:
     """Learn from ``labelled(doc_id, text, lang)``; rows with a null text or lang teach nothing.
 
     The driver receives the counts of distinct 4-byte grams of the sample, which the
-    sample's size bounds; the sample is of whole texts.
+    sample's size in bytes bounds; the sample is of whole texts.
     """
-    rows = labelled.select("doc_id", "text", "lang").where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    languages = sorted(sizes)
+    languages, sample = sample_rows(labelled, docs_per_language, seed=seed)
     if not languages:
         return build([], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-    share = F.create_map(*[F.lit(x) for k in languages for x in (k, docs_per_language / sizes[k])])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000)) / 1e6
-    sample = rows.where(draw < F.element_at(share, F.col("lang")))
     number = {k: i for i, k in enumerate(languages)}
 
     def count(batches):
@@ -243,7 +262,7 @@ def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, seed: i
                 seen, n = np.unique(key[inside], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n.astype(np.int64))], ["k", "n"])
 
-    table = sample.select("text", "lang").transform(map_batches, count, "k bigint, n bigint")
+    table = sample.transform(map_batches, count, "k bigint, n bigint")
     table = table.groupBy("k").agg(F.sum("n").alias("n")).orderBy("k").toArrow()
     k = table["k"].to_numpy()
     return build(languages, k >> 32, k & 0xFFFFFFFF, table["n"].to_numpy().astype(np.float64))
@@ -303,9 +322,11 @@ def keep_languages(docs: DataFrame, model: Model) -> DataFrame:
     Rejected are undetermined texts, and texts that the best language codes in more bits
     than their plain bytes take (8 a byte and ``SLACK_BITS``): no learned language fits.
     """
-    found = predict(docs, model)
+    inner = {c: "text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)}
+    found = predict(docs.select(*[F.col(f"`{c}`").alias(k) for c, k in inner.items()]), model)
     fits = F.col("code_bits") <= 8 * F.octet_length("text") + SLACK_BITS
-    return found.where((F.col("lang_pred") != UNDETERMINED) & fits).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = found.where((F.col("lang_pred") != UNDETERMINED) & fits)
+    return kept.select(*[F.col(k).alias(c) for c, k in inner.items()])
 
 
 def held_out(doc_id: str = "doc_id", parts: int = 5, part: int = 0):

@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estrella.llm.common import materialize, one_of_each, small, text_key
+from estrella.llm.common import materialize, one_of_each, packed, small, text_key
 
 RATIO = 0.05
-MIN_PAGES = 5
+MIN_PAGES = 5  # of a line on fewer pages
+SMALL_RATIO = 0.5  # the host's pages are asked for in this share, and two of them at least
 
 
 def _lines(text: Column) -> Column:
@@ -29,10 +30,15 @@ def _key(line: Column) -> Column:
 
 def _distinct_pages(pages: DataFrame) -> DataFrame:
     """``pages(_host, _text)`` with each text once per host; only repeated texts are moved."""
-    keyed = pages.select("_host", *text_key("_text"), "_text")
+    keyed = packed(pages, F.col("_host"), *text_key("_text"))
     names = ["_host", "_ta", "_tb"]
     repeated = keyed.groupBy(*names).agg(F.count("*").alias("n")).where("n > 1").select(*names)
-    return one_of_each(keyed, names, materialize(repeated, "copied")).select("_host", "_text")
+    return one_of_each(keyed, names, materialize(repeated, "copied")).select("row.*")
+
+
+def _asked(ratio: float, min_pages: int) -> Column:
+    """Share of the host's pages that a line on ``pages`` of them must exceed."""
+    return F.when(F.col("pages") >= min_pages, F.lit(ratio)).otherwise(F.lit(max(ratio, SMALL_RATIO)))
 
 
 def boilerplate_lines(
@@ -50,12 +56,12 @@ def boilerplate_lines(
         .select("_host", _key(F.col("line")).alias("key"))
         .groupBy("_host", "key")
         .agg(F.count("*").alias("pages"))
-        .where(F.col("pages") >= min_pages)
+        .where("pages > 1")
     )
     totals = totals.withColumnRenamed("_host", "_site")
     return counted.join(
         small(materialize(totals, "hosts")), F.col("_host").eqNullSafe(F.col("_site"))
-    ).where(F.col("pages") > F.lit(ratio) * F.col("host_pages")).drop("_site")
+    ).where(F.col("pages") > _asked(ratio, min_pages) * F.col("host_pages")).drop("_site")
 
 
 def drop_boilerplate(
@@ -67,9 +73,10 @@ def drop_boilerplate(
 ) -> DataFrame:
     """``docs`` with the lines of ``text`` that are boilerplate on their host left out.
 
-    A line (compared without outer spaces) is boilerplate if at least ``min_pages`` pages
-    of its host hold it and these are more than ``ratio`` of the host's pages. Blank lines
-    stay. Adds n_lines and n_dropped (a text of null stays null and has 0 of each); input
+    A line (compared without outer spaces) is boilerplate if the pages of its host that hold
+    it are more than ``ratio`` of the host's pages; a line on fewer than ``min_pages`` pages
+    must be on more than half of them (SMALL_RATIO), and on two at least, so that small
+    hosts lose their menus and keep their lines. Blank lines stay. Adds n_lines and n_dropped (a text of null stays null and has 0 of each); input
     columns of those names are replaced. A null host is a host of its own; repeated rows
     count as pages; all other columns and all rows are kept; no rows give no rows.
 
@@ -112,7 +119,7 @@ bad as (
   select c.source, c.line from (
     select source, trim(line) line, count(distinct doc_id) pages from l where trim(line) <> '' group by 1, 2) c
   join hosts h on h.source is not distinct from c.source
-  where pages >= {MIN_PAGES} and pages > {RATIO} * host_pages),
+  where pages > 1 and pages > case when pages >= {MIN_PAGES} then {RATIO} else {SMALL_RATIO} end * host_pages),
 marked as (
   select l.*, b.line is not null drop from l
   left join bad b on b.source is not distinct from l.source and b.line = trim(l.line)),

@@ -26,6 +26,7 @@ DIM = 8
 EPOCHS = 12
 RATE = 0.5
 SAMPLE_DOCS = 6000  # labelled documents learned from, at most about so many
+SAMPLE_BYTES = 64 << 20  # and bytes of their texts
 THRESHOLD = 0.7
 
 _SPACE = np.ones(256, np.uint8)
@@ -109,18 +110,41 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: i
     return Model((vectors @ gap).astype(np.float32), float(bias[1] - bias[0]))
 
 
+def sample_rows(
+    docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES, seed: int = 9
+) -> DataFrame:
+    """text and _label of the rows learned from: about ``sample_docs`` and ``sample_bytes`` at most.
+
+    First labelled ids are drawn, each once for each of its labels; then, if these have more
+    rows than that (repeated ids), the rows themselves, with their number in the draw.
+    """
+    known = (
+        labels.where("quality in (0, 1) and doc_id is not null")
+        .select("doc_id", F.col("quality").cast("int").alias("_label"))
+        .distinct()
+    )
+    known = materialize(known, "labels")
+    share = sample_docs / max(1, known.count())
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000)) / 1e6
+    chosen = F.broadcast(known.where(draw < share))  # about sample_docs rows of two numbers
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
+    n, held = rows.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    share = min(sample_docs / max(1, n), sample_bytes / max(1, held))
+    if share < 1:
+        again = F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id(), F.lit(seed + 1)), F.lit(1_000_000))
+        rows = rows.withColumn("draw", again / 1e6).where(F.col("draw") < share)
+    return rows.select("text", "_label")
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 9) -> Model:
     """Learn from ``docs(doc_id, text)`` and ``labels(doc_id, quality)`` (0 or 1; other and
-    null labels teach nothing; a document with several labels counts with each).
+    null labels teach nothing; a document with two labels counts with each).
 
-    The sample is of about ``sample_docs`` labelled documents by a hash of doc_id, of whole
-    texts; their bags of buckets meet in one task, and the driver gets the trained table.
+    The sample (``sample_rows``) is of whole texts; their bags of buckets meet in one task,
+    and the driver gets the trained table.
     """
-    known = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", F.col("quality").alias("_label"))
-    n = known.count()
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000)) / 1e6
-    chosen = materialize(known.where(draw < sample_docs / max(1, n)), "labels")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # about sample_docs rows
+    rows = sample_rows(docs, labels, sample_docs, seed=seed)
 
     def bags(batches):
         for batch in batches:
@@ -158,7 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, seed
         )
 
     bagged = materialize(
-        rows.select("text", "_label").transform(map_batches, bags, "label int, buckets binary, counts binary"), "bags"
+        rows.transform(map_batches, bags, "label int, buckets binary, counts binary"), "bags"
     )
     made = bagged.repartition(1).transform(map_batches, learn, "weight binary, bias double").collect()
     if not made:

@@ -57,7 +57,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt from 32 shards by source to 40 even shards."""
-    row = F.concat_ws(":", "_metadata.file_name", "_metadata.row_index")
+    row = F.concat_ws(":", "_metadata.file_path", "_metadata.row_index")
     return sharding.reshard(table(spark, sf_dir, "documents"), sharding.source_shard(32), row, shards=40)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from estrella.llm import tokens
 from estrella.llm.common import fresh_path, map_batches, materialize, small
 
-STRIPE_BYTES = 64 << 20
+STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 2000
 FILE_SCHEMA = "doc_id bigint, first bigint, n_tokens bigint, ids array<int>"
 
@@ -32,18 +32,17 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            parts, sizes = [], []
-            tail = np.array([end_id], np.uint32)
-            for ids, n in enc.texts(batch.column(1)):
+            parts, at, tail = [], np.zeros(batch.num_rows + 1, np.int64), np.array([end_id], np.int32)
+            for i, (ids, n) in enumerate(enc.texts(batch.column(1))):
                 parts += [ids, tail]
-                sizes.append(n + 1)
-            at = np.concatenate([[0], np.cumsum(sizes)])
-            flat = pa.array(np.concatenate(parts).astype(np.int32))
+                at[i + 1] = at[i] + n + 1
+            flat = pa.array(np.concatenate(parts, dtype=np.int32, casting="unsafe"))
+            del parts
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(at[:-1] + first),
-                    pa.array(np.asarray(sizes, np.int64)),
+                    pa.array(np.diff(at)),
                     pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), flat),
                 ],
                 ["doc_id", "first", "n_tokens", "ids"],
@@ -94,6 +93,7 @@ def token_digest(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every row, from the files alone."""
 
     def run(batches):
+        tokens.release()  # the worker may have written such files before
         for batch in batches:
             lists = batch.column(3)
             at = lists.offsets.to_numpy().astype(np.int64)

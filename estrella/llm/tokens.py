@@ -209,6 +209,11 @@ def encoder(definition: str) -> Encoder:
     return _encoders[key]
 
 
+def release() -> None:
+    """Let go of a reused Python worker's encoder, for tasks that need none."""
+    _encoders.clear()
+
+
 def read_definition(path: str) -> str:
     """A tokenizer's JSON, read on the driver and sent to the tasks."""
     with open(path, encoding="utf-8") as f:

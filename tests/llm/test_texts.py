@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from estrella.llm import decontaminate, langid, line_dedup, quality, queries, sharding
+from estrella.llm import common, decontaminate, langid, line_dedup, quality, queries, sharding
 from tests.oracle_compare import compare, duck_conn
 
 
@@ -44,7 +44,7 @@ def run_contamination(spark, docs, items):
     return sorted(map(tuple, decontaminate.contamination(d, b).collect()), key=str)
 
 
-def test_decontamination(spark):
+def test_decontamination(spark, monkeypatch):
     rng = random.Random(5)
     vocabulary = ["The", "of", "é", "É", "x1", "rare", "a", "b", "ñ中", "Q"]
     items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([1, 2, 3, 12, 13, 14, 30])))) for i in range(25)]
@@ -58,7 +58,12 @@ def test_decontamination(spark):
         docs.append((i, rng.choice([" ", ", ", "\n"]).join(w)))
     docs += [(100, None), (101, ""), (102, "..."), (103, "null item id words"), (104, "long " * 50_000 + "zebra"), (0, docs[0][1]), (None, "zebra")]
     got = run_contamination(spark, docs, items)
-    assert got == sorted(contaminated(docs, items), key=str)
+    alone = {(d, t): next(iter(contaminated([(d, t)], items))) for d, t in docs}
+    assert got == sorted((alone[r] for r in docs), key=str)
+    assert set(got) == contaminated(docs, items)
+    # the other way round the prefixes: no broadcast
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    assert run_contamination(spark, docs, items) == got
     assert run_contamination(spark, [], items) == []
     assert {r[2:4] for r in run_contamination(spark, docs, [])} == {(0, 0)}
 
@@ -80,7 +85,8 @@ def lines_by_hand(rows, ratio, min_pages):
         hosts[host] += 1
         if text is not None:
             pages.update({(host, x.strip(" ")) for x in text.split("\n") if x.strip(" ")})
-    bad = {k for k, n in pages.items() if n >= min_pages and n > ratio * hosts[k[0]]}
+    asked = lambda n: ratio if n >= min_pages else max(ratio, 0.5)
+    bad = {k for k, n in pages.items() if n > 1 and n > asked(n) * hosts[k[0]]}
     out = []
     for doc, text, host in rows:
         lines = text.split("\n") if text is not None else []
@@ -104,6 +110,14 @@ def test_line_dedup(spark):
     assert line_dedup.drop_boilerplate(docs.limit(0)).collect() == []
 
 
+def test_small_hosts_lose_their_menus_alone(spark):
+    pages = {"one": ["a\nb"], "two": ["menu\nx", "menu\ny"], "four": [f"menu\np {i}\nhalf {i // 2}" for i in range(4)]}
+    rows = [(i, t, h) for i, (h, t) in enumerate((h, t) for h, texts in pages.items() for t in texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.drop_boilerplate(docs).collect()}
+    assert got == {i: t.replace("menu\n", "") for i, t, _ in rows}
+
+
 def slow_bits(text, grams):
     """Code length of a text under one language's counts, straight from the definition."""
     total = 0.0
