@@ -12,17 +12,17 @@ AGE_WORDS = {"CUARENTA Y DOS": 42}
 
 
 def safe_date(c: Column | str) -> Column:
-    """``try_cast(x as date)``; outer blanks and timestamp text are accepted."""
+    """A date where the text is one, else null; outer blanks and timestamp text are accepted."""
     return col_(c).try_cast("date")
 
 
 def safe_date_from_text(c: Column | str) -> Column:
-    """``try_cast(nullif(nullif(trim(cast(x as string)), 'NULL'), '') as date)``."""
+    """A date from trimmed text; the null token, empty text and bad dates are null."""
     return null_tokens(c).try_cast("date")
 
 
 def safe_int_with_words(c: Column | str) -> Column:
-    """``case when trim(x) = '<words>' then n else try_cast(trim(x) as int) end``."""
+    """An integer from trimmed text, by ``AGE_WORDS`` where it is written in words; null if it is neither."""
     text = F.trim(col_(c).cast("string"))
     expr = None
     for words, value in AGE_WORDS.items():
@@ -32,7 +32,7 @@ def safe_int_with_words(c: Column | str) -> Column:
 
 
 def safe_decimal(c: Column | str, precision: int = 10, scale: int = 2) -> Column:
-    """``try_cast(x as decimal(p, s))``: half-up rounding, overflow and bad text -> null."""
+    """A decimal of the given size: rounded half up; overflow and bad text are null."""
     return col_(c).try_cast(f"decimal({precision},{scale})")
 
 

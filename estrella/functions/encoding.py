@@ -17,7 +17,7 @@ def damage_utf8_as_latin1(c: Column | str) -> Column:
 
 
 def repair_mojibake(c: Column | str) -> Column:
-    """``decode(encode(x, 'ISO-8859-1'), 'UTF-8')`` made total.
+    """The text that its Latin-1 bytes spell in UTF-8, where they spell one.
 
     Spark raises when the value has characters outside ISO-8859-1 or when its
     Latin-1 bytes are not valid UTF-8 (already-clean accented text). The guard

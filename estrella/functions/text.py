@@ -60,7 +60,7 @@ def null_token(c: Column | str) -> Column:
 
 
 def zero_to_null(c: Column | str) -> Column:
-    """``case when trim(upper(x)) = '0' then null else trim(upper(x)) end``."""
+    """Upper-cased, trimmed text, where a lone zero counts as missing."""
     return F.nullif(upper_trimmed(c), F.lit(ZERO_TOKEN))
 
 

@@ -6,6 +6,7 @@ from estrella.operators.joins import (
     attach,
     bounded_broadcast,
     coverage,
+    left_join_spread,
     no_key_coverage,
     orphan_count,
     orphans,
@@ -39,6 +40,6 @@ __all__ = [
     "check_relationship", "check_unique", "check_unique_combination", "count_where", "coverage",
     "date_dim", "date_spine", "date_spine_covering", "distinct_count_above",
     "distinct_value_conflicts", "drop_blank_rows", "exclude_values", "find_duplicates",
-    "max_where", "no_key_coverage", "non_blank_row", "orphan_count", "orphans", "quality_report",
+    "left_join_spread", "max_where", "no_key_coverage", "non_blank_row", "orphan_count", "orphans", "quality_report",
     "reconcile", "require_present", "sum_where", "survivor_max", "with_date_attributes",
 ]

@@ -9,6 +9,7 @@ sides whose row count is known in advance from parameters (a calendar range).
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -47,6 +48,30 @@ def attach(
     return joined
 
 
+def left_join_spread(left: DataFrame, right: DataFrame, on: str | list[str], spread_by: list[str]) -> DataFrame:
+    """Left join on ``on`` where the key is missing on many left rows.
+
+    A row with a missing key part cannot match, but as a row of the join it would meet all
+    others of its kind in one partition. It gets a stand-in, a hash of its ``spread_by``
+    columns, as a second key; rows with a key, and all right rows, have 0 there. So the rows
+    without a key are dealt evenly, and one pass over ``left`` serves both kinds.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    missing = functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    a = left.withColumn("__stand_in", F.when(missing, F.xxhash64(*spread_by)).otherwise(F.lit(0)).cast("bigint"))
+    # zero for every row, but not a constant: the optimizer must not take it out of the join's keys
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("bigint")
+    b = right.select(
+        *[F.col(k).alias(f"__on_{i}") for i, k in enumerate(keys)],
+        zero.alias("__zero"),
+        *[c for c in right.columns if c not in keys],
+    )
+    same = F.col("__stand_in") == F.col("__zero")
+    for i, k in enumerate(keys):
+        same &= a[k] == b[f"__on_{i}"]
+    return a.join(b, same, "left").drop("__stand_in", "__zero", *[f"__on_{i}" for i in range(len(keys))])
+
+
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str | None = None) -> DataFrame:
     """Child rows whose key has no parent (nulls never match)."""
     parent_key = parent_key or child_key

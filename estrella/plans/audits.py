@@ -33,11 +33,11 @@ from estrella.plans import marts as M
 from estrella.plans import warehouse as W
 from estrella.plans.basics import SQL_NULLABLE_ORDERS, _nullable_orders
 from estrella.plans.registry import register
+from estrella.plans.roles import sql_listed_times
 from estrella.plans.staging import (
     ROLE_MAIN,
     SQL_CO_OWNER_REPORT,
     SQL_MAIN_REPORT,
-    SQL_RAW_DASHBOARD,
     SQL_STAGE_DASHBOARD,
     SQL_STAGED_SALE_ROWS,
     SQL_STAGING_INVOICES,
@@ -45,9 +45,10 @@ from estrella.plans.staging import (
     SQL_STAGING_PAYMENTS,
     SQL_STAGING_SCHEDULE,
     main_report,
-    raw_dashboard,
     raw_payments,
+    raw_sales,
     stage_payments,
+    stage_sales,
     staged_dashboard,
     staged_overdue,
     staged_sale_rows,
@@ -337,12 +338,15 @@ def duplicate_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "repeated_sales",
-    f"""SELECT id_venta, count(*) AS total FROM ({SQL_RAW_DASHBOARD})
+    f"""SELECT id_venta, count(*) AS total
+        FROM ({W.SQL_SALES_LIST}) CROSS JOIN (VALUES (1), (2), (3)) AS times(n)
+        WHERE {sql_listed_times("id_venta")}
         GROUP BY id_venta HAVING count(*) > 1""",
 )
 def repeated_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sale ids repeated in the legacy report."""
-    return find_duplicates(raw_dashboard(Tables(spark, sf_dir)), ["id_venta"], "total")
+    """Sale ids that a delivery of the staged sale list repeats."""
+    delivered = stage_sales(raw_sales(Tables(spark, sf_dir), repeated=True))
+    return find_duplicates(delivered, ["id_venta"], "total")
 
 
 @register(
@@ -355,9 +359,10 @@ def repeated_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orphan_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments whose sale is not in the sale list (one row)."""
     t = Tables(spark, sf_dir)
-    # the sale's columns are not needed: payments without the lookups, keys of the sale list
+    # the sale's columns are not needed: payments without the lookups, and the ids of the sale
+    # list, which its lookups neither add nor remove
     payments = stage_payments(raw_payments(t, enrich=False))
-    return orphan_count(payments, W.sales_list(t), "id_venta", "id_venta", "ingresos_sin_venta")
+    return orphan_count(payments, W.sale_keys(t), "id_venta", "id_venta", "ingresos_sin_venta")
 
 
 # Labels of the relation-coverage report (relation names and audit types).
@@ -373,7 +378,7 @@ def relation_coverage(t: Tables) -> DataFrame:
     # only ids and their multiplicity are compared: a sale occurs in the fact once for each
     # dashboard row of its id, and its hashed key stands for its id
     dashboard = require_present(staged_dashboard(t), "id_venta").select("id_venta")
-    ids = W.sales_list(t).select("id_venta")
+    ids = W.sale_keys(t).select("id_venta")
     sales = ids.join(dashboard, "id_venta", "left")
     null_token = lambda df: df.select(F.coalesce(F.col("id_venta").cast("string"), F.lit("")).alias("id"))
     branches = [

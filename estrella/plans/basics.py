@@ -24,6 +24,7 @@ from estrella.functions import (
 )
 from estrella.operators import drop_blank_rows, exclude_values, require_present
 from estrella.plans.registry import register
+from estrella.functions.labels import PLAN_RULES
 from estrella.plans.roles import dirty_date, maybe_null, plan_label, sql_dirty_date, sql_plan_label
 from estrella.sources.tables import Tables
 
@@ -263,18 +264,10 @@ def safe_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_PLAN_SQL_CHAIN = """CASE
-    WHEN trim(upper(plan_raw)) LIKE '%CONTADO%' THEN 'CONTADO'
-    WHEN trim(upper(plan_raw)) LIKE '48 MEESES%' THEN '48 MESES'
-    WHEN trim(upper(plan_raw)) LIKE '48 MESES.%' THEN '48 MESES'
-    WHEN trim(upper(plan_raw)) LIKE '24 MESES.%' THEN '24 MESES'
-    WHEN trim(upper(plan_raw)) LIKE '60 MESES.%' THEN '60 MESES'
-    WHEN trim(upper(plan_raw)) LIKE '12 MESES.%' THEN '12 MESES'
-    ELSE trim(plan_raw) END"""
-
-
 def sql_plan_chain(col: str) -> str:
-    return _PLAN_SQL_CHAIN.replace("plan_raw", col)
+    """SQL twin of ``normalize_plan``, from the same rules."""
+    rules = " ".join(f"WHEN upper(trim({col})) LIKE '{pattern}' THEN '{label}'" for pattern, label in PLAN_RULES)
+    return f"CASE {rules} ELSE trim({col}) END"
 
 
 @register(

@@ -93,6 +93,29 @@ def sql_paid_sale(k: str, line: str) -> str:
     return f"CAST(CASE WHEN ({k} * 7 + {line}) % 101 = 0 THEN {k} + {UNKNOWN_SALE} ELSE {k} END AS BIGINT)"
 
 
+# Every two-hundred-and-eleventh row of the legacy dashboard names a sale that the sale list
+# does not have, and a delivery of the sale list has some sales again.
+def reported_sale(k: Column) -> Column:
+    return F.when(k % 211 == 0, k + UNKNOWN_SALE).otherwise(k).cast("bigint")
+
+
+def sql_reported_sale(k: str) -> str:
+    return f"CAST(CASE WHEN {k} % 211 = 0 THEN {k} + {UNKNOWN_SALE} ELSE {k} END AS BIGINT)"
+
+
+def listed_times(k: Column) -> Column:
+    return F.explode(
+        F.when(k % 1000 == 7, F.array(F.lit(1), F.lit(2), F.lit(3)))
+        .when(k % 97 == 0, F.array(F.lit(1), F.lit(2)))
+        .otherwise(F.array(F.lit(1)))
+    )
+
+
+def sql_listed_times(k: str) -> str:
+    """Condition on ``n`` (1, 2 or 3) that keeps the rows of ``listed_times``."""
+    return f"(n = 1 OR (n = 2 AND ({k} % 97 = 0 OR {k} % 1000 = 7)) OR (n = 3 AND {k} % 1000 = 7))"
+
+
 def maybe_null(k: Column, x: Column) -> Column:
     return F.when(k % 7 != 0, x)
 
@@ -120,7 +143,8 @@ def sql_plan_label(k: str) -> str:
 NATION_ROWS = 25
 
 
-def customer_units(t: Tables) -> DataFrame:
+def customer_units(t: Tables, *more: str) -> DataFrame:
+    """Each customer's unit, with ``more`` columns of the customer."""
     c, n = t.customer, bounded_broadcast(t.nation, NATION_ROWS)
     return c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
         "c_custkey",
@@ -129,6 +153,7 @@ def customer_units(t: Tables) -> DataFrame:
         F.col("c_name").alias("unidad"),
         F.concat(F.lit("ETAPA "), F.col("n_regionkey").cast("string")).alias("etapa"),
         F.col("c_mktsegment").alias("modelo"),
+        *more,
     )
 
 

@@ -8,8 +8,6 @@ table.
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,11 +34,14 @@ from estrella.plans.roles import (
     customer_units,
     dirty_date,
     paid_sale,
+    listed_times,
     plan_label,
     report_variants,
+    reported_sale,
     sql_dirty_date,
     sql_paid_sale,
     sql_plan_label,
+    sql_reported_sale,
     sql_report_variants,
 )
 from estrella.sources.tables import Tables
@@ -107,7 +108,7 @@ def raw_dashboard(t: Tables) -> DataFrame:
     cents = lambda c: c.cast("decimal(18,2)")
     day = F.col("o_orderdate").cast("date")
     raw = base.select(
-        k.alias("id_venta"),
+        reported_sale(k).alias("id_venta"),
         F.concat(F.lit("equipo "), F.col("etapa")).alias("EQUIPO"),
         F.lower("desarrollo_largo").alias("DESARROLLO_LARGO"),
         F.concat(F.lit(" "), F.col("desarrollo_corto")).alias("DESARROLLO_CORTO"),
@@ -158,7 +159,7 @@ SQL_RAW_DASHBOARD = f"""
         SELECT o.*, u.* EXCLUDE (c_custkey)
         FROM orders o LEFT JOIN ({SQL_CUSTOMER_UNITS}) u ON o.o_custkey = u.c_custkey),
     r AS (
-        SELECT o_orderkey AS id_venta, 'equipo ' || etapa AS EQUIPO,
+        SELECT {sql_reported_sale("o_orderkey")} AS id_venta, 'equipo ' || etapa AS EQUIPO,
                lower(desarrollo_largo) AS DESARROLLO_LARGO,
                ' ' || desarrollo_corto AS DESARROLLO_CORTO, unidad AS UNIDAD,
                lower(modelo) AS MODELO, lower(etapa) AS ETAPA,
@@ -260,10 +261,13 @@ def stage_sales(raw: DataFrame) -> DataFrame:
     )
 
 
-def raw_sales(t: Tables) -> DataFrame:
-    """The sale list: every order, with the short development name missing on some."""
+def raw_sales(t: Tables, repeated: bool = False) -> DataFrame:
+    """The sale list: every order, with the short development name missing on some. With
+    ``repeated`` as a delivery that lists some sales again (``listed_times``)."""
     o, u = t.orders, customer_units(t)
     k = F.col("o_orderkey")
+    if repeated:
+        o = o.withColumn("__time", listed_times(k))
     day = F.col("o_orderdate").cast("date")
     return o.join(u, o.o_custkey == u.c_custkey, "left").select(
         k.alias("id_venta"),
@@ -404,10 +408,15 @@ def stage_parties(raw: DataFrame, role: str, canceled: bool) -> DataFrame:
     return raw.select("id_venta", *_sale_columns(role, canceled), *party_columns(role, canceled))
 
 
-def raw_sale_rows(t: Tables) -> DataFrame:
+def raw_sale_rows(t: Tables, customer: bool = False) -> DataFrame:
     """Sale attributes as the party reports state them: one row per order and variant
-    (``report_variants``; a second main customer's row disagrees on some attributes)."""
-    o, u = t.orders, customer_units(t)
+    (``report_variants``; a second main customer's row disagrees on some attributes).
+
+    With ``customer`` the customer's own report columns follow, computed in the rows that
+    the unit's join brings together anyway, and ``owes`` (a negative balance).
+    """
+    own = ["c_nationkey", "c_acctbal"] if customer else []
+    o, u = t.orders, customer_units(t, *own)
     k, v = F.col("o_orderkey"), F.col("v")
     day = F.col("o_orderdate").cast("date")
     price = money("o_totalprice")
@@ -445,6 +454,14 @@ def raw_sale_rows(t: Tables) -> DataFrame:
         dirty_date(k + 6, F.date_add(day, 3)).alias("FECHAAPROBACIONJD"),
         dirty_date(k + 7, F.date_add(day, 5)).alias("FECHAREGISTROCARGACONTRATO"),
         F.when(k % 7 == 0, F.lit("SI")).otherwise(F.lit("NO")).alias("ENTRODV"),
+        *(
+            raw_party_columns(
+                F.col("c_custkey"), F.col("unidad"), F.col("c_nationkey"), v, F.col("c_custkey").isNotNull()
+            )
+            + [(F.col("c_acctbal") < 0).alias("owes")]
+            if customer
+            else []
+        ),
     )
 
 
@@ -482,25 +499,30 @@ def _sql_raw_sale_rows() -> str:
          (VALUES (0), (1), (2)) AS variants(v)"""
 
 
-def raw_parties(df: DataFrame, id_col: str, name_col: str, nation_col: str) -> DataFrame:
-    """A party report's own columns from customer or supplier rows (deterministic dirt by
-    id), keyed by ``party_id`` and variant ``v``: 1 is another person, 2 has another country."""
-    k = F.col(id_col)
-    nat = F.col(nation_col).cast("string")
+# The raw names of a party's own columns.
+RAW_PARTY_COLUMNS = [
+    "NOMBRECLIENTE", "APELLIDOPATERNO", "APELLIDOMATERNO", "EDAD", "LUGARNACIMIENTO", "RFC", "CURP",
+    "CALLE", "NOEXTERIOR", "NOINTERIOR", "COLONIA", "CODIGOPOSTAL", "LOCALIDAD", "ESTADO", "PAIS",
+    "NACIONALIDAD", "OCUPACION", "EMAIL", "TELEFONOCELULAR", "TELEFONOLOCAL", "IDENTIFICACION",
+    "NOIDENTIFICACION", "SEXO", "ESTADOCIVIL", "REGIMEN",
+]
+
+
+def raw_party_columns(k, name, nation, v, known=None) -> list:
+    """A party report's own columns from a customer or supplier (deterministic dirt by id):
+    variant 1 is another person, 2 has another country. All null where ``known`` is false."""
+    nat = nation.cast("string")
     ks = k.cast("string")
-    known = k % 29 != 0  # every 29th party has no identity data at all
-    df = df.select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("v"))
-    other = F.when(F.col("v") == 1, F.lit("b")).otherwise(F.lit(""))
+    identified = k % 29 != 0  # every 29th party has no identity data at all
+    other = F.when(v == 1, F.lit("b")).otherwise(F.lit(""))
 
     def ident(c):
-        return F.when(known, c)
+        return F.when(identified, c)
 
-    return df.select(
-        k.alias("party_id"),
-        "v",
+    named = [
         ident(
-            F.when(k % 5 == 0, F.concat(F.lit(" "), F.lower(name_col), other, F.lit(" "))).otherwise(
-                F.concat(F.col(name_col), other)
+            F.when(k % 5 == 0, F.concat(F.lit(" "), F.lower(name), other, F.lit(" "))).otherwise(
+                F.concat(name, other)
             )
         ).alias("NOMBRECLIENTE"),
         ident(F.when(k % 7 != 0, F.concat(F.lit("apellido"), nat))).alias("APELLIDOPATERNO"),
@@ -525,7 +547,7 @@ def raw_parties(df: DataFrame, id_col: str, name_col: str, nation_col: str) -> D
         (k % 1000 + 10000).cast("int").alias("CODIGOPOSTAL"),
         F.when(k % 9 == 0, F.lit(" 0")).otherwise(F.concat(F.lit("loc "), nat)).alias("LOCALIDAD"),
         F.lit("cdmx").alias("ESTADO"),
-        F.when(F.col("v") == 2, F.lit("guatemala")).when(k % 2 == 0, F.lit("MEXICO"))
+        F.when(v == 2, F.lit("guatemala")).when(k % 2 == 0, F.lit("MEXICO"))
         .otherwise(F.lit("mexico "))
         .alias("PAIS"),
         F.lit("Mexicana").alias("NACIONALIDAD"),
@@ -540,7 +562,17 @@ def raw_parties(df: DataFrame, id_col: str, name_col: str, nation_col: str) -> D
         F.when(k % 2 == 0, F.lit("m")).otherwise(F.lit("f")).alias("SEXO"),
         F.lit("soltero").alias("ESTADOCIVIL"),
         F.lit("").alias("REGIMEN"),
-    )
+    ]
+    if known is None:
+        return named
+    return [F.when(known, c).alias(n) for c, n in zip(named, RAW_PARTY_COLUMNS)]
+
+
+def raw_parties(df: DataFrame, id_col: str, name_col: str, nation_col: str) -> DataFrame:
+    """The parties' own columns, keyed by ``party_id`` and variant ``v``."""
+    df = df.select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("v"))
+    columns = raw_party_columns(F.col(id_col), F.col(name_col), F.col(nation_col), F.col("v"))
+    return df.select(F.col(id_col).alias("party_id"), "v", *columns)
 
 
 def sql_raw_parties(table: str, id_col: str, name_col: str, nation_col: str) -> str:
@@ -636,15 +668,10 @@ def sql_stage_parties(raw_sql: str, role: str, canceled: bool) -> str:
     FROM ({raw_sql})"""
 
 
-def main_rows(t: Tables) -> DataFrame:
-    """Main-customer report rows: sale attributes of every order and variant."""
-    return raw_sale_rows(t)
-
-
 def staged_sale_rows(t: Tables) -> DataFrame:
     """The sale attributes of the active main-customer report. Attaching a party (a left
     join on its unique key) adds no row, so readers of sale columns leave it out."""
-    return main_rows(t).select("id_venta", *_sale_columns(ROLE_MAIN, False))
+    return raw_sale_rows(t).select("id_venta", *_sale_columns(ROLE_MAIN, False))
 
 
 def report_rows(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -659,31 +686,44 @@ def report_rows(t: Tables) -> tuple[DataFrame, DataFrame]:
     return main.select(*keys), co.select("*", F.lit(0).alias("v"))
 
 
-def co_owner_rows(t: Tables) -> DataFrame:
-    """Co-owner report rows: every supplier of an order, with the order's attributes."""
+def raw_main_report(t: Tables) -> DataFrame:
+    """The main-customer report: every order and variant with its customer."""
+    return raw_sale_rows(t, customer=True)
+
+
+def raw_co_owner_report(t: Tables) -> DataFrame:
+    """The co-owner report: every supplier of an order, with the order's attributes."""
     lines = t.lineitem.select("l_orderkey", F.col("l_suppkey").alias("supplier")).distinct()
-    sales = raw_sale_rows(t).where("v = 0")
-    return lines.join(sales, lines.l_orderkey == sales.id_venta, "left").select(
+    sales = raw_sale_rows(t).where("v = 0").drop("party_id", "v")
+    who = t.supplier.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    j = lines.join(sales, lines.l_orderkey == sales.id_venta, "left").drop("id_venta")
+    j = j.join(who, F.col("supplier") == F.col("s_suppkey"), "left")
+    own = raw_party_columns(
+        F.col("s_suppkey"), F.col("s_name"), F.col("s_nationkey"), F.lit(0), F.col("s_suppkey").isNotNull()
+    )
+    return j.select(
         F.col("l_orderkey").alias("id_venta"),
-        F.col("supplier").alias("party_id"),
-        F.lit(0).alias("v"),
-        *[c for c in sales.columns if c not in ("id_venta", "party_id", "v")],
+        *[c for c in sales.columns if c != "id_venta"],
+        *own,
+        (F.col("s_acctbal") < 0).alias("owes"),
     )
 
 
-def staged_report(rows: DataFrame, parties: DataFrame, role: str, canceled: bool) -> DataFrame:
-    """A staged party report from sale rows and the parties' own columns.
+# Sale attributes that a role's active and canceled report clean in different ways.
+_VARYING = ("fecha_contrato", "fecha_firma_contrato", "fecha_escritura", "valor_escritura")
 
-    The cleaning of a party depends on its own columns only, so each party is staged
-    once and then attached to its sales; a row without a known party keeps its sale.
-    """
-    sale = rows.select("id_venta", "party_id", "v", *_sale_columns(role, canceled))
-    party = parties.select("party_id", "v", *party_columns(role, canceled))
-    literal = ["rol_persona_en_venta", "es_venta_cancelada"]
-    joined = sale.join(party.drop(*literal), ["party_id", "v"], "left").drop("party_id", "v")
-    return joined.withColumns(
-        {"rol_persona_en_venta": F.lit(role), "es_venta_cancelada": F.lit(canceled)}
-    )
+
+def stage_both_reports(raw: DataFrame, role: str, also_canceled: str = "owes") -> DataFrame:
+    """The active report and, of the rows where ``also_canceled`` holds, the canceled one:
+    the input is read and joined once, and a row comes out once for each report it is in."""
+    both = F.when(F.col(also_canceled), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    rows = raw.select("*", F.explode(both).alias("__canceled"))
+    sale = [
+        F.when(F.col("__canceled"), gone).otherwise(active).alias(name) if name in _VARYING else active
+        for name, active, gone in zip(SALE_ATTRIBUTES, _sale_columns(role, False), _sale_columns(role, True))
+    ]
+    own = party_columns(role, False)[:-1]
+    return rows.select("id_venta", *sale, *own, F.col("__canceled").alias("es_venta_cancelada"))
 
 
 def party_report(rows: DataFrame, parties: DataFrame, role: str) -> DataFrame:
@@ -702,22 +742,11 @@ def supplier_parties(df: DataFrame) -> DataFrame:
 
 
 def main_report(t: Tables) -> DataFrame:
-    return staged_report(main_rows(t), customer_parties(t.customer), ROLE_MAIN, False)
+    return stage_parties(raw_main_report(t), ROLE_MAIN, False)
 
 
 def co_owner_report(t: Tables) -> DataFrame:
-    return staged_report(co_owner_rows(t), supplier_parties(t.supplier), ROLE_CO_OWNER, False)
-
-
-def canceled_reports(t: Tables) -> list[DataFrame]:
-    """Canceled reports: the sales of customers, and the parties, with a negative balance."""
-    cust = t.customer.where("c_acctbal < 0")
-    supp = t.supplier.where("s_acctbal < 0")
-    of = lambda rows, keys, key: rows.join(keys, rows.party_id == keys[key], "left_semi")
-    return [
-        staged_report(of(main_rows(t), cust, "c_custkey"), customer_parties(cust), ROLE_MAIN, True),
-        staged_report(of(co_owner_rows(t), supp, "s_suppkey"), supplier_parties(supp), ROLE_CO_OWNER, True),
-    ]
+    return stage_parties(raw_co_owner_report(t), ROLE_CO_OWNER, False)
 
 
 _SQL_SALE_ROWS = _sql_raw_sale_rows()
@@ -769,8 +798,8 @@ SQL_STAGING_PARTIES = " UNION ALL ".join(
 def staging_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Active and canceled reports of main customers and co-owners, stacked."""
     t = Tables(spark, sf_dir)
-    staged = [main_report(t), co_owner_report(t), *canceled_reports(t)]
-    return functools.reduce(DataFrame.unionByName, staged)
+    main = stage_both_reports(raw_main_report(t), ROLE_MAIN)
+    return main.unionByName(stage_both_reports(raw_co_owner_report(t), ROLE_CO_OWNER))
 
 
 # ---------------------------------------------------------------------------

@@ -4,8 +4,8 @@ Three materialisations, chosen per layer:
 
 * view      - staging and warehouse models; recomputed on each read
   (``createOrReplaceTempView``);
-* table     - marts and the calendar; replaced on each run
-  (``write.mode("overwrite")``, Parquet);
+* table     - marts and the calendar; replaced on each run by a new version, which
+  readers see from one atomic step on (``sources.versions``, Parquet);
 * ephemeral - intermediate models; just the lazy DataFrame, inlined by Catalyst.
 """
 
@@ -15,6 +15,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from estrella.sources.versions import replace_table
+
 # Targets that write every layer into the target's own schema.
 SINGLE_SCHEMA_TARGETS = ("dev", "ci")
 
@@ -56,27 +58,26 @@ def publish(
     target_schema: str = "default",
     partition_by: list[str] | None = None,
     materialized: str | None = None,
+    replace: str = "all",
 ) -> DataFrame:
     """Materialise ``df`` as its layer says and return the frame readers should use.
 
-    * table: overwrite Parquet at the routed location and return a reader of it
-      (this also cuts the lineage, so executor loss later recomputes nothing
-      upstream);
+    * table: write a new version at the routed location, publish it and return a
+      reader of it (this also cuts the lineage, so executor loss later recomputes
+      nothing upstream). A failed write leaves the version before, and ``df`` may
+      read the table that it replaces; ``read_version`` reads it from elsewhere;
     * view: register a temp view named ``<schema>__<table>`` and return it;
     * ephemeral: return ``df`` itself.
 
-    ``materialized`` overrides the layer's setting (e.g. write the warehouse layer
+    ``partition_by`` and ``replace="partitions"`` refresh only the partitions that ``df``
+    has rows of. ``materialized`` overrides the layer's setting (e.g. write the warehouse layer
     as tables in a full build so every mart reads it instead of recomputing it).
     """
     kind = materialized or LAYERS.get(layer, {}).get("materialized", "view")
     spark = df.sparkSession
     if kind == "table":
         path = layer_location(root, layer, table, target_name, target_schema)
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
-        return spark.read.parquet(path)
+        return replace_table(df, path, partition_by=partition_by or (), replace=replace)
     if kind == "view":
         schema = schema_name(target_name, target_schema, LAYERS.get(layer, {}).get("schema"))
         name = f"{schema}__{table}"
