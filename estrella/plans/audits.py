@@ -54,8 +54,11 @@ from estrella.plans.staging import (
     staged_sale_rows,
     staged_schedule,
 )
-from estrella.sources.sinks import publish, shared_scratch_root
+from estrella.sources.gate import PublishBlocked, publish_checked
+from estrella.sources.sinks import layer_location, publish, shared_scratch_root
+from estrella.sources.shared import build_shared
 from estrella.sources.tables import Tables
+from estrella.sources.versions import read_version, replace_table, stage
 
 # ---------------------------------------------------------------------------
 # Generic checks (each returns failing rows)
@@ -433,7 +436,7 @@ def _sql_coverage(child: str, parent: str, key: str, relation: str) -> str:
 )
 def coverage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Relation coverage: total, matched, unmatched and % for three weak relations."""
-    return relation_coverage(Tables(spark, sf_dir))
+    return build_shared(spark, sf_dir, relation_coverage)
 
 
 # ---------------------------------------------------------------------------
@@ -574,18 +577,21 @@ _SQL_SINGULAR = {
 }
 
 
+def _sql_findings(table: str, c: TableChecks) -> list[tuple[str, str, str]]:
+    """(check name, severity, SQL of its findings) of a table's declared checks."""
+    found = [f"SELECT 1 FROM {table} WHERE {x} IS NULL" for x in c.not_null]
+    found += [f"SELECT 1 FROM {table} WHERE NOT ({x})" for x in c.expressions]
+    found += [f"SELECT {x} FROM {table} WHERE {x} IS NOT NULL GROUP BY {x} HAVING count(*) > 1" for x in c.unique]
+    found += [f"SELECT 1 FROM {table} GROUP BY {', '.join(x)} HAVING count(*) > 1" for x in c.combinations]
+    found += [
+        f"SELECT 1 FROM {table} c WHERE {x} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{field} = c.{x})"
+        for x, parent, field in c.relationships
+    ]
+    return [(name, c.severity, sql) for name, sql in zip(c.names(table), found)]
+
+
 def _sql_catalogue() -> str:
-    rows: list[tuple[str, str, str]] = []
-    for table, c in CATALOGUE.items():
-        found = [f"SELECT 1 FROM {table} WHERE {x} IS NULL" for x in c.not_null]
-        found += [f"SELECT 1 FROM {table} WHERE NOT ({x})" for x in c.expressions]
-        found += [f"SELECT {x} FROM {table} WHERE {x} IS NOT NULL GROUP BY {x} HAVING count(*) > 1" for x in c.unique]
-        found += [f"SELECT 1 FROM {table} GROUP BY {', '.join(x)} HAVING count(*) > 1" for x in c.combinations]
-        found += [
-            f"SELECT 1 FROM {table} c WHERE {x} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{field} = c.{x})"
-            for x, parent, field in c.relationships
-        ]
-        rows += [(name, c.severity, sql) for name, sql in zip(c.names(table), found)]
+    rows = [x for table, c in CATALOGUE.items() for x in _sql_findings(table, c)]
     rows += [(name, severity, _SQL_SINGULAR[name]) for name, severity, _ in SINGULAR]
     ctes = ", ".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in _SQL_TABLES.items())
     return f"WITH {ctes} " + " UNION ALL ".join(
@@ -625,6 +631,79 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish(view, "int", "collections_by_sale_inline", root)
 
 
+@register("table_refresh", M.SQL_COLLECTIONS)
+def table_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The collections mart published, then refreshed from a read of itself: a later version
+    may read the one it replaces. The result is what readers see after the second switch."""
+    root = shared_scratch_root(spark, f"estrella-refresh-{uuid.uuid4().hex}")
+    first = publish(M.collections_mart(spark, sf_dir), "marts", "collections_mart", root)
+    publish(first.where("venta_key is not null"), "marts", "collections_mart", root)
+    return read_version(spark, layer_location(root, "marts", "collections_mart", "prod", "default"))
+
+
+@register("partition_refresh", M.SQL_PERIOD_MART)
+def partition_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The period mart partitioned by year, first without the amounts of its last year; then
+    that year alone is written again, and the other years keep their files."""
+    root = shared_scratch_root(spark, f"estrella-refresh-{uuid.uuid4().hex}")
+    mart = M.period_mart(spark, sf_dir)
+    whole = publish(mart, "staging", "period_mart", root, materialized="table")
+    last = whole.agg(F.max("year")).first()[0]  # one number
+    late = F.col("year").eqNullSafe(F.lit(last))
+    blanked = whole.withColumn("total_ingresado", F.when(~late, F.col("total_ingresado")))
+    publish(blanked, "marts", "period_mart", root, partition_by=["year"])
+    return publish(whole.where(late), "marts", "period_mart", root, partition_by=["year"], replace="partitions")
+
+
+# What is checked before it is published, by the tables' own declared checks.
+_GATED = ["collections_mart", "dash_legacy", "invoice_mart", "stg_sale_list"]
+
+
+def _sql_publish_decisions() -> str:
+    parts = []
+    for table in _GATED:
+        found = _sql_findings(table, CATALOGUE[table])
+        counts = " UNION ALL ".join(f"SELECT count(*) AS n FROM ({sql})" for _, _, sql in found)
+        parts.append(
+            f"""SELECT '{table}' AS table_name, CAST({len(found)} AS BIGINT) AS checks, f.failed,
+                       f.failed = 0 AS published,
+                       CASE WHEN f.failed = 0 THEN (SELECT count(*) FROM {table}) ELSE 0 END AS rows_visible
+                FROM (SELECT count(*) FILTER (n > 0) AS failed FROM ({counts})) f"""
+        )
+    ctes = ", ".join(f"{name} AS MATERIALIZED ({_SQL_TABLES[name]})" for name in _GATED)
+    return f"WITH {ctes} " + " UNION ALL ".join(parts)
+
+
+@register("publish_decisions", _sql_publish_decisions())
+def publish_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write, audit, publish: each table is written as a candidate, its declared checks run on
+    the candidate, and readers see it only if none of severity ``error`` fails. One row for
+    each table: checks, failed ones, whether it was published, and the rows readers see."""
+    t = Tables(spark, sf_dir)
+    made = {
+        "collections_mart": lambda: M.collections_mart(spark, sf_dir),
+        "dash_legacy": lambda: M.legacy_dashboard_of(t),
+        "invoice_mart": lambda: M.invoice_mart(spark, sf_dir),
+        "stg_sale_list": lambda: W.sales_list(t),
+    }
+    root = shared_scratch_root(spark, f"estrella-gate-{uuid.uuid4().hex}")
+    rows = []
+    for name in _GATED:
+        location = f"{root}/{name}"
+        df = made[name]()
+        replace_table(df.limit(0), location)  # what readers had before: an empty table
+        candidate = stage(df, location)
+        report = with_status(table_report(name, CATALOGUE[name], {name: candidate.read()}))
+        try:
+            outcomes, published = publish_checked({name: candidate}, report), True
+        except PublishBlocked as blocked:
+            outcomes, published = blocked.outcomes, False
+        failed = sum(o.status == "fail" for o in outcomes)
+        rows.append((name, len(outcomes), failed, published, read_version(spark, location).count()))
+    schema = "table_name string, checks bigint, failed bigint, published boolean, rows_visible bigint"
+    return spark.createDataFrame(rows, schema)
+
+
 @register("seed_lookup", W.SQL_DIM_UNITS)
 def seed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The units dimension with its group seed read from a header CSV.

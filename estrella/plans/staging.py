@@ -44,6 +44,7 @@ from estrella.plans.roles import (
     sql_reported_sale,
     sql_report_variants,
 )
+from estrella.sources.shared import named
 from estrella.sources.tables import Tables
 
 ROLE_MAIN = "cliente_principal"
@@ -98,12 +99,17 @@ def stage_dashboard(
     ).distinct()
 
 
+@named
+def order_units(t: Tables) -> DataFrame:
+    """Every order with its unit and the customer's own columns."""
+    o, u = t.orders, customer_units(t, "c_nationkey", "c_acctbal")
+    return o.join(u, o.o_custkey == u.c_custkey, "left")
+
+
 def raw_dashboard(t: Tables) -> DataFrame:
     """Legacy report built from orders; it repeats every pending ('P') order."""
-    o = t.orders
-    u = customer_units(t)
     k = F.col("o_orderkey")
-    base = o.join(u, o.o_custkey == u.c_custkey, "left")
+    base = order_units(t)
     price = money("o_totalprice")
     cents = lambda c: c.cast("decimal(18,2)")
     day = F.col("o_orderdate").cast("date")
@@ -229,6 +235,7 @@ SQL_STAGE_DASHBOARD = f"""
     FROM ({SQL_RAW_DASHBOARD})"""
 
 
+@named
 def staged_dashboard(t: Tables) -> DataFrame:
     return stage_dashboard(raw_dashboard(t))
 
@@ -264,12 +271,12 @@ def stage_sales(raw: DataFrame) -> DataFrame:
 def raw_sales(t: Tables, repeated: bool = False) -> DataFrame:
     """The sale list: every order, with the short development name missing on some. With
     ``repeated`` as a delivery that lists some sales again (``listed_times``)."""
-    o, u = t.orders, customer_units(t)
     k = F.col("o_orderkey")
+    rows = order_units(t)
     if repeated:
-        o = o.withColumn("__time", listed_times(k))
+        rows = rows.withColumn("__time", listed_times(k))
     day = F.col("o_orderdate").cast("date")
-    return o.join(u, o.o_custkey == u.c_custkey, "left").select(
+    return rows.select(
         k.alias("id_venta"),
         F.lower("desarrollo_largo").alias("DESARROLLO_LARGO"),
         F.when(k % 10 != 0, F.concat(F.col("desarrollo_corto"), F.lit(" "))).alias("DESARROLLO_CORTO"),
@@ -415,14 +422,12 @@ def raw_sale_rows(t: Tables, customer: bool = False) -> DataFrame:
     With ``customer`` the customer's own report columns follow, computed in the rows that
     the unit's join brings together anyway, and ``owes`` (a negative balance).
     """
-    own = ["c_nationkey", "c_acctbal"] if customer else []
-    o, u = t.orders, customer_units(t, *own)
     k, v = F.col("o_orderkey"), F.col("v")
     day = F.col("o_orderdate").cast("date")
     price = money("o_totalprice")
     cents = lambda c: c.cast("decimal(18,2)")
     second = v == 1
-    rows = o.join(u, o.o_custkey == u.c_custkey, "left").select("*", report_variants(k).alias("v"))
+    rows = order_units(t).select("*", report_variants(k).alias("v"))
     return rows.select(
         k.alias("id_venta"),
         F.col("o_custkey").alias("party_id"),
@@ -674,16 +679,26 @@ def staged_sale_rows(t: Tables) -> DataFrame:
     return raw_sale_rows(t).select("id_venta", *_sale_columns(ROLE_MAIN, False))
 
 
-def report_rows(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """(sale id, party, variant) of the main-customer and the co-owner report's rows."""
-    keys = ["id_venta", "party_id", "v"]
-    co = t.lineitem.select(F.col("l_orderkey").alias("id_venta"), F.col("l_suppkey").alias("party_id"))
-    o = t.orders
-    main = o.select(
+@named
+def main_links(t: Tables) -> DataFrame:
+    """(sale id, party, variant) of the main-customer report's rows."""
+    return t.orders.select(
         F.col("o_orderkey").alias("id_venta"), F.col("o_custkey").alias("party_id"),
         report_variants(F.col("o_orderkey")).alias("v"),
     )
-    return main.select(*keys), co.select("*", F.lit(0).alias("v"))
+
+
+def co_owner_links(t: Tables) -> DataFrame:
+    """(sale id, party, variant) of the lines that the co-owner report is made of: the suppliers
+    of an order, once for each of their lines."""
+    lines = t.lineitem.select(F.col("l_orderkey").alias("id_venta"), F.col("l_suppkey").alias("party_id"))
+    return lines.select("*", F.lit(0).alias("v"))
+
+
+@named
+def co_owner_pairs(t: Tables) -> DataFrame:
+    """The links once for each (sale, supplier)."""
+    return co_owner_links(t).distinct()
 
 
 def raw_main_report(t: Tables) -> DataFrame:
@@ -693,7 +708,7 @@ def raw_main_report(t: Tables) -> DataFrame:
 
 def raw_co_owner_report(t: Tables) -> DataFrame:
     """The co-owner report: every supplier of an order, with the order's attributes."""
-    lines = t.lineitem.select("l_orderkey", F.col("l_suppkey").alias("supplier")).distinct()
+    lines = co_owner_pairs(t).select(F.col("id_venta").alias("l_orderkey"), F.col("party_id").alias("supplier"))
     sales = raw_sale_rows(t).where("v = 0").drop("party_id", "v")
     who = t.supplier.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     j = lines.join(sales, lines.l_orderkey == sales.id_venta, "left").drop("id_venta")
@@ -726,11 +741,9 @@ def stage_both_reports(raw: DataFrame, role: str, also_canceled: str = "owes") -
     return rows.select("id_venta", *sale, *own, F.col("__canceled").alias("es_venta_cancelada"))
 
 
-def party_report(rows: DataFrame, parties: DataFrame, role: str) -> DataFrame:
-    """The party columns of an active report for ``report_rows``, without sale attributes."""
-    known = parties.select("party_id", "v", *party_columns(role, False))
-    joined = rows.join(known, ["party_id", "v"], "left").drop("party_id", "v")
-    return joined.withColumns({"rol_persona_en_venta": F.lit(role), "es_venta_cancelada": F.lit(False)})
+def party_report(links: DataFrame, parties: DataFrame) -> DataFrame:
+    """The party columns of an active report for its links, without sale attributes."""
+    return links.join(parties, ["party_id", "v"], "left").drop("party_id", "v")
 
 
 def customer_parties(df: DataFrame) -> DataFrame:
@@ -741,6 +754,17 @@ def supplier_parties(df: DataFrame) -> DataFrame:
     return raw_parties(df, "s_suppkey", "s_name", "s_nationkey")
 
 
+@named
+def staged_customers(t: Tables) -> DataFrame:
+    """Every customer and variant with the cleaned party columns, without role."""
+    return customer_parties(t.customer).select("party_id", "v", *party_columns(ROLE_MAIN, False)[:-2])
+
+
+@named
+def staged_suppliers(t: Tables) -> DataFrame:
+    return supplier_parties(t.supplier).select("party_id", "v", *party_columns(ROLE_CO_OWNER, False)[:-2])
+
+
 def main_report(t: Tables) -> DataFrame:
     return stage_parties(raw_main_report(t), ROLE_MAIN, False)
 

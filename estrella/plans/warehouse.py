@@ -53,12 +53,12 @@ from estrella.plans.staging import (
     SQL_STAGING_SCHEDULE,
     ROLE_CO_OWNER,
     ROLE_MAIN,
-    customer_parties,
-    party_columns,
+    co_owner_links,
+    co_owner_pairs,
+    main_links,
     party_report,
     raw_invoices,
     raw_payments,
-    report_rows,
     sales_list,
     stage_invoices,
     stage_payments,
@@ -66,8 +66,10 @@ from estrella.plans.staging import (
     staged_overdue,
     staged_sale_rows,
     staged_schedule,
-    supplier_parties,
+    staged_customers,
+    staged_suppliers,
 )
+from estrella.sources.shared import named
 from estrella.sources.tables import Tables
 
 
@@ -344,6 +346,7 @@ def units_report(t: Tables) -> DataFrame:
     return staged_sale_rows(t).select("desarrollo_largo", "desarrollo_corto", "unidad", "etapa")
 
 
+@named
 def units_dimension(t: Tables) -> DataFrame:
     return dim_units(sales_list(t), unit_attributes(units_report(t)), group_seed(t))
 
@@ -424,6 +427,7 @@ def sale_attributes(report: DataFrame) -> DataFrame:
     return survivor_max(require_present(report, "id_venta"), ["id_venta"], SALE_ATTRIBUTES)
 
 
+@named
 def sale_attributes_of(t: Tables) -> DataFrame:
     return sale_attributes(staged_sale_rows(t))
 
@@ -482,13 +486,16 @@ PARTY_COLS = [
 def party_reports_by_sale(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Main-customer and co-owner reports, party columns only: one row per (sale, party).
     Sale attributes, and the lookups they need, are left out."""
-    main, co = report_rows(t)
     return (
-        party_report(main, customer_parties(t.customer), ROLE_MAIN),
-        party_report(co.distinct(), supplier_parties(t.supplier), ROLE_CO_OWNER),
+        _with_role(party_report(main_links(t), staged_customers(t)), ROLE_MAIN),
+        _with_role(party_report(co_owner_pairs(t), staged_suppliers(t)), ROLE_CO_OWNER),
     )
 
 
+def _with_role(parties: DataFrame, role: str) -> DataFrame:
+    return parties.withColumns({"rol_persona_en_venta": F.lit(role), "es_venta_cancelada": F.lit(False)})
+
+
 def sale_parties(main: DataFrame, co_owners: DataFrame, distinct: bool = True) -> DataFrame:
     """Union of both party reports, identity columns, sales present, distinct rows.
 
@@ -507,24 +514,23 @@ def sale_parties_of(t: Tables, distinct: bool = True) -> DataFrame:
     return sale_parties(*party_reports_by_sale(t), distinct=distinct)
 
 
-def party_profiles(t: Tables) -> DataFrame:
+def party_profiles(t: Tables, pairs: DataFrame | None = None) -> DataFrame:
     """One staged row per (role, party) that takes part in at least one sale.
 
     For readers that aggregate per natural key - the party dimension (max of each
     attribute) and the party-key conflict audit (distinct values) - these rows give
     the same result as the (sale, party) union: a party's attributes and natural key
     do not depend on the sale, so its repeats across sales add nothing. The sales only
-    say which parties appear; a party that no table knows has null columns.
+    say which parties appear; a party that no table knows has null columns. ``pairs``
+    stands for the co-owners' links where the caller has them without repeats.
     """
-    main, co = report_rows(t)
     profiles = []
-    for rows, parties, role in (
-        (main, customer_parties(t.customer), ROLE_MAIN), (co, supplier_parties(t.supplier), ROLE_CO_OWNER)
+    for links, parties, role in (
+        (main_links(t), staged_customers(t), ROLE_MAIN),
+        (co_owner_links(t) if pairs is None else pairs, staged_suppliers(t), ROLE_CO_OWNER),
     ):
-        seen = require_present(rows, "id_venta").select("party_id", "v").distinct()
-        known = parties.select("party_id", "v", *party_columns(role, False))
-        literal = {"rol_persona_en_venta": F.lit(role), "es_venta_cancelada": F.lit(False)}
-        profiles.append(seen.join(known, ["party_id", "v"], "left").drop("party_id", "v").withColumns(literal))
+        seen = require_present(links, "id_venta").select("party_id", "v").distinct()
+        profiles.append(_with_role(party_report(seen, parties), role))
     return with_party_identity(functools.reduce(DataFrame.unionByName, profiles))
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -76,3 +78,8 @@ class Tables:
         if name not in self._cache:
             self._cache[name] = read_table(self.spark, self.sf_dir, name)
         return self._cache[name]
+
+    def frame(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """The derived frame ``name``. Here it is made anew for each reader and stays lazy;
+        ``sources.shared`` writes those that several readers of one build ask for."""
+        return make()
