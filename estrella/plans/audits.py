@@ -33,7 +33,7 @@ from estrella.plans import marts as M
 from estrella.plans import warehouse as W
 from estrella.plans.basics import SQL_NULLABLE_ORDERS, _nullable_orders
 from estrella.plans.registry import register
-from estrella.plans.roles import sql_listed_times
+from estrella.plans.roles import SQL_GROUP_SEED, group_seed, sql_listed_times
 from estrella.plans.staging import (
     ROLE_MAIN,
     SQL_CO_OWNER_REPORT,
@@ -55,6 +55,7 @@ from estrella.plans.staging import (
     staged_schedule,
 )
 from estrella.sources.gate import PublishBlocked, publish_checked
+from estrella.sources.lookup import read_seed_csv, seed_findings
 from estrella.sources.sinks import layer_location, publish, shared_scratch_root
 from estrella.sources.shared import build_shared
 from estrella.sources.tables import Tables
@@ -713,9 +714,6 @@ def seed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder and read back with the declared seed schema - the path a maintained
     CSV lookup takes.
     """
-    from estrella.plans.roles import group_seed
-    from estrella.sources import read_seed_csv
-
     t = Tables(spark, sf_dir)
     path = shared_scratch_root(spark, f"estrella-seed-{uuid.uuid4().hex}")
     seed = group_seed(t).select(
@@ -727,3 +725,52 @@ def seed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     seed.write.mode("overwrite").option("header", True).csv(path)
     lookup = read_seed_csv(spark, path)
     return W.dim_units(W.sales_list(t), W.unit_attributes(W.units_report(t)), lookup)
+
+
+# The seed with faults: some pairs again, padded and with the group in another spelling, and
+# some short names left out.
+_SQL_FAULTY_SEED = f"""
+    SELECT desarrollo_largo, desarrollo_corto, grupo_2 FROM ({SQL_GROUP_SEED})
+    UNION ALL
+    SELECT ' ' || lower(desarrollo_largo), desarrollo_corto || '  ', lower(grupo_2)
+    FROM ({SQL_GROUP_SEED}) WHERE length(desarrollo_largo) % 2 = 0
+    UNION ALL
+    SELECT desarrollo_largo, ' ', grupo_2 FROM ({SQL_GROUP_SEED}) WHERE length(desarrollo_largo) % 3 = 0"""
+
+
+@register(
+    "seed_findings",
+    f"""
+    WITH s AS ({_SQL_FAULTY_SEED}),
+    f AS (SELECT *, upper(trim(desarrollo_largo)) AS a, nullif(upper(trim(desarrollo_corto)), '') AS b,
+                 upper(trim(grupo_2)) AS g FROM s)
+    SELECT 'blank' AS problem, desarrollo_largo, desarrollo_corto, grupo_2, CAST(1 AS BIGINT) AS n FROM f
+    WHERE b IS NULL
+    UNION ALL
+    SELECT 'repeated_pair', desarrollo_largo, desarrollo_corto, grupo_2, m.n
+    FROM f JOIN (SELECT a, b, count(*) AS n FROM f WHERE b IS NOT NULL GROUP BY a, b HAVING count(*) > 1) m USING (a, b)
+    UNION ALL
+    SELECT 'group_spelling', desarrollo_largo, desarrollo_corto, grupo_2, m.n
+    FROM f JOIN (SELECT g, count(DISTINCT grupo_2) AS n FROM f GROUP BY g HAVING count(DISTINCT grupo_2) > 1) m USING (g)
+""",
+)
+def seed_findings_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faults of a seed CSV: blank parts, pairs that come again, groups in several spellings."""
+    seed = group_seed(Tables(spark, sf_dir))
+    size = F.length("desarrollo_largo")
+    again = seed.where(size % 2 == 0).select(
+        F.concat(F.lit(" "), F.lower("desarrollo_largo")).alias("desarrollo_largo"),
+        F.concat("desarrollo_corto", F.lit("  ")).alias("desarrollo_corto"), F.lower("grupo_2").alias("grupo_2"),
+    )
+    short = seed.where(size % 3 == 0).withColumn("desarrollo_corto", F.lit(" "))
+    faulty = seed.unionByName(again).unionByName(short).select(
+        F.initcap("grupo_2").alias("GRUPO"), F.col("desarrollo_corto").alias("DESARROLLO_CORTO"),
+        F.col("desarrollo_largo").alias("DESARROLLO_LARGO"), F.col("grupo_2").alias("GRUPO_2"),
+    )
+    path = shared_scratch_root(spark, f"estrella-seed-{uuid.uuid4().hex}")
+    keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "quoteAll": "true"}
+    faulty.write.options(header=True, **keep).csv(path)
+    lookup = read_seed_csv(spark, path).drop("grupo")
+    return seed_findings(lookup, ("desarrollo_largo", "desarrollo_corto"), "grupo_2").select(
+        "problem", "desarrollo_largo", "desarrollo_corto", "grupo_2", "n"
+    )

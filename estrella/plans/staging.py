@@ -8,6 +8,8 @@ table.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ from estrella.functions import (
     upper_trimmed,
     zero_to_null,
 )
+from estrella.operators.quarantine import CastRule, rejects, split_rejects
 from estrella.plans.basics import sql_initcap, sql_plan_chain
 from estrella.plans.registry import register
 from estrella.plans.roles import (
@@ -45,6 +48,7 @@ from estrella.plans.roles import (
     sql_report_variants,
 )
 from estrella.sources.shared import named
+from estrella.sources.sinks import shared_scratch_root
 from estrella.sources.tables import Tables
 
 ROLE_MAIN = "cliente_principal"
@@ -409,10 +413,28 @@ def party_columns(role: str, canceled: bool) -> list:
     ]
 
 
-def stage_parties(raw: DataFrame, role: str, canceled: bool) -> DataFrame:
+def stage_parties(raw: DataFrame, role: str, canceled: bool, quarantine: bool = False) -> DataFrame:
     """Clean a party report: sale id, sale attributes, party columns; ``role`` and
-    ``canceled`` become literal columns."""
-    return raw.select("id_venta", *_sale_columns(role, canceled), *party_columns(role, canceled))
+    ``canceled`` become literal columns. With ``quarantine`` a column of the values that the
+    casts could not read follows (``operators.quarantine``)."""
+    lost = [rejects(party_cast_rules(role, canceled))] if quarantine else []
+    return raw.select("id_venta", *_sale_columns(role, canceled), *party_columns(role, canceled), *lost)
+
+
+def party_cast_rules(role: str, canceled: bool) -> list[CastRule]:
+    """The casts of a party report that give null for what they cannot read."""
+    cleaned = dict(zip(SALE_ATTRIBUTES, _sale_columns(role, canceled)))
+    rules = [CastRule(c, c.replace("_", "").upper(), cleaned[c], "date") for c in SALE_ATTRIBUTES if c.startswith("fecha_")]
+    return [*rules, CastRule("edad", "EDAD", safe_int_with_words("EDAD"), "integer or words")]
+
+
+def payment_cast_rules() -> list[CastRule]:
+    """The casts of the active payment report that give null for what they cannot read."""
+    return [
+        CastRule("fecha_ingreso", "FECHA_INGRESO", safe_date("FECHA_INGRESO"), "date"),
+        CastRule("fecha_amortizacion", "FECHA_ARMOTIZACION", safe_date("FECHA_ARMOTIZACION"), "date"),
+        CastRule("monto_pagado", "MONTOPAGADO", safe_decimal("MONTOPAGADO", 10, 2), "decimal(10,2)"),
+    ]
 
 
 def raw_sale_rows(t: Tables, customer: bool = False) -> DataFrame:
@@ -844,7 +866,8 @@ def _stage_payment_sale_cols() -> list:
     ]
 
 
-def stage_payments(raw: DataFrame) -> DataFrame:
+def stage_payments(raw: DataFrame, quarantine: bool = False) -> DataFrame:
+    lost = [rejects(payment_cast_rules())] if quarantine else []
     return raw.select(
         "id_venta",
         *_stage_payment_sale_cols(),
@@ -858,6 +881,7 @@ def stage_payments(raw: DataFrame) -> DataFrame:
         safe_decimal("MONTOPAGADO", 10, 2).alias("monto_pagado"),
         safe_date("FECHA_CAPTURA").alias("fecha_captura"),
         F.lit(False).alias("es_venta_cancelada"),
+        *lost,
     )
 
 
@@ -1001,6 +1025,45 @@ SQL_STAGING_PAYMENTS = f"""
     FROM ({_sql_raw_payments(True)})"""
 
 
+def _sql_rejected_values() -> str:
+    date = "try_cast({0} AS DATE)"
+    age = "CASE WHEN trim({0}) = 'CUARENTA Y DOS' THEN 42 ELSE try_cast(trim({0}) AS INTEGER) END"
+    main = [(c, c.replace("_", "").upper(), date, "date") for c in SALE_ATTRIBUTES if c.startswith("fecha_")]
+    main.append(("edad", "EDAD", age, "integer or words"))
+    payments = [
+        ("fecha_ingreso", "FECHA_INGRESO", date, "date"),
+        ("fecha_amortizacion", "FECHA_ARMOTIZACION", date, "date"),
+        ("monto_pagado", "MONTOPAGADO", "try_cast({0} AS DECIMAL(10,2))", "decimal(10,2)"),
+    ]
+    parts = [
+        f"""SELECT '{report}' AS reporte, id_venta, '{column}' AS column_name, {raw} AS raw_text, '{rule}' AS rule
+            FROM {report} WHERE {raw} IS NOT NULL AND trim({raw}) <> '' AND upper(trim({raw})) <> 'NULL'
+              AND {cast.format(raw)} IS NULL"""
+        for report, rules in (("clientes", main), ("ingresos", payments))
+        for column, raw, cast, rule in rules
+    ]
+    return f"""WITH clientes AS MATERIALIZED ({_sql_report(_SQL_MAIN_ROWS, _SQL_CUSTOMER_PARTIES)}),
+        ingresos AS MATERIALIZED ({_sql_raw_payments(False)}) {" UNION ALL ".join(parts)}"""
+
+
+@register("rejected_values", _sql_rejected_values())
+def rejected_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the casts of the main-customer and the payment report could not read: sale,
+    column, text as delivered and rule. Each report is cleaned once, into a table that holds
+    the cleaned rows and these values."""
+    t = Tables(spark, sf_dir)
+    root = shared_scratch_root(spark, f"estrella-quarantine-{uuid.uuid4().hex}")
+    staged = {
+        "clientes": stage_parties(raw_main_report(t), ROLE_MAIN, False, quarantine=True),
+        "ingresos": stage_payments(raw_payments(t, enrich=False), quarantine=True),
+    }
+    found = [
+        split_rejects(df, ["id_venta"], f"{root}/{name}")[1].select(F.lit(name).alias("reporte"), "*")
+        for name, df in staged.items()
+    ]
+    return found[0].unionByName(found[1])
+
+
 @register("staging_payments", SQL_STAGING_PAYMENTS)
 def staging_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both payment reports stacked; columns one report lacks are null."""
