@@ -243,19 +243,24 @@ def iter_groups(
 
 
 def by_group(
-    df: DataFrame, keys: list[str], fn: Callable[[tuple, pa.Table], pa.Table | None], schema: str
+    df: DataFrame,
+    keys: list[str],
+    fn: Callable[[tuple, pa.Table], pa.Table | None],
+    schema: str,
+    most_rows: int | None = None,
 ) -> DataFrame:
     """``fn(key, rows)`` on every group of ``df`` by the integer columns ``keys``.
 
     One shuffle and one sort; a task streams its groups and holds one of them. The
-    caller splits groups without a bound beforehand (see ``block_pairs``).
+    caller splits groups without a bound beforehand (see ``block_pairs``). Results go back
+    in batches of at most ``most_rows`` rows.
     """
 
     def run(batches):
         for key, rows in iter_groups(batches, keys):
             out = fn(key, rows)
             if out is not None and out.num_rows:
-                yield from out.combine_chunks().to_batches()
+                yield from out.combine_chunks().to_batches(max_chunksize=most_rows)
 
     return map_batches(df.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys), run, schema)
 

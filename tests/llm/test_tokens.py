@@ -111,6 +111,26 @@ def test_packing_keeps_ids(spark):
         assert tokens.crc(np.array(r["ids"])) == r["ids_crc32"] and len(r["ids"]) == r["length"]
 
 
+@pytest.mark.parametrize("context,group", [(2048, 8192), (64, 5)])
+def test_sequences_are_put_together_and_padded(spark, context, group):
+    rows = CASES + [(20 + i, "word " * (7 * i)) for i in range(40)]
+    sequences = packing.pack_sequences(frame(spark, rows), PATH, 1, context, group, pad_id=9).collect()
+    found = []
+    for r in sequences:
+        assert len(r["ids"]) == (r["used"] if bin(r["used"]).count("1") == 1 else context)
+        assert sum(r["lengths"]) == r["used"] <= context and set(r["ids"][r["used"] :]) <= {9}
+        at = 0
+        for doc, start, n, total in zip(r["doc_ids"], r["starts"], r["lengths"], r["doc_tokens"]):
+            found.append((doc, start, tuple(r["ids"][at : at + n]), total))
+            at += n
+    want = []
+    for doc, text in rows:
+        whole = ids(text) + [1]
+        want += [(doc, i, tuple(whole[i : i + context]), len(whole)) for i in range(0, len(whole), context)]
+    assert collections.Counter(found) == collections.Counter(want)
+    assert len({r["sequence_id"] for r in sequences}) == len(sequences)
+
+
 def test_packing_of_the_table_wastes_little(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     out = packing.pack_documents(docs, PATH, 1).collect()
