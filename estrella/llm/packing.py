@@ -153,7 +153,7 @@ def pack_sequences(
     tokenizer: str,
     end_id: int = 1,
     context: int = 2048,
-    group_pieces: int = 8192,
+    group_pieces: int = 2048,
     seed: int = 7,
     pad_id: int = 0,
 ) -> DataFrame:
@@ -167,6 +167,7 @@ def pack_sequences(
     pieces = cut_pieces(docs, tokenizer, end_id, context, groups, seed)
 
     def pack(key: tuple, rows: pa.Table) -> pa.Table:
+        tokens.release()  # the worker may have cut pieces before
         return pack_group(rows, key[0], context, pad_id)
 
     return materialize(by_group(pieces, ["grp"], pack, SEQUENCE, OUT_ROWS), "sequences")
@@ -213,7 +214,7 @@ def pack_documents(
     tokenizer: str,
     end_id: int = 1,
     context: int = 2048,
-    group_pieces: int = 8192,
+    group_pieces: int = 2048,
     seed: int = 7,
     keep_ids: bool = False,
 ) -> DataFrame:
