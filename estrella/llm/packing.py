@@ -23,13 +23,20 @@ from estrella.llm.common import by_group, map_batches, materialize
 
 PIECE = "grp bigint, nth bigint, doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
 SEQUENCE = (
-    "sequence_id bigint, used int, ids array<int>, doc_ids array<bigint>, starts array<bigint>, "
+    "sequence_id bigint, used int, ids binary, doc_ids array<bigint>, starts array<bigint>, "
     "lengths array<int>, doc_tokens array<bigint>"
 )
 BYTES_A_TOKEN = 4  # of text, for the number of groups only
 OUT_ROWS = 256  # sequences handed to Spark at a time
 
 
+def id_type(definition: str, *others: int) -> str:
+    """How ids are stored: unsigned little-endian integers of 2 bytes, if the tokenizer's ids and
+    ``others`` fit, else of 4."""
+    size = tokens.encoder(definition).tokenizer.get_vocab_size()
+    return "<u2" if max(size - 1, *others) < 1 << 16 else "<u4"
+
+
 def group_count(docs: DataFrame, context: int, group_pieces: int) -> int:
     """How many groups make about ``group_pieces`` pieces each, from rows and bytes of text."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("double")
@@ -37,22 +44,25 @@ def group_count(docs: DataFrame, context: int, group_pieces: int) -> int:
     return max(1, -(-int(n + held / (BYTES_A_TOKEN * context)) // group_pieces))
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, context: int, groups: int, seed: int) -> DataFrame:
+def cut_pieces(
+    docs: DataFrame, definition: str, end_id: int, context: int, groups: int, seed: int, dtype: str = "<u4"
+) -> DataFrame:
     """Pieces of at most ``context`` ids of every whole document, each dealt to a group.
 
     A null or empty text has the one id ``end_id``. The group is a hash of document, start,
     the piece's number in its task and seed, so that neither a repeated document nor a hot
     source makes a large group. Columns other than doc_id and text are not read; repeated
-    rows give repeated pieces.
+    rows give repeated pieces. Ids are stored as ``dtype``.
     """
-    definition = tokens.read_definition(tokenizer)
 
     def run(batches):
         enc, salt = tokens.encoder(definition), 0
         for batch in batches:
             rows: list[tuple] = []
             for doc, (ids, n) in zip(batch.column(0).to_pylist(), enc.texts(batch.column(1))):
-                whole = np.append(ids, np.asarray(end_id, np.uint32)).astype("<u4")
+                whole = np.empty(n + 1, dtype)
+                whole[:n] = ids
+                whole[n] = end_id
                 for start in range(0, n + 1, context):
                     part = whole[start : start + context]
                     rows.append((doc, start, len(part), n + 1, salt, part.tobytes()))
@@ -118,7 +128,7 @@ def padded_length(used: int, context: int) -> int:
     return used if used & (used - 1) == 0 else context
 
 
-def pack_group(rows: pa.Table, group: int, context: int, pad_id: int) -> pa.Table:
+def pack_group(rows: pa.Table, group: int, context: int, pad_id: int, dtype: str = "<u4") -> pa.Table:
     """The sequences (``SEQUENCE``) of one group's pieces."""
     rows = rows.sort_by([("length", "descending"), ("nth", "ascending")])
     lengths = rows["length"].to_numpy()
@@ -129,17 +139,17 @@ def pack_group(rows: pa.Table, group: int, context: int, pad_id: int) -> pa.Tabl
     used = np.add.reduceat(lengths[order], cut)
     sizes = np.array([padded_length(int(u), context) for u in used])
     at = np.concatenate([[0], np.cumsum(sizes)])
-    flat = np.full(at[-1], pad_id, np.int32)
+    flat = np.full(at[-1], pad_id, dtype)
     first = at[:-1][bins[order]] + offsets[order]
     for i, to, n in zip(order.tolist(), first.tolist(), lengths[order].tolist()):
-        flat[to : to + n] = np.frombuffer(ids[i].as_buffer(), "<u4")
+        flat[to : to + n] = np.frombuffer(ids[i].as_buffer(), dtype)
     parts = pa.array(np.append(cut, len(order)).astype(np.int32))
     listed = lambda c, t: pa.ListArray.from_arrays(parts, rows[c].combine_chunks().take(pa.array(order)).cast(t))
     return pa.table(
         {
             "sequence_id": pa.array(np.arange(len(cut)) + (group << 32)),
             "used": pa.array(used.astype(np.int32)),
-            "ids": pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat)),
+            "ids": pa.array([flat[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary()),
             "doc_ids": listed("doc_id", pa.int64()),
             "starts": listed("start", pa.int64()),
             "lengths": listed("length", pa.int32()),
@@ -159,27 +169,27 @@ def pack_sequences(
 ) -> DataFrame:
     """Pack whole ``docs(doc_id, text)`` into sequences, written to the shared folder.
 
-    One row for each sequence: sequence_id, used (ids before the padding), ids (padded with
-    ``pad_id`` to ``context``, unless ``used`` is a power of two), and of its pieces in their
+    One row for each sequence: sequence_id, used (ids before the padding), ids (``id_type``
+    integers, padded with ``pad_id`` to ``context``, unless ``used`` is a power of two), and of its pieces in their
     order doc_ids, starts (ids of the document before the piece), lengths and doc_tokens.
     """
+    definition = tokens.read_definition(tokenizer)
+    dtype = id_type(definition, end_id, pad_id)
     groups = group_count(docs, context, group_pieces)
-    pieces = cut_pieces(docs, tokenizer, end_id, context, groups, seed)
+    pieces = cut_pieces(docs, definition, end_id, context, groups, seed, dtype)
 
     def pack(key: tuple, rows: pa.Table) -> pa.Table:
-        tokens.release()  # the worker may have cut pieces before
-        return pack_group(rows, key[0], context, pad_id)
+        return pack_group(rows, key[0], context, pad_id, dtype)
 
     return materialize(by_group(pieces, ["grp"], pack, SEQUENCE, OUT_ROWS), "sequences")
 
 
-def pieces_of(sequences: DataFrame, keep_ids: bool = False) -> DataFrame:
+def pieces_of(sequences: DataFrame, dtype: str, keep_ids: bool = False) -> DataFrame:
     """One row per piece of written sequences: doc_id, start, length, ids_crc32, doc_tokens,
-    (ids,) sequence_id, offset, from the ids in the sequences."""
+    (ids,) sequence_id, offset, from the ids in the sequences (stored as ``dtype``)."""
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if keep_ids else []), "sequence_id", "offset"]
 
     def run(batches):
-        tokens.release()
         for batch in batches:
             lengths = batch.column(4)
             number = np.diff(lengths.offsets.to_numpy())
@@ -188,18 +198,17 @@ def pieces_of(sequences: DataFrame, keep_ids: bool = False) -> DataFrame:
             before = np.concatenate([[0], np.cumsum(n)])
             first = before[np.concatenate([[0], np.cumsum(number)])[:-1]]
             offset = before[:-1] - first[row]
-            at = batch.column(1).offsets.to_numpy().astype(np.int64)
-            flat = batch.column(1).values.to_numpy().astype("<u4")
-            starts = at[row] + offset
+            whole = [np.frombuffer(x.as_buffer(), dtype) for x in batch.column(1)]
+            parts = [whole[r][a : a + k] for r, a, k in zip(row.tolist(), offset.tolist(), n.tolist())]
             cols = [
                 batch.column(2).flatten(),
                 batch.column(3).flatten(),
                 pa.array(n),
-                pa.array([tokens.crc(flat[a : a + k]) for a, k in zip(starts, n)], pa.int64()),
+                pa.array([tokens.crc(x) for x in parts], pa.int64()),
                 batch.column(5).flatten(),
             ]
             if keep_ids:
-                cols.append(pa.array([flat[a : a + k].astype(np.int32) for a, k in zip(starts, n)], pa.list_(pa.int32())))
+                cols.append(pa.array([x.astype(np.int32) for x in parts], pa.list_(pa.int32())))
             cols += [batch.column(0).take(pa.array(row)), pa.array(offset)]
             yield pa.RecordBatch.from_arrays(cols, names)
 
@@ -225,4 +234,5 @@ def pack_documents(
     repeated rows are packed as often as they occur; a null doc_id is kept as null; no
     rows give no rows; other columns are ignored.
     """
-    return pieces_of(pack_sequences(docs, tokenizer, end_id, context, group_pieces, seed), keep_ids)
+    sequences = pack_sequences(docs, tokenizer, end_id, context, group_pieces, seed)
+    return pieces_of(sequences, id_type(tokens.read_definition(tokenizer), end_id), keep_ids)

@@ -115,8 +115,11 @@ def test_packing_keeps_ids(spark):
 def test_sequences_are_put_together_and_padded(spark, context, group):
     rows = CASES + [(20 + i, "word " * (7 * i)) for i in range(40)]
     sequences = packing.pack_sequences(frame(spark, rows), PATH, 1, context, group, pad_id=9).collect()
+    dtype = packing.id_type(tokens.read_definition(PATH), 1, 9)
+    assert dtype == "<u2" and packing.id_type(tokens.read_definition(PATH), 1 << 16) == "<u4"
     found = []
     for r in sequences:
+        r = {**r.asDict(), "ids": np.frombuffer(r["ids"], dtype).tolist()}
         assert len(r["ids"]) == (r["used"] if bin(r["used"]).count("1") == 1 else context)
         assert sum(r["lengths"]) == r["used"] <= context and set(r["ids"][r["used"] :]) <= {9}
         at = 0
