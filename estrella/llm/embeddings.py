@@ -5,15 +5,22 @@ projections quantised to a width. Vectors that share a key in any table are comp
 exact cosine in double precision, as blocks of matrix products; a pair that meets in
 several tables counts in the first one only, so links are counted without writing pairs.
 
-At cosine 0.9 the distance is 0.447; with width 2 one projection agrees with
-probability 0.82, a table of 8 with 0.21, and 32 tables miss a pair at the threshold
-with probability 0.0006 (at cosine 0.95 less than 0.000002). Unrelated vectors share a
-table's key with probability 0.003.
+The projections per table follow the number of vectors, so that a bucket holds about
+``ROOM`` unrelated ones at any size, and the tables follow from the wanted recall: at width 2
+one projection agrees with probability 0.82 at cosine 0.9 and 0.49 for unrelated vectors, so
+candidate pairs grow with the power 1.27 of the vectors. 8 projections and 32 tables serve
+up to 1,300 vectors, 12 and 75 serve 20,000; a pair at the threshold is missed with
+probability 0.0006, one at cosine 0.95 with less than 0.000002.
+
+What travels to the buckets first is a vector in one byte a component with its rounding
+error. The error bounds the cosine from above, so only vectors that can have a link in a
+bucket go there whole, and none with a link is left out.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +39,30 @@ from estrella.llm.common import (
     spread,
 )
 
-TABLES, HASHES, WIDTH, SEED = 32, 8, 2.0, 11
+TABLES, HASHES, WIDTH, SEED = 32, 8, 2.0, 11  # tables and projections of a small set
+ROOM = 4  # unrelated vectors expected in a bucket
+MISS = 0.0006  # share of pairs at the threshold that meet in no table
 BLOCK = 1024  # vectors of a hot bucket compared in one task
 
 
+def agreement(distance: float, width: float) -> float:
+    """Probability that one quantised projection is equal for two points so far apart."""
+    if distance <= 0:
+        return 1.0
+    t = width / distance
+    outside = math.erfc(t / math.sqrt(2))
+    return 1 - outside - 2 / (math.sqrt(2 * math.pi) * t) * (1 - math.exp(-t * t / 2))
+
+
+def table_plan(vectors: int, threshold: float, width: float = WIDTH) -> tuple[int, int]:
+    """(tables, projections a table) for so many vectors, as the module's text says."""
+    far = agreement(math.sqrt(2), width)
+    near = agreement(math.sqrt(max(0.0, 2 - 2 * threshold)), width)
+    hashes = max(HASHES, math.ceil(math.log(max(1, vectors) / ROOM) / -math.log(far)))
+    met = near**hashes
+    return (1 if met >= 1 else math.ceil(math.log(MISS) / math.log1p(-met))), hashes
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     """Rows scaled to length one, in double precision, whatever their magnitude."""
     x = x.astype(np.float64)
@@ -55,6 +82,21 @@ def bucket_keys(x: np.ndarray, tables: int, hashes: int, width: float, seed: int
     return (key >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def coarse(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(cells, step, error) of unit vectors: int8 cells whose multiples of ``step`` lie within
+    ``error`` (a length) of the vector."""
+    step = np.abs(x).max(axis=1) / 127
+    cells = np.rint(x / step[:, None]).astype(np.int8)
+    lost = x - cells * step[:, None]
+    return cells, step, np.sqrt((lost * lost).sum(axis=1)) + 1e-12
+
+
+def most_cosine(cells: np.ndarray, step: np.ndarray, error: np.ndarray) -> np.ndarray:
+    """Upper bounds of all cosines between the vectors behind ``coarse`` rows."""
+    x = cells * step[:, None]
+    return x @ x.T + error[:, None] + error[None, :] + error[:, None] * error[None, :] + 1e-9
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """vec_id, dim, cls (hash of the values), vec (values as doubles); the last three are
     null for a vector that is null, empty, zero, or holds a null or non-finite component."""
@@ -90,38 +132,73 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def _keyed(classes: DataFrame, tables: int, hashes: int, width: float, seed: int) -> DataFrame:
+    """The classes with their key in every table and their vector's coarse form."""
+
     def run(batches):
         for batch in batches:
+            n = batch.num_rows
             dims = batch.column(2).to_numpy()
-            keys = np.zeros((batch.num_rows, tables), np.int32)
+            keys = np.zeros((n, tables), np.int32)
+            cells, step, error = [b""] * n, np.zeros(n), np.zeros(n)
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
-                x = binary_rows(batch.column(3).take(pa.array(at)), "<f8")
-                keys[at] = bucket_keys(unit(x), tables, hashes, width, seed)
+                x = unit(binary_rows(batch.column(3).take(pa.array(at)), "<f8"))
+                keys[at] = bucket_keys(x, tables, hashes, width, seed)
+                c, step[at], error[at] = coarse(x)
+                for i, row in zip(at.tolist(), c):
+                    cells[i] = row.tobytes()
             listed = pa.ListArray.from_arrays(
-                pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * tables), pa.array(keys.ravel())
+                pa.array(np.arange(n + 1, dtype=np.int32) * tables), pa.array(keys.ravel())
             )
-            yield pa.RecordBatch.from_arrays([*batch.columns, listed], [*batch.schema.names, "keys"])
+            new = [listed, pa.array(cells, pa.binary()), pa.array(step), pa.array(error)]
+            names = [*batch.schema.names, "keys", "cells", "step", "error"]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names)
 
     return classes.select("cls", "copies", "dim", "vec").transform(
-        map_batches, run, "cls binary, copies bigint, dim int, vec binary, keys array<int>"
+        map_batches,
+        run,
+        "cls binary, copies bigint, dim int, vec binary, keys array<int>, cells binary, step double, error double",
     )
 
 
-def _bucket_links(keyed: DataFrame, threshold: float) -> DataFrame:
-    """(cls, links, root): per table, links not seen in an earlier table, with a class of
-    the bucket that stands for all it reaches there."""
-    met = keyed.select("*", F.posexplode("keys").alias("tab", "bucket"))
+BUCKET = ["dim", "tab", "bucket", "bi", "bj"]
+
+
+def _across(pairs: np.ndarray, key: tuple, rows: pa.Table) -> np.ndarray:
+    """``pairs`` without the diagonal and, where two blocks of a bucket meet, within a block."""
+    np.fill_diagonal(pairs, False)
+    if key[3] != key[4]:
+        block = rows["block"].to_numpy()
+        pairs &= block[:, None] != block[None, :]
+    return pairs
+
+
+def _met(keyed: DataFrame) -> DataFrame:
+    """Buckets' members in coarse form; a bucket of more than BLOCK is dealt into blocks."""
+    met = keyed.select("dim", "cls", "cells", "step", "error", F.posexplode("keys").alias("tab", "bucket"))
     sizes = met.groupBy("dim", "tab", "bucket").agg(F.count("*").alias("size"))
     hot = small(materialize(sizes.where(F.col("size") > BLOCK), "hotbuckets"))
     blocks = F.ceil(F.coalesce("size", F.lit(1)) / float(BLOCK)).cast("int")
-    dealt = (
+    return (
         met.join(hot, ["dim", "tab", "bucket"], "left")
         .withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
         .withColumn("p", F.explode(block_pairs(F.coalesce("size", F.lit(1)), F.col("block"), BLOCK)))
-        .select("dim", "tab", "bucket", "p.bi", "p.bj", "block", "cls", "copies", "vec", "keys")
+        .select("dim", "tab", "bucket", "p.bi", "p.bj", "block", "cls", "cells", "step", "error")
     )
 
+
+def _bucket_links(keyed: DataFrame, threshold: float) -> DataFrame:
+    """(cls, links, root): per table, links not seen in an earlier table, with a class of
+    the bucket that stands for all it reaches there."""
+
+    def likely(key: tuple, rows: pa.Table) -> pa.Table | None:
+        if rows.num_rows < 2:
+            return None
+        cells = binary_rows(rows["cells"], np.int8)
+        bound = most_cosine(cells, rows["step"].to_numpy(), rows["error"].to_numpy())
+        some = np.flatnonzero(_across(bound >= threshold, key, rows).any(axis=1))
+        return rows.select([*BUCKET, "block", "cls"]).take(pa.array(some)) if some.size else None
+
     def link(key: tuple, rows: pa.Table) -> pa.Table | None:
         n = rows.num_rows
         if n < 2:
@@ -129,11 +206,7 @@ def _bucket_links(keyed: DataFrame, threshold: float) -> DataFrame:
         x = unit(binary_rows(rows["vec"], "<f8"))
         keys = rows["keys"].combine_chunks().flatten().to_numpy().reshape(n, -1)
         copies = rows["copies"].to_numpy()
-        new = (x @ x.T) >= threshold
-        np.fill_diagonal(new, False)
-        if key[3] != key[4]:
-            block = rows["block"].to_numpy()
-            new &= block[:, None] != block[None, :]
+        new = _across((x @ x.T) >= threshold, key, rows)
         for t in range(key[1]):
             if not new.any():
                 return None
@@ -151,14 +224,19 @@ def _bucket_links(keyed: DataFrame, threshold: float) -> DataFrame:
             }
         )
 
-    return by_group(dealt, ["dim", "tab", "bucket", "bi", "bj"], link, "cls binary, links bigint, root binary")
+    place = "dim int, tab int, bucket int, bi int, bj int, block int, cls binary"
+    near = by_group(_met(keyed), BUCKET, likely, place)
+    whole = near.join(keyed.select("cls", "copies", "vec", "keys"), "cls").select(
+        *BUCKET, "block", "cls", "copies", "vec", "keys"
+    )
+    return by_group(whole, BUCKET, link, "cls binary, links bigint, root binary")
 
 
 def embedding_duplicates(
     vectors: DataFrame,
     threshold: float = 0.9,
-    tables: int = TABLES,
-    hashes: int = HASHES,
+    tables: int | None = None,
+    hashes: int | None = None,
     width: float = WIDTH,
     seed: int = SEED,
 ) -> DataFrame:
@@ -168,7 +246,8 @@ def embedding_duplicates(
     other rows linked directly, equal vectors among them. A vector that is null, empty,
     zero or holds a null or non-finite component links with nothing (its component is its
     own vec_id). Repeated rows count as rows. A null vec_id takes part but is never the
-    smallest. No rows give no rows; other columns are ignored.
+    smallest. No rows give no rows; other columns are ignored. ``tables`` and ``hashes``
+    (projections a table) follow from the number of different vectors unless both are given.
     """
     rows = materialize(usable(vectors), "vectors")
     classes = (
@@ -182,6 +261,8 @@ def embedding_duplicates(
         )
     )
     classes = materialize(classes, "vecclasses")
+    if tables is None or hashes is None:
+        tables, hashes = table_plan(classes.count(), threshold, width)
     keyed = materialize(_keyed(classes, tables, hashes, width, seed), "veckeys")
     found = materialize(_bucket_links(keyed, threshold), "veclinks")
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))

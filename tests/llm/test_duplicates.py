@@ -183,3 +183,43 @@ def test_bucket_keys_agree_as_often_as_the_docstring_says():
     assert same.mean() == pytest.approx(0.2076, abs=0.01)
     assert (~same.any(axis=1)).mean() < 0.004
     assert (embeddings.bucket_keys(x, *args) == embeddings.bucket_keys(y, *args)).mean() < 0.006
+
+
+def test_tables_follow_the_number_of_vectors():
+    assert embeddings.table_plan(0, 0.9) == embeddings.table_plan(500, 0.9) == (embeddings.TABLES, embeddings.HASHES)
+    assert embeddings.table_plan(10, 1.0)[0] == 1
+    rng = np.random.default_rng(6)
+    met = {}
+    for n in (1500, 24_000):
+        x = embeddings.unit(rng.standard_normal((n, 64)))
+        y = rng.standard_normal((n, 64))
+        near = 0.9 * x + np.sqrt(1 - 0.81) * embeddings.unit(y - (x * y).sum(1, keepdims=True) * x)
+        tables, hashes = embeddings.table_plan(n, 0.9)
+        args = (tables, hashes, embeddings.WIDTH, embeddings.SEED)
+        keys = embeddings.bucket_keys(x, *args)
+        assert (keys == embeddings.bucket_keys(near, *args)).any(axis=1).mean() > 0.997
+        sizes = [np.unique(keys[:, t], return_counts=True)[1].astype(float) for t in range(tables)]
+        met[n] = sum((s * (s - 1) / 2).sum() for s in sizes)
+    assert np.log(met[24_000] / met[1500]) / np.log(24_000 / 1500) < 1.35
+
+
+@pytest.mark.parametrize("dim", [1, 2, 64, 2000])
+def test_coarse_vectors_bound_the_cosine(dim):
+    rng = np.random.default_rng(dim)
+    x = rng.standard_normal((300, dim)) * rng.choice([1, 1e-3, 30], (300, dim))
+    x = embeddings.unit(np.concatenate([x, x + 0.01 * rng.standard_normal(x.shape)]))
+    bound = embeddings.most_cosine(*embeddings.coarse(x))
+    assert (bound >= x @ x.T).all() and (bound - x @ x.T).max() < 0.02 + 0.02 * np.sqrt(dim)
+
+
+def test_more_tables_give_the_same_links(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((40, 32))
+    x = np.concatenate([b + rng.standard_normal((9, 32)) * rng.uniform(0, 0.3, (9, 1)) for b in base])
+    rows = [(i, list(map(float, v))) for i, v in enumerate(x)]
+    monkeypatch.setattr(embeddings, "ROOM", 0.05)
+    monkeypatch.setattr(embeddings, "BLOCK", 4)
+    assert embeddings.table_plan(len(x), 0.9)[1] > embeddings.HASHES
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embeddings.embedding_duplicates(df).collect()}
+    assert got == brute_vectors(rows, 0.9)
