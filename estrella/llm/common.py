@@ -242,6 +242,43 @@ def iter_groups(
         yield last, pa.Table.from_batches(held)
 
 
+def iter_runs(batches: Iterator[pa.RecordBatch], keys: list[str], most_bytes: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(rows, starts) of many whole groups at a time, from batches sorted by numeric ``keys``.
+
+    ``starts`` are the first rows of the groups, and the number of rows. For groups that are mostly
+    small. Holds about ``most_bytes``, or one group and one batch where that is more.
+    """
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.nbytes
+        if size < most_bytes:
+            continue
+        rows = pa.Table.from_batches(held).combine_chunks()
+        starts = _group_starts(rows, keys)
+        cut = int(starts[-2])  # the last group may go on
+        if cut:
+            yield rows.slice(0, cut), starts[:-1]
+        rest = rows.slice(cut).combine_chunks()
+        held, size = rest.to_batches(), 0
+        if not cut:  # one group so far: wait for as much again
+            size = -rest.nbytes
+    if held:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        yield rows, _group_starts(rows, keys)
+
+
+def _group_starts(rows: pa.Table, keys: list[str]) -> np.ndarray:
+    new = np.zeros(rows.num_rows + 1, bool)
+    new[[0, -1]] = True
+    for k in keys:
+        c = rows[k].to_numpy()
+        new[1:-1] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
 def by_group(
     df: DataFrame,
     keys: list[str],
@@ -265,6 +302,25 @@ def by_group(
     return map_batches(df.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys), run, schema)
 
 
+def by_runs(
+    df: DataFrame,
+    keys: list[str],
+    fn: Callable[[pa.Table, np.ndarray], pa.Table | None],
+    schema: str,
+    most_bytes: int = 4 << 20,
+) -> DataFrame:
+    """``fn(rows, starts)`` on the groups of ``df`` by the integer columns ``keys``, many groups
+    at a time (see ``iter_runs``); like ``by_group`` else."""
+
+    def run(batches):
+        for rows, starts in iter_runs(batches, keys, most_bytes):
+            out = fn(rows, starts)
+            if out is not None and out.num_rows:
+                yield from out.combine_chunks().to_batches()
+
+    return map_batches(df.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys), run, schema)
+
+
 def binary_rows(col: pa.ChunkedArray | pa.Array, dtype: str) -> np.ndarray:
     """Rows of equally long binary values as a 2-d array."""
     vals = col.to_pylist()

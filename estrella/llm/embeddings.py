@@ -32,6 +32,7 @@ from estrella.llm.common import (
     binary_rows,
     block_pairs,
     by_group,
+    by_runs,
     connected_components,
     map_batches,
     materialize,
@@ -43,6 +44,7 @@ TABLES, HASHES, WIDTH, SEED = 32, 8, 2.0, 11  # tables and projections of a smal
 ROOM = 4  # unrelated vectors expected in a bucket
 MISS = 0.0006  # share of pairs at the threshold that meet in no table
 BLOCK = 1024  # vectors of a hot bucket compared in one task
+FEW = 32  # members of a bucket that is compared together with others
 
 
 def agreement(distance: float, width: float) -> float:
@@ -173,6 +175,37 @@ def _across(pairs: np.ndarray, key: tuple, rows: pa.Table) -> np.ndarray:
     return pairs
 
 
+def may_link(rows: pa.Table, starts: np.ndarray, threshold: float) -> np.ndarray:
+    """Which ``rows`` may have a cosine >= ``threshold`` with another row of their group; groups
+    lie between ``starts``. Small groups are compared row by row further on, all at once, large
+    ones as matrices."""
+    found = np.zeros(rows.num_rows, bool)
+    size = np.diff(starts)
+    dims = rows["dim"].to_numpy()
+    step, error, block = (rows[c].to_numpy() for c in ("step", "error", "block"))
+    apart = rows["bi"].to_numpy() != rows["bj"].to_numpy()
+    left = np.repeat(starts[1:], size) - np.arange(rows.num_rows) - 1  # rows of the group that follow
+    few = np.repeat((size > 1) & (size <= FEW), size)
+    for d in np.unique(dims[few]):
+        at = np.flatnonzero(few & (dims == d))  # whole groups, in order
+        x = binary_rows(rows["cells"].take(pa.array(at)), np.int8) * step[at][:, None]
+        e, l, b, off = error[at], left[at], block[at], apart[at]
+        for o in range(1, int(l.max()) + 1):
+            i = np.flatnonzero(l >= o)
+            i = i[~off[i] | (b[i] != b[i + o])]
+            j = i + o
+            bound = np.einsum("ij,ij->i", x[i], x[j]) + e[i] + e[j] + e[i] * e[j] + 1e-9
+            hit = bound >= threshold
+            found[at[i[hit]]] = found[at[j[hit]]] = True
+    for g in np.flatnonzero(size > FEW):
+        a, z = int(starts[g]), int(starts[g + 1])
+        some = rows.slice(a, z - a)
+        bound = most_cosine(binary_rows(some["cells"], np.int8), step[a:z], error[a:z])
+        key = tuple(some[k][0].as_py() for k in BUCKET)
+        found[a:z] = _across(bound >= threshold, key, some).any(axis=1)
+    return found
+
+
 def _met(keyed: DataFrame) -> DataFrame:
     """Buckets' members in coarse form; a bucket of more than BLOCK is dealt into blocks."""
     met = keyed.select("dim", "cls", "cells", "step", "error", F.posexplode("keys").alias("tab", "bucket"))
@@ -191,12 +224,8 @@ def _bucket_links(keyed: DataFrame, threshold: float) -> DataFrame:
     """(cls, links, root): per table, links not seen in an earlier table, with a class of
     the bucket that stands for all it reaches there."""
 
-    def likely(key: tuple, rows: pa.Table) -> pa.Table | None:
-        if rows.num_rows < 2:
-            return None
-        cells = binary_rows(rows["cells"], np.int8)
-        bound = most_cosine(cells, rows["step"].to_numpy(), rows["error"].to_numpy())
-        some = np.flatnonzero(_across(bound >= threshold, key, rows).any(axis=1))
+    def likely(rows: pa.Table, starts: np.ndarray) -> pa.Table | None:
+        some = np.flatnonzero(may_link(rows, starts, threshold))
         return rows.select([*BUCKET, "block", "cls"]).take(pa.array(some)) if some.size else None
 
     def link(key: tuple, rows: pa.Table) -> pa.Table | None:
@@ -225,7 +254,7 @@ def _bucket_links(keyed: DataFrame, threshold: float) -> DataFrame:
         )
 
     place = "dim int, tab int, bucket int, bi int, bj int, block int, cls binary"
-    near = by_group(_met(keyed), BUCKET, likely, place)
+    near = by_runs(_met(keyed), BUCKET, likely, place)
     whole = near.join(keyed.select("cls", "copies", "vec", "keys"), "cls").select(
         *BUCKET, "block", "cls", "copies", "vec", "keys"
     )

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from estrella.llm import common, embeddings, setsketch
@@ -223,3 +224,46 @@ def test_more_tables_give_the_same_links(spark, monkeypatch):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embeddings.embedding_duplicates(df).collect()}
     assert got == brute_vectors(rows, 0.9)
+
+
+@pytest.mark.parametrize("few", [0, 32, 10**6])
+def test_may_link_equals_the_bounds_of_each_group(monkeypatch, few):
+    monkeypatch.setattr(embeddings, "FEW", few)
+    rng = np.random.default_rng(9)
+    sizes = [1, 1, 2, 5, 40, 1, 3, 70, 2]
+    starts = np.cumsum([0, *sizes])
+    dim = np.repeat([16, 16, 16, 16, 16, 3, 3, 16, 8], sizes)
+    cols = collections.defaultdict(list)
+    truth = []
+    for g, (n, d) in enumerate(zip(sizes, dim[starts[:-1]])):
+        x = rng.standard_normal((n, d)) + 2 * rng.integers(0, 2, (n, 1))
+        cells, step, error = embeddings.coarse(embeddings.unit(x))
+        two = g % 2
+        block = rng.integers(0, 2, n) if two else np.zeros(n, int)
+        pairs = embeddings.most_cosine(cells, step, error) >= 0.8
+        np.fill_diagonal(pairs, False)
+        truth += (pairs & ((block[:, None] != block) | (not two))).any(axis=1).tolist()
+        cols["cells"] += [c.tobytes() for c in cells]
+        for name, values in (("step", step), ("error", error), ("block", block), ("bi", [0] * n), ("bj", [two] * n)):
+            cols[name] += list(map(float if name in ("step", "error") else int, values))
+        cols["tab"] += [g] * n
+    rows = pa.table({**cols, "dim": dim, "bucket": np.zeros(len(dim), int)})
+    assert embeddings.may_link(rows, starts, 0.8).tolist() == truth and any(truth) and not all(truth)
+
+
+@pytest.mark.parametrize("most_bytes", [1, 400, 10**6])
+def test_runs_hold_whole_groups(most_bytes):
+    rng = random.Random(5)
+    keys = sorted((rng.randrange(3), rng.randrange(6)) for _ in range(200)) + [(9, 9)] * 90
+    cut = sorted({0, len(keys), *(rng.randrange(len(keys)) for _ in range(30))})
+    a, b = (pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1))
+    whole = pa.record_batch([a, b], ["a", "b"])
+    batches = [whole.slice(0, 0)] + [whole.slice(s, e - s) for s, e in zip(cut, cut[1:])]
+    got = []
+    for rows, starts in common.iter_runs(iter(batches), ["a", "b"], most_bytes):
+        listed = list(zip(rows["a"].to_pylist(), rows["b"].to_pylist()))
+        for s, e in zip(starts, starts[1:]):
+            assert len(set(listed[s:e])) == 1
+            got.append((listed[s], e - s))
+    assert got == sorted(collections.Counter(keys).items())
+    assert list(common.iter_runs(iter([]), ["a"], 1)) == []
