@@ -32,7 +32,7 @@ from estrella.operators.quality import with_status
 from estrella.plans import marts as M
 from estrella.plans import warehouse as W
 from estrella.plans.basics import SQL_NULLABLE_ORDERS, _nullable_orders
-from estrella.plans.registry import register
+from estrella.plans.registry import ORACLE_SQL, register
 from estrella.plans.roles import SQL_GROUP_SEED, group_seed, sql_listed_times
 from estrella.plans.staging import (
     ROLE_MAIN,
@@ -56,6 +56,7 @@ from estrella.plans.staging import (
 )
 from estrella.sources.gate import PublishBlocked, publish_checked
 from estrella.sources.lookup import read_seed_csv, seed_findings
+from estrella.sources.ordered import read_ordered, write_ordered
 from estrella.sources.sinks import layer_location, publish, shared_scratch_root
 from estrella.sources.shared import build_shared
 from estrella.sources.tables import Tables
@@ -314,15 +315,39 @@ def exactly_one_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def conflict_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every party row of a conflicting natural key, sorted for review."""
-    t = Tables(spark, sf_dir)
+    return conflict_rows(Tables(spark, sf_dir)).orderBy("persona_natural_key", "nombre_completo", "id_venta")
+
+
+def conflict_rows(t: Tables) -> DataFrame:
+    """``conflict_detail`` without its order."""
     parties = W.sale_parties_of(t)
     keys = party_key_conflicts_of(W.party_profiles(t)).select("persona_natural_key")
     # the key set is unique; an inner join, unlike a semi-join, is not copied into the union
-    detail = parties.join(keys, "persona_natural_key").select(
+    return parties.join(keys, "persona_natural_key").select(
         "persona_natural_key", "id_venta", "rol_persona_en_venta", "nombre_completo", "rfc",
         "curp", F.lower(F.trim("email")).alias("email"), "telefono_celular",
     )
-    return detail.orderBy("persona_natural_key", "nombre_completo", "id_venta")
+
+
+_REVIEW_ORDER = [
+    "persona_natural_key", "nombre_completo", "id_venta", "rol_persona_en_venta", "rfc", "curp", "email",
+    "telefono_celular",
+]
+
+
+@register(
+    "conflict_report",
+    f"""
+    SELECT *, row_number() OVER (ORDER BY {", ".join(f"{c} NULLS FIRST" for c in _REVIEW_ORDER)}) AS position
+    FROM ({ORACLE_SQL["conflict_detail"]})
+""",
+)
+def conflict_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The review list written once in its order, in numbered ranges, and read back in it with
+    every row's position; the read neither sorts nor shuffles."""
+    location = shared_scratch_root(spark, f"estrella-review-{uuid.uuid4().hex}")
+    write_ordered(conflict_rows(Tables(spark, sf_dir)), location, _REVIEW_ORDER)
+    return read_ordered(spark, location, position="position")
 
 
 _DUPLICATE_COLS = ["id_venta", "nombre_cliente", "apellido_paterno", "apellido_materno", "rfc", "curp"]
