@@ -20,6 +20,7 @@ from estrella.llm.common import fresh_path, materialize, small
 
 OVERHEAD = 16  # bytes a row takes besides its text
 STEPS = 4  # size classes per doubling of size
+FINE = 32  # ranges of sizes a size class is cut into before its rows are ranked
 PART_ROWS = 4096  # rows ranked in one window partition, about
 FILE_ROWS = 16384  # rows of a shard's file, about
 
@@ -149,24 +150,33 @@ def row_sizes(docs: DataFrame) -> DataFrame:
 def assign(rows: DataFrame, shards: int) -> tuple[DataFrame, list[Segment]]:
     """(``rows(doc_id, size, text_crc32, old)`` with shard and slot added, the plan).
 
-    ``rows`` should be a written table. Ranks inside a block come from counts of its
-    parts, sized by hashes of the row, plus a row's rank in its part: no task ranks a
-    whole shard, and one hot old shard is spread like all others. A row that repeats
-    another in all four columns may take its slot as well; both get one.
+    ``rows`` should be a written table. Ranks inside a block follow the size, so that its
+    smallest rows leave: a block is cut into ascending ranges of sizes, a range of more than
+    ``PART_ROWS`` rows into single sizes, and one size with more rows by a salt, which alone
+    does not change the bytes. A rank is the count of the parts before plus the rank in the
+    part: no task ranks a whole shard, and one hot old shard or size is spread like all others.
+    A row that repeats another in all four columns may take its slot as well; both get one.
     """
-    rows = rows.withColumn("cls", F.floor(F.log2(F.col("size").cast("double")) * STEPS).cast("int"))
-    counts = rows.groupBy("old", "cls").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).collect()
-    segments = plan_transfers([(r["old"], r["cls"], r["n"], r["bytes"]) for r in counts], shards)
-    parts = max([1, *(-(-r["n"] // PART_ROWS) for r in counts)])
+    scale = F.log2(F.col("size").cast("double")) * STEPS
+    rows = rows.withColumns({"cls": F.floor(scale).cast("int"), "sub": F.floor(scale * FINE).cast("int")})
+    sizes = materialize(rows.groupBy("old", "cls", "sub", "size").agg(F.count("*").alias("n")), "sizes")
+    counts = sizes.groupBy("old", "cls").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("size")).alias("bytes"))
+    segments = plan_transfers([(r["old"], r["cls"], r["n"], r["bytes"]) for r in counts.collect()], shards)
+    in_range = F.sum("n").over(Window.partitionBy("old", "cls", "sub"))  # at most the sizes within half a percent
+    crowded = sizes.withColumn("range", in_range).where(F.col("range") > PART_ROWS)
+    crowded = crowded.select("old", "size", F.ceil(F.col("n") / PART_ROWS).alias("salts"))
+    alone = F.col("salts").isNotNull()
     # repeated rows share their hash: a salt, written with the rows, keeps a part bounded
+    salt = F.pmod(F.xxhash64("doc_id", "text_crc32", F.monotonically_increasing_id()), F.coalesce("salts", F.lit(1)))
     rows = materialize(
-        rows.withColumn(
-            "part", F.pmod(F.xxhash64("doc_id", "text_crc32", F.monotonically_increasing_id()), F.lit(parts))
-        ),
+        rows.join(small(materialize(crowded, "crowded")), ["old", "size"], "left")
+        .withColumns({"fine": F.when(alone, F.col("size")).otherwise(0), "salt": salt})
+        .drop("salts"),
         "ranked",
     )
-    key = ["old", "cls", "part"]
-    before = Window.partitionBy("old", "cls").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    key = ["old", "cls", "sub", "fine", "salt"]
+    before = Window.partitionBy("old", "cls").orderBy("sub", "fine", "salt")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy(*key).agg(F.count("*").alias("n"))
     offsets = offsets.select(*key, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     inside = Window.partitionBy(*key).orderBy("size", "doc_id", "text_crc32")
@@ -183,7 +193,7 @@ def assign(rows: DataFrame, shards: int) -> tuple[DataFrame, list[Segment]]:
         .where((F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
         .withColumn("slot", F.col("first") + F.col("rank") - F.col("lo"))
     )
-    return dealt.drop("cls", "part", "base", "rank", "lo", "hi", "first"), segments
+    return dealt.drop("cls", "sub", "fine", "salt", "base", "rank", "lo", "hi", "first"), segments
 
 
 def moved_bytes(assigned: DataFrame) -> DataFrame:
