@@ -22,7 +22,8 @@ OVERHEAD = 16  # bytes a row takes besides its text
 STEPS = 4  # size classes per doubling of size
 FINE = 32  # ranges of sizes a size class is cut into before its rows are ranked
 PART_ROWS = 4096  # rows ranked in one window partition, about
-FILE_ROWS = 16384  # rows of a shard's file, about
+FILE_ROWS = 16384  # rows of a shard's file at most
+FILE_BYTES = 64 << 20  # bytes of a shard's file at most, and one row
 
 
 class Network:
@@ -148,7 +149,7 @@ def row_sizes(docs: DataFrame) -> DataFrame:
 
 
 def assign(rows: DataFrame, shards: int) -> tuple[DataFrame, list[Segment]]:
-    """(``rows(doc_id, size, text_crc32, old)`` with shard and slot added, the plan).
+    """(``rows(doc_id, size, text_crc32, old)`` with shard, slot and file added, the plan).
 
     ``rows`` should be a written table. Ranks inside a block follow the size, so that its
     smallest rows leave: a block is cut into ascending ranges of sizes, a range of more than
@@ -183,8 +184,8 @@ def assign(rows: DataFrame, shards: int) -> tuple[DataFrame, list[Segment]]:
     ranked = rows.withColumn("rank", F.row_number().over(inside) - 1).join(small(materialize(offsets, "offsets")), key)
     spark = rows.sparkSession
     plan = spark.createDataFrame(
-        [(s.old, s.cls, s.lo, s.hi, s.shard, s.slot) for s in segments],
-        "old int, cls int, lo bigint, hi bigint, shard int, first bigint",
+        [(s.old, s.cls, s.lo, s.hi, s.shard, s.slot, at, each) for s, at, each in _bytes_before(segments)],
+        "old int, cls int, lo bigint, hi bigint, shard int, first bigint, at double, each double",
     )
     at = F.col("base") + F.col("rank")
     dealt = (
@@ -192,8 +193,20 @@ def assign(rows: DataFrame, shards: int) -> tuple[DataFrame, list[Segment]]:
         .join(F.broadcast(plan), ["old", "cls"])  # at most old shards x size classes + shards rows
         .where((F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
         .withColumn("slot", F.col("first") + F.col("rank") - F.col("lo"))
+        .withColumn("file", F.floor((F.col("at") + (F.col("rank") - F.col("lo") + 1) * F.col("each")) / FILE_BYTES))
     )
-    return dealt.drop("cls", "sub", "fine", "salt", "base", "rank", "lo", "hi", "first"), segments
+    return dealt.drop("cls", "sub", "fine", "salt", "base", "rank", "lo", "hi", "first", "at", "each"), segments
+
+
+def _bytes_before(segments: list[Segment]) -> list[tuple[Segment, float, float]]:
+    """Each segment, the bytes at most in its shard before it, and the bytes at most of its rows."""
+    out, full = [], {}
+    for s in sorted(segments, key=lambda s: (s.shard, s.slot)):
+        each = 2.0 ** ((s.cls + 1) / STEPS)
+        at = full.get(s.shard, 0.0)
+        out.append((s, at, each))
+        full[s.shard] = at + (s.hi - s.lo) * each
+    return out
 
 
 def moved_bytes(assigned: DataFrame) -> DataFrame:
@@ -208,16 +221,15 @@ def moved_bytes(assigned: DataFrame) -> DataFrame:
 def write_affected(assigned: DataFrame, path: str) -> list[int]:
     """Write anew the files of every shard that loses or gets a row; returns those shards.
 
-    Files go to ``path/shard=N``, about ``FILE_ROWS`` consecutive slots to a file. Shards
-    whose rows all stay keep their old files.
+    Files go to ``path/shard=N``, consecutive slots of at most ``FILE_ROWS`` rows and
+    about ``FILE_BYTES`` to a task. Shards whose rows all stay keep their old files.
     """
     away = assigned.where("shard <> old")
     ends = away.select(F.explode(F.array("shard", "old")).alias("s")).distinct().collect()  # shard numbers
     affected = sorted(r["s"] for r in ends)
     (
         assigned.where(F.col("shard").isin(affected))
-        .withColumn("file", F.floor(F.col("slot") / FILE_ROWS))
-        .repartition("shard", "file")
+        .repartition("shard", "file", F.floor(F.col("slot") / FILE_ROWS))
         .sortWithinPartitions("shard", "slot")
         .drop("file")
         .write.partitionBy("shard")

@@ -139,3 +139,19 @@ def test_resharding_moves_the_smallest_rows(spark, monkeypatch, part_rows):
     least -= sum(sorted(saved)[::-1][:more])
     # which shards get one row more is chosen by the means of size classes
     assert least <= sharding.moved_bytes(assigned).first()["bytes"] <= least * 1.01
+
+
+def test_files_of_shards_are_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "FILE_BYTES", 20_000)
+    rng = random.Random(2)
+    rows = [(i, "x" * rng.choice([0, 10, 500, 3000, 30_000][: 4 + (i % 50 == 0)]), i % 3) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, old int")
+    assigned, _ = sharding.assign(common.materialize(sharding.row_sizes(docs).drop("text"), "rows"), 4)
+    files = collections.defaultdict(list)
+    for r in assigned.collect():
+        files[r["shard"], r["file"]].append((r["slot"], r["size"]))
+    for held in files.values():
+        held.sort()
+        assert [s for s, _ in held] == list(range(held[0][0], held[0][0] + len(held)))
+        assert sum(n for _, n in held) <= 20_000 or len(held) == 1
+    assert 20 < len(files) < 120
