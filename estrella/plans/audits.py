@@ -320,8 +320,12 @@ def conflict_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conflict_rows(t: Tables) -> DataFrame:
     """``conflict_detail`` without its order."""
-    parties = W.sale_parties_of(t)
-    keys = party_key_conflicts_of(W.party_profiles(t)).select("persona_natural_key")
+    return conflict_rows_of(W.sale_parties_of(t), party_key_conflicts_of(W.party_profiles(t)))
+
+
+def conflict_rows_of(parties: DataFrame, conflicts: DataFrame) -> DataFrame:
+    """The rows of ``parties`` whose natural key is in ``conflicts``."""
+    keys = conflicts.select("persona_natural_key")
     # the key set is unique; an inner join, unlike a semi-join, is not copied into the union
     return parties.join(keys, "persona_natural_key").select(
         "persona_natural_key", "id_venta", "rol_persona_en_venta", "nombre_completo", "rfc",
@@ -329,7 +333,7 @@ def conflict_rows(t: Tables) -> DataFrame:
     )
 
 
-_REVIEW_ORDER = [
+REVIEW_ORDER = [
     "persona_natural_key", "nombre_completo", "id_venta", "rol_persona_en_venta", "rfc", "curp", "email",
     "telefono_celular",
 ]
@@ -338,7 +342,7 @@ _REVIEW_ORDER = [
 @register(
     "conflict_report",
     f"""
-    SELECT *, row_number() OVER (ORDER BY {", ".join(f"{c} NULLS FIRST" for c in _REVIEW_ORDER)}) AS position
+    SELECT *, row_number() OVER (ORDER BY {", ".join(f"{c} NULLS FIRST" for c in REVIEW_ORDER)}) AS position
     FROM ({ORACLE_SQL["conflict_detail"]})
 """,
 )
@@ -346,7 +350,7 @@ def conflict_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The review list written once in its order, in numbered ranges, and read back in it with
     every row's position; the read neither sorts nor shuffles."""
     location = shared_scratch_root(spark, f"estrella-review-{uuid.uuid4().hex}")
-    write_ordered(conflict_rows(Tables(spark, sf_dir)), location, _REVIEW_ORDER)
+    write_ordered(conflict_rows(Tables(spark, sf_dir)), location, REVIEW_ORDER)
     return read_ordered(spark, location, position="position")
 
 
