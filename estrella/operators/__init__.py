@@ -21,6 +21,7 @@ from estrella.operators.quality import (
     check_unique_combination,
     TableChecks,
     quality_report,
+    suspect_checks,
     table_report,
 )
 from estrella.operators.reduce import (
@@ -35,7 +36,7 @@ from estrella.operators.reduce import (
 )
 
 __all__ = [
-    "conflicting_keys", "TableChecks", "table_report",
+    "conflicting_keys", "TableChecks", "suspect_checks", "table_report",
     "Check", "attach", "bounded_broadcast", "check_expression", "check_not_null",
     "check_relationship", "check_unique", "check_unique_combination", "count_where", "coverage",
     "date_dim", "date_spine", "date_spine_covering", "distinct_count_above",
