@@ -16,6 +16,7 @@ from estrella.functions.keys import (
     guarded_key,
     natural_key,
     surrogate_key,
+    surrogate_text,
 )
 from estrella.functions.labels import normalize_plan
 from estrella.functions.ratios import percent_half_up
@@ -37,6 +38,6 @@ __all__ = [
     "empty_to_null", "fallback_key", "full_name", "guarded_key", "lower_trimmed", "money",
     "natural_key", "normalize_plan", "null_token", "null_tokens", "percent_half_up",
     "repair_mojibake", "safe_date", "safe_date_from_text", "safe_decimal",
-    "safe_int_with_words", "surrogate_key", "title_case", "trimmed",
+    "safe_int_with_words", "surrogate_key", "surrogate_text", "title_case", "trimmed",
     "trimmed_title", "upper_trimmed", "zero_to_null",
 ]
